@@ -92,12 +92,13 @@ def _on_counts(plan: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _on_tiers(timeframe: str) -> Query:
     return lambda spark, sf_dir: timeframes.counts_for(
-        timeframe, replay.replay_tiers(event_views(spark, sf_dir), NOW), NOW
+        timeframe, replay.replay_tiers(event_views(spark, sf_dir), NOW, timeframe), NOW
     )
 
 
 def _counts_today(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeframes.counts_today(replay.replay_tiers(event_views(spark, sf_dir), NOW).hour, NOW)
+    views = views_between(event_views(spark, sf_dir), NOW.today_start, NOW.as_of)
+    return timeframes.counts_today(replay.hour_rows(views), NOW)
 
 
 def _top(timeframe: str, clock: Clock = NOW, views: Query = event_views) -> Query:
@@ -225,9 +226,9 @@ def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _late_store(spark, sf_dir, "stream-compacted", compact=True)
+    stored = _late_store(spark, sf_dir, "stream-compacted", compact=True).tiers()
     tiers = [
-        store.tier(tier).select(
+        counting.fold([getattr(stored, tier)], tier).select(
             F.lit(tier).alias("tier"),
             "video_id",
             F.lit("").alias("bucket") if tier == "all_time" else F.col(f"{tier}_bucket").alias("bucket"),

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from conftest import rows
+from viewrank.plans import snapshot
+from viewrank.schema import MAX_K
+from viewrank.session import new_work_folder
+from viewrank.sources.store import TierStore
+
+
+@pytest.fixture
+def store(spark):
+    return TierStore(spark, new_work_folder(spark, "test"))
+
+
+@pytest.fixture(scope="module")
+def lists(spark, views_of):
+    return views_of([("a", "2024-01-30 12:00", 3), ("b", "2024-01-30 12:00", 3), ("c", "2024-01-29 20:00", 9)])
+
+
+def test_nothing_published_is_an_empty_answer(store):
+    assert rows(snapshot.top_videos(store.snapshot(), "last hour", 5)) == []
+    response = snapshot.top_videos_response(store.snapshot(), "last hour", 5).first()
+    assert response.asDict() == {"timeframe": "last hour", "k": 5, "videos": []}
+
+
+def test_published_answers_are_served_and_replaced(store, lists, views_of, now):
+    assert store.publish(snapshot.replay_snapshot(lists, now)) == 0
+    served = snapshot.top_videos(store.snapshot(), "last day", 2)
+    assert rows(served) == [("last day", 2, 1, "c", 9), ("last day", 2, 2, "a", 3)]
+    response = snapshot.top_videos_response(store.snapshot(), "last hour", 5).first()
+    assert [tuple(video) for video in response.videos] == [("a", 3), ("b", 3)]
+    # The next version has no last hour at all: the old list must not survive.
+    assert store.publish(snapshot.replay_snapshot(views_of([("c", "2024-01-01 00:00")]), now)) == 1
+    assert rows(snapshot.top_videos(store.snapshot(), "last hour", 5)) == []
+    assert snapshot.top_videos(store.snapshot(), "all time", 5).count() == 1
+
+
+def test_an_unfinished_version_is_not_served(store, lists, now):
+    store.publish(snapshot.replay_snapshot(lists, now))
+    path, fs = store._path(f"{store.root}/snapshot/v=1")
+    fs.mkdirs(path)
+    assert snapshot.top_videos(store.snapshot(), "all time", 1).count() == 1
+    assert store.publish(snapshot.replay_snapshot(lists, now)) == 2
+
+
+@pytest.mark.parametrize("k", [0, MAX_K, -1, 1.5, True, "3"])
+def test_k_out_of_range(store, k):
+    with pytest.raises(ValueError):
+        snapshot.top_videos(store.snapshot(), "all time", k)
+
+
+@pytest.mark.parametrize("k", [1, MAX_K - 1])
+def test_k_in_range(store, k):
+    assert snapshot.top_videos(store.snapshot(), "all time", k).count() == 0
+
+
+def test_unknown_timeframe(store):
+    with pytest.raises(ValueError, match="last week"):
+        snapshot.top_videos(store.snapshot(), "last week", 5)
+
+
+def test_documents_round_trip(lists, views_of, now):
+    documents = snapshot.snapshot_documents(snapshot.replay_snapshot(lists, now))
+    payloads = {row.key: json.loads(row.payload) for row in documents.collect()}
+    assert set(payloads) == {"topk:last_hour", "topk:last_day", "topk:last_month", "topk:all_time"}
+    assert payloads["topk:last_hour"] == [{"video_id": "a", "count": 3}, {"video_id": "b", "count": 3}]
+    back = {row.key: [v.asDict() for v in row.videos] for row in snapshot.read_documents(documents).collect()}
+    assert back == payloads
+    empty = snapshot.snapshot_documents(snapshot.replay_snapshot(views_of([]), now))
+    assert {row.payload for row in empty.collect()} == {"[]"}

@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewrank.functions.shards import shard_of
-from viewrank.schema import NUM_SHARDS
+from viewrank.schema import MAX_K, NUM_SHARDS
 
 
 def reconcile(served: DataFrame, views: DataFrame) -> DataFrame:
     """Served rows against the views received so far: lag and status.
 
-    `served` holds at most MAX_K rows. Its ids cut the views first (a broadcast semi join), so
-    only the served videos are counted; the left join then keeps served videos without views.
+    `served` is one ranked list, at most MAX_K rows. Its ids cut the views first (a broadcast
+    semi join), so only the served videos are counted, again at most MAX_K; the left join then
+    keeps served videos without views.
     """
+    served = served.filter(F.col("rank") <= MAX_K)
     ids = served.select("video_id")
     sent = (
         views.join(F.broadcast(ids), "video_id", "left_semi")
@@ -24,7 +26,7 @@ def reconcile(served: DataFrame, views: DataFrame) -> DataFrame:
     lag = F.col("sent") - F.col("served")
     return (
         served.select("rank", "video_id", F.col("count").alias("served"))
-        .join(sent, "video_id", "left")
+        .join(F.broadcast(sent), "video_id", "left")
         .withColumn("sent", F.coalesce("sent", F.lit(0).cast("bigint")))
         .select(
             "rank",

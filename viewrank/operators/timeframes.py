@@ -25,10 +25,12 @@ def counts_last_hour(hours: DataFrame, clock: Clock) -> DataFrame:
     The newest hour per shard is an aggregate of at most ten rows, so it is broadcast; a window
     over the shard would sort all videos of a shard in one task.
     """
-    recent = hours.filter(
-        F.col("hour_bucket").isin(hour_text(clock.hour_start), hour_text(clock.previous_hour_start))
-    ).withColumn("shard", shard_of(F.col("video_id")))
-    newest = recent.groupBy("shard").agg(F.max("hour_bucket").alias("hour_bucket"))
+    running, previous = hour_text(clock.hour_start), hour_text(clock.previous_hour_start)
+    hour = F.col("hour_bucket")
+    recent = hours.filter(hour.isin(running, previous)).withColumn("shard", shard_of(F.col("video_id")))
+    # The maximum of a boolean can be hash-aggregated, the maximum of a text would sort first.
+    newest = recent.groupBy("shard").agg(F.max(hour == running).alias("has_running"))
+    newest = newest.select("shard", F.when(F.col("has_running"), running).otherwise(previous).alias("hour_bucket"))
     return _sum_by_video(recent.join(F.broadcast(newest), ["shard", "hour_bucket"]))
 
 

@@ -52,17 +52,17 @@ def replay_top_k(views: DataFrame, timeframe: str, clock: Clock, k: int = MAX_K)
     return top_k(replay_counts(views, timeframe, clock), k)
 
 
-def replay_tiers(views: DataFrame, clock: Clock) -> Tiers:
+def replay_tiers(views: DataFrame, clock: Clock, timeframe: str) -> Tiers:
     """Views up to `as_of` in the form of tiers, for the operators that read tiers.
 
-    The time ranges are the ones the timeframes need from each tier, so they reach the scan.
+    A filter on a computed bucket does not reach the scan, so each tier is cut to the time range
+    that `timeframe` reads from it. Last month takes closed days, and hours of today only.
     """
+    start = clock.today_start if timeframe == "last month" else clock.start_of(timeframe)
     until_now = views_between(views, None, clock.as_of)
-    recent = views_between(views, clock.last_day_start, clock.as_of)
-    month = views_between(views, clock.last_month_start, clock.as_of)
     return Tiers(
-        hour=hour_rows(recent),
-        day=day_rows(month),
+        hour=hour_rows(views_between(views, start, clock.as_of)),
+        day=day_rows(views_between(views, clock.last_month_start, clock.today_start)),
         month=month_rows(until_now),
         all_time=until_now.select("video_id", _one()),
     )

@@ -99,10 +99,11 @@ def rank_slots(slots: DataFrame, k: int = MAX_K) -> DataFrame:
         .filter(F.col("count") > 0)
         .select("timeframe", "preference", "shard", "video_id", "count")
     )
-    # From here on: at most k rows per timeframe, candidate and shard.
-    in_shard = Window.partitionBy("timeframe", "preference", "shard").orderBy(*best_first())
-    lists = rows.withColumn("place", F.row_number().over(in_shard)).filter(F.col("place") <= k)
-    preferred = F.min("preference").over(Window.partitionBy("timeframe", "shard"))
+    # A list per timeframe and shard, preferred candidate first; each task sends k rows of each.
+    shard = Window.partitionBy("timeframe", "shard")
+    place = F.row_number().over(shard.orderBy("preference", *best_first()))
+    lists = rows.withColumn("place", place).filter(F.col("place") <= k)
+    preferred = F.min("preference").over(shard)
     kept = lists.withColumn("preferred", preferred).filter(F.col("preference") == F.col("preferred"))
     in_timeframe = Window.partitionBy("timeframe").orderBy(*best_first())
     return (

@@ -2,10 +2,10 @@
 
 Layout under one root, which must be a folder every executor reaches:
 
-    checkpoint/            the stream's own progress
-    deltas/batch_id=N/     what micro-batch N counted: video_id, hour_bucket, count
-    base/v=N/<tier>/       all batches up to N, folded
-    snapshot/v=N/          the top-K lists, newest version wins
+    checkpoint/                 the stream's own progress
+    deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
+    base/v=N/tier=T/bucket=B/   all batches up to N, folded, for all tiers
+    snapshot/v=N/               the top-K lists, newest version wins
 
 Every write goes to a directory of its own and becomes visible when its _SUCCESS file is there.
 A replayed micro-batch overwrites its directory with the same rows, so it counts once. One stream
@@ -14,8 +14,11 @@ writes a root, and one job at a time compacts it or publishes to it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewrank.clock import Clock
 from viewrank.operators.counting import Tiers, as_tier, fold
@@ -23,6 +26,36 @@ from viewrank.operators.rollup import retain_days, retain_hours
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
 
 
+_BASE_SCHEMA = StructType(
+    [
+        StructField("video_id", StringType()),
+        StructField("count", LongType()),
+        StructField("tier", StringType()),
+        StructField("bucket", StringType()),
+    ]
+)
+
+
+def _base_form(rows: DataFrame, tier: str) -> DataFrame:
+    """Rows of any tier in the columns of the base; an empty text cannot be a directory name."""
+    bucket = F.col(BUCKET_COLUMN[tier]) if tier in BUCKET_COLUMN else F.lit("all")
+    return rows.select(F.lit(tier).alias("tier"), bucket.alias("bucket"), "video_id", "count")
+
+
+def _tier_form(base: DataFrame, tier: str) -> DataFrame:
+    """One tier of the base; the filter prunes the directories of the others."""
+    rows = base.filter(F.col("tier") == tier)
+    if tier in BUCKET_COLUMN:
+        rows = rows.withColumnRenamed("bucket", BUCKET_COLUMN[tier])
+    return rows.select(*TIER_SCHEMA[tier].names)
+
+
+def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, known to the optimizer, which then drops the union around it."""
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(1).select(*columns).limit(0)
+
+
 class TierStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -51,7 +84,7 @@ class TierStore:
     def _delta_rows(self, batches: list[int]) -> DataFrame:
         schema = TIER_SCHEMA["hour"]
         if not batches:
-            return self.spark.createDataFrame([], schema)
+            return _empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*[self._delta(b) for b in batches])
 
     def _delta(self, batch_id: int) -> str:
@@ -61,32 +94,26 @@ class TierStore:
 
     def base_version(self) -> int:
         """Last micro-batch folded into the newest complete base, -1 before the first one."""
-        versions = [
-            v
-            for v in self._versions("base", "v=")
-            if all(self._exists(f"{self._base(v, tier)}/_SUCCESS") for tier in TIER_KEYS)
-        ]
-        return max(versions, default=-1)
+        return max(self._finished("base", "v="), default=-1)
 
-    def _base(self, version: int, tier: str) -> str:
-        return f"{self.root}/base/v={version}/{tier}"
+    def _base(self, version: int) -> str:
+        return f"{self.root}/base/v={version}"
 
-    def _base_rows(self, version: int, tier: str) -> DataFrame:
+    def _base_rows(self, version: int) -> DataFrame:
         if version < 0:
-            return self.spark.createDataFrame([], TIER_SCHEMA[tier])
+            return _empty(self.spark, _BASE_SCHEMA)
         # The schema is given because Spark would read a day bucket from the path as a date.
-        rows = self.spark.read.schema(TIER_SCHEMA[tier]).parquet(self._base(version, tier))
-        return rows.select(*TIER_SCHEMA[tier].names)
+        return self.spark.read.schema(_BASE_SCHEMA).parquet(self._base(version))
 
     def tiers(self) -> Tiers:
         """Base and pending deltas side by side. Keys may repeat; readers sum them."""
         version = self.base_version()
-        deltas = self._delta_rows(self.pending(version))
+        return self._tiers(version, self.pending(version))
+
+    def _tiers(self, version: int, batches: list[int]) -> Tiers:
+        base, deltas = self._base_rows(version), self._delta_rows(batches)
         return Tiers(
-            **{
-                tier: self._base_rows(version, tier).unionByName(as_tier(deltas, tier))
-                for tier in TIER_KEYS
-            }
+            **{tier: _tier_form(base, tier).unionByName(as_tier(deltas, tier)) for tier in TIER_KEYS}
         )
 
     def tier(self, name: str) -> DataFrame:
@@ -97,29 +124,30 @@ class TierStore:
         """Fold pending deltas into a new base, apply retention, and return its version.
 
         Each delta is folded into every tier once, so a late view reaches all of them and a
-        repeated run has nothing left to add.
+        repeated run has nothing left to add. One job writes all tiers, so its _SUCCESS file
+        makes them visible together.
         """
         old = self.base_version()
         batches = [b for b in self.pending(old) if through is None or b <= through]
         if not batches:
             return old
-        new, deltas = batches[-1], self._delta_rows(batches)
-        keep = {"hour": retain_hours, "day": retain_days}
-        for tier in TIER_KEYS:
-            rows = self._base_rows(old, tier).unionByName(as_tier(deltas, tier))
-            if tier in keep:
-                rows = keep[tier](rows, clock)
-            self._write_base(fold([rows], tier), new, tier)
-        return new
-
-    def _write_base(self, rows: DataFrame, version: int, tier: str) -> None:
-        bucket = BUCKET_COLUMN.get(tier)
-        if bucket is None:
-            rows.hint("rebalance").write.mode("overwrite").parquet(self._base(version, tier))
-            return
+        tiers = self._tiers(old, batches)
+        kept = [
+            _base_form(retain_hours(tiers.hour, clock), "hour"),
+            _base_form(retain_days(tiers.day, clock), "day"),
+            _base_form(tiers.month, "month"),
+            _base_form(tiers.all_time, "all_time"),
+        ]
+        rows = reduce(DataFrame.unionByName, kept)
+        folded = rows.groupBy("tier", "bucket", "video_id").agg(F.sum("count").alias("count"))
         # Rebalancing brings a bucket's rows together for few files, and splits a large bucket.
-        rebalanced = rows.hint("rebalance", bucket)
-        rebalanced.write.mode("overwrite").partitionBy(bucket).parquet(self._base(version, tier))
+        (
+            folded.hint("rebalance", "tier", "bucket")
+            .write.mode("overwrite")
+            .partitionBy("tier", "bucket")
+            .parquet(self._base(batches[-1]))
+        )
+        return batches[-1]
 
     def remove_folded(self) -> None:
         """Drop deltas and bases that the newest base replaces. Run it when no reader uses them."""
@@ -129,7 +157,7 @@ class TierStore:
                 self._delete(self._delta(batch_id))
         for v in self._versions("base", "v="):
             if v < version:
-                self._delete(f"{self.root}/base/v={v}")
+                self._delete(self._base(v))
 
     # Published answers
 
@@ -144,7 +172,7 @@ class TierStore:
         """The newest answers; no rows before anything was published."""
         versions = self._finished("snapshot", "v=")
         if not versions:
-            return self.spark.createDataFrame([], SNAPSHOT)
+            return _empty(self.spark, SNAPSHOT)
         return self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot/v={versions[-1]}")
 
     # Directory listing, through Hadoop so that any file system Spark can use works
