@@ -22,16 +22,24 @@ def _sum_by_video(rows: DataFrame) -> DataFrame:
 def counts_last_hour(hours: DataFrame, clock: Clock) -> DataFrame:
     """The running hour, or the previous one for a shard that has no row in the running hour.
 
-    The newest hour per shard is an aggregate of at most ten rows, so it is broadcast; a window
-    over the shard would sort all videos of a shard in one task.
+    Which shards have a running hour is a scalar subquery, a list of at most ten numbers; a
+    window over the shard would sort all videos of a shard in one task. The subquery reads both
+    sums so that its shuffle is the one of the main query: Spark then scans and counts once.
     """
     running, previous = hour_text(clock.hour_start), hour_text(clock.previous_hour_start)
-    hour = F.col("hour_bucket")
-    recent = hours.filter(hour.isin(running, previous)).withColumn("shard", shard_of(F.col("video_id")))
-    # The maximum of a boolean can be hash-aggregated, the maximum of a text would sort first.
-    newest = recent.groupBy("shard").agg(F.max(hour == running).alias("has_running"))
-    newest = newest.select("shard", F.when(F.col("has_running"), running).otherwise(previous).alias("hour_bucket"))
-    return _sum_by_video(recent.join(F.broadcast(newest), ["shard", "hour_bucket"]))
+    hour, shard = F.col("hour_bucket"), shard_of(F.col("video_id"))
+    per_video = (
+        hours.filter(hour.isin(running, previous))
+        .groupBy("video_id")
+        .agg(
+            F.sum(F.when(hour == running, F.col("count"))).alias("running"),
+            F.sum(F.when(hour == previous, F.col("count"))).alias("previous"),
+        )
+    )
+    busy = F.collect_set(F.when(F.col("running") > 0, shard))
+    summary = per_video.agg(F.struct(busy.alias("shards"), F.sum("previous").alias("previous"))).scalar()
+    count = F.when(F.array_contains(summary["shards"], shard), F.col("running")).otherwise(F.col("previous"))
+    return per_video.select("video_id", count.alias("count")).filter(F.col("count") > 0)
 
 
 def counts_last_day(hours: DataFrame, clock: Clock) -> DataFrame:

@@ -95,7 +95,8 @@ def rank_slots(slots: DataFrame, k: int = MAX_K) -> DataFrame:
         ]
     )
     rows = (
-        counted.select("video_id", shard_of(F.col("video_id")).alias("shard"), F.inline(candidates))
+        counted.withColumn("shard", shard_of(F.col("video_id")))  # before the rows multiply
+        .select("video_id", "shard", F.inline(candidates))
         .filter(F.col("count") > 0)
         .select("timeframe", "preference", "shard", "video_id", "count")
     )
