@@ -19,9 +19,9 @@ from viewrank.plans import replay, snapshot
 from viewrank.session import new_work_folder
 from viewrank.sources import requests
 from viewrank.sources.store import TierStore
-from viewrank.sources.views import stream_table, views_between, views_from
+from viewrank.sources.views import stream_requests, stream_table, views_between, views_from
 from viewrank.streaming.closed_hours import start_closed_hours
-from viewrank.streaming.view_counts import start_view_counts
+from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 NOW = Clock(datetime(2024, 1, 30, 12, 45))
 HOUR_AGO = Clock(NOW.as_of - timedelta(hours=1))
@@ -239,6 +239,25 @@ def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers[0].unionByName(tiers[1]).unionByName(tiers[2]).unionByName(tiers[3])
 
 
+def _request_store(spark: SparkSession, sf_dir: str, name: str) -> TierStore:
+    """The whole write path: bodies as text lines, parsed, refused or counted."""
+    root = new_work_folder(spark, name)
+    store, incoming = TierStore(spark, f"{root}/store"), f"{root}/incoming"
+    event_requests(spark, sf_dir).select(F.col("body").alias("value")).write.text(incoming)
+    bodies = stream_requests(spark, "text", {"maxFilesPerTrigger": str(FILES_PER_BATCH)}, incoming)
+    start_request_counts(bodies, store, {"availableNow": True}).awaitTermination()
+    return store
+
+
+def _stream_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _request_store(spark, sf_dir, "stream-requests").tier("hour")
+
+
+def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refused = _request_store(spark, sf_dir, "stream-rejects").rejects()
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch for the whole table: late views are judged between batches, so files in any
     order give the same hours."""
@@ -306,6 +325,8 @@ def queries() -> dict[str, Query]:
         "stream_late_views": _stream_late,
         "stream_compacted_tiers": _stream_compacted,
         "stream_closed_hours": _stream_closed,
+        "stream_request_counts": _stream_request_counts,
+        "stream_rejects": _stream_rejects,
     }
 
 
@@ -467,6 +488,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_alltime": f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id",
         "stream_topk": _sql_top(f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id"),
         "stream_late_views": _sql_tier(_HOUR, "hour_bucket", None),
+        "stream_request_counts": f"""{_SQL_REQUESTS} SELECT video_id, {_HOUR} AS hour_bucket, {_N}
+            FROM checked WHERE reason IS NULL GROUP BY ALL""",
+        "stream_rejects": f"""{_SQL_REQUESTS} SELECT reason, count(*)::BIGINT AS row_count
+            FROM checked WHERE reason IS NOT NULL GROUP BY reason""",
         "stream_compacted_tiers": _sql_tiers(
             None, f"{_HOUR} >= '{NOW.keep_hours_from}'", f"{_DAY} >= '{NOW.keep_days_from}'"
         ),

@@ -16,7 +16,7 @@ from viewrank.sources.requests import parse_requests
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests, stream_table
 from viewrank.streaming.closed_hours import start_closed_hours
-from viewrank.streaming.view_counts import start_view_counts
+from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 ONCE = {"availableNow": True}
 ARRIVALS = [
@@ -175,9 +175,15 @@ def test_requests_as_text_files(spark, folder, store):
     ]
     lines = spark.createDataFrame([(json.dumps(b),) for b in bodies], "value STRING")
     lines.write.text(f"{folder}/in")
-    valid, _ = parse_requests(stream_requests(spark, "text", {"maxFilesPerTrigger": "1"}, f"{folder}/in"))
+    requests = stream_requests(spark, "text", {"maxFilesPerTrigger": "1"}, f"{folder}/in")
+    valid, _ = parse_requests(requests)
     start_view_counts(valid, store, ONCE).awaitTermination()
     assert rows(store.tier("hour")) == [("vid_1", "2024-01-30-12", 2)]
+    assert rows(store.rejects()) == []
+    both = TierStore(spark, f"{folder}/both")
+    start_request_counts(requests, both, ONCE).awaitTermination()
+    assert rows(both.tier("hour")) == rows(store.tier("hour"))
+    assert [row.reason for row in both.rejects().orderBy("reason").collect()] == ["bad_timestamp", "empty_video_id"]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])

@@ -4,6 +4,7 @@ Layout under one root, which must be a folder every executor reaches:
 
     checkpoint/                 the stream's own progress
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
+    rejects/batch_id=N/         requests that micro-batch N refused: reason, body
     base/v=N/tier=T/bucket=B/   all batches up to N, folded, for all tiers
     snapshot/v=N/               the top-K lists, newest version wins
 
@@ -26,6 +27,7 @@ from viewrank.operators.rollup import retain_days, retain_hours
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
 
 
+_REJECT_SCHEMA = StructType([StructField("reason", StringType()), StructField("body", StringType())])
 _BASE_SCHEMA = StructType(
     [
         StructField("video_id", StringType()),
@@ -73,6 +75,17 @@ class TierStore:
     def delta_is_empty(self, batch_id: int) -> bool:
         return self.spark.read.schema(TIER_SCHEMA["hour"]).parquet(self._delta(batch_id)).isEmpty()
 
+    def write_rejects(self, batch_id: int, rejects: DataFrame) -> None:
+        rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+
+    def rejects(self) -> DataFrame:
+        """All refused requests: `reason, body`."""
+        folder = f"{self.root}/rejects"
+        paths = [f"{folder}/batch_id={b}" for b in self._finished("rejects", "batch_id=")]
+        if not paths:
+            return _empty(self.spark, _REJECT_SCHEMA)
+        return self.spark.read.schema(_REJECT_SCHEMA).parquet(*paths)
+
     def batches(self) -> list[int]:
         """Finished micro-batches, ascending."""
         return self._finished("deltas", "batch_id=")

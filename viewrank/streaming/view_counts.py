@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from viewrank.operators.counting import count_by_hour
+from viewrank.sources.requests import check_requests, rejects, valid_views
 from viewrank.sources.store import TierStore
 
 logger = logging.getLogger(__name__)
 
+OnFlush = Callable[[TierStore, int], object]
 DEFAULT_TRIGGER = {"processingTime": "60 seconds"}
 
 
@@ -20,7 +22,7 @@ def start_view_counts(
     views: DataFrame,
     store: TierStore,
     trigger: dict | None = None,
-    on_flush: Callable[[TierStore, int], object] | None = None,
+    on_flush: OnFlush | None = None,
 ) -> StreamingQuery:
     """Count a stream of views into `store`.
 
@@ -32,16 +34,44 @@ def start_view_counts(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         store.write_delta(batch_id, count_by_hour(batch))
-        if on_flush is None or store.delta_is_empty(batch_id):
-            return
+        _after_flush(store, batch_id, on_flush)
+
+    return _start(views, store, trigger, flush)
+
+
+def start_request_counts(
+    requests: DataFrame,
+    store: TierStore,
+    trigger: dict | None = None,
+    on_flush: OnFlush | None = None,
+) -> StreamingQuery:
+    """Count a stream of request bodies (column `body`); refused ones are kept with their reason."""
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        checked = check_requests(batch).persist()  # one micro-batch, parsed once for both writes
         try:
-            on_flush(store, batch_id)
-        except Exception:
-            logger.exception("on_flush failed after batch %d", batch_id)
+            store.write_rejects(batch_id, rejects(checked))
+            store.write_delta(batch_id, count_by_hour(valid_views(checked)))
+        finally:
+            checked.unpersist()
+        _after_flush(store, batch_id, on_flush)
+
+    return _start(requests, store, trigger, flush)
 
+
+def _start(stream: DataFrame, store: TierStore, trigger: dict | None, flush) -> StreamingQuery:
     return (
-        views.writeStream.foreachBatch(flush)
+        stream.writeStream.foreachBatch(flush)
         .option("checkpointLocation", store.checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
     )
+
+
+def _after_flush(store: TierStore, batch_id: int, on_flush: OnFlush | None) -> None:
+    if on_flush is None or store.delta_is_empty(batch_id):
+        return
+    try:
+        on_flush(store, batch_id)
+    except Exception:
+        logger.exception("on_flush failed after batch %d", batch_id)
