@@ -7,8 +7,12 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import NOW, entry, oracle_sql, queries
 from check_queries import compare
+from conftest import rows
+from viewrank.operators import timeframes
+from viewrank.session import new_work_folder
+from viewrank.sources.store import TierStore
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 STREAMS = [name for name in queries() if name.startswith("stream_")]
@@ -66,3 +70,21 @@ def test_four_timeframes_take_one_scan_and_one_shuffle_of_counts(spark):
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(queries()["topk_all_time"](spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", ["topk_snapshot", "stream_hour_counts", "stream_closed_hours", "stream_late_views"])
+def test_a_table_of_many_files_in_any_order_gives_the_same_rows(spark, tmp_path_factory, name):
+    folder = str(tmp_path_factory.mktemp("many"))
+    spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(7).write.parquet(f"{folder}/events.parquet")
+    assert rows(queries()[name](spark, folder)) == rows(queries()[name](spark, SF_DIR))
+
+
+def test_stored_tiers_are_pruned_by_tier_and_bucket(spark):
+    store = TierStore(spark, new_work_folder(spark, "plan"))
+    store.write_delta(0, queries()["hour_counts"](spark, SF_DIR))
+    store.compact(NOW)
+    plan = plan_of(timeframes.counts_last_day(store.tiers().hour, NOW))
+    assert "(tier" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "GreaterThanOrEqual(bucket," in plan
+    # Nothing pending: the union with the deltas is gone, and one shuffle is left.
+    assert "Union" not in plan and plan.count("Exchange") == 1

@@ -5,7 +5,7 @@ Layout under one root, which must be a folder every executor reaches:
     checkpoint/                 the stream's own progress
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
-    base/v=N/tier=T/bucket=B/   all batches up to N, folded, for all tiers
+    base/v=N/tier=T/            all batches up to N, folded, sorted by bucket
     snapshot/v=N/               the top-K lists, newest version wins
 
 Every write goes to a directory of its own and becomes visible when its _SUCCESS file is there.
@@ -30,17 +30,17 @@ from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
 _REJECT_SCHEMA = StructType([StructField("reason", StringType()), StructField("body", StringType())])
 _BASE_SCHEMA = StructType(
     [
+        StructField("bucket", StringType()),
         StructField("video_id", StringType()),
         StructField("count", LongType()),
         StructField("tier", StringType()),
-        StructField("bucket", StringType()),
     ]
 )
 
 
 def _base_form(rows: DataFrame, tier: str) -> DataFrame:
-    """Rows of any tier in the columns of the base; an empty text cannot be a directory name."""
-    bucket = F.col(BUCKET_COLUMN[tier]) if tier in BUCKET_COLUMN else F.lit("all")
+    """Rows of any tier in the columns of the base."""
+    bucket = F.col(BUCKET_COLUMN[tier]) if tier in BUCKET_COLUMN else F.lit("")
     return rows.select(F.lit(tier).alias("tier"), bucket.alias("bucket"), "video_id", "count")
 
 
@@ -52,6 +52,12 @@ def _tier_form(base: DataFrame, tier: str) -> DataFrame:
     return rows.select(*TIER_SCHEMA[tier].names)
 
 
+def _numbers(paths, prefix: str) -> list[int]:
+    """N of every `<prefix>N`, ascending."""
+    names = [path.getName() for path in paths]
+    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, known to the optimizer, which then drops the union around it."""
     columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
@@ -115,7 +121,6 @@ class TierStore:
     def _base_rows(self, version: int) -> DataFrame:
         if version < 0:
             return _empty(self.spark, _BASE_SCHEMA)
-        # The schema is given because Spark would read a day bucket from the path as a date.
         return self.spark.read.schema(_BASE_SCHEMA).parquet(self._base(version))
 
     def tiers(self) -> Tiers:
@@ -153,11 +158,12 @@ class TierStore:
         ]
         rows = reduce(DataFrame.unionByName, kept)
         folded = rows.groupBy("tier", "bucket", "video_id").agg(F.sum("count").alias("count"))
-        # Rebalancing brings a bucket's rows together for few files, and splits a large bucket.
+        # Sorted files let Parquet skip to a bucket. A directory per bucket would add a shuffle,
+        # and as many directories as clients can send dates.
         (
-            folded.hint("rebalance", "tier", "bucket")
+            folded.sortWithinPartitions("tier", "bucket", "video_id")
             .write.mode("overwrite")
-            .partitionBy("tier", "bucket")
+            .partitionBy("tier")
             .parquet(self._base(batches[-1]))
         )
         return batches[-1]
@@ -194,10 +200,6 @@ class TierStore:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _exists(self, path: str) -> bool:
-        path, fs = self._path(path)
-        return fs.exists(path)
-
     def _delete(self, path: str) -> None:
         path, fs = self._path(path)
         fs.delete(path, True)
@@ -206,12 +208,8 @@ class TierStore:
         path, fs = self._path(f"{self.root}/{folder}")
         if not fs.exists(path):
             return []
-        names = [status.getPath().getName() for status in fs.listStatus(path)]
-        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+        return _numbers([status.getPath() for status in fs.listStatus(path)], prefix)
 
     def _finished(self, folder: str, prefix: str) -> list[int]:
-        return [
-            v
-            for v in self._versions(folder, prefix)
-            if self._exists(f"{self.root}/{folder}/{prefix}{v}/_SUCCESS")
-        ]
+        path, fs = self._path(f"{self.root}/{folder}/{prefix}*/_SUCCESS")
+        return _numbers([status.getPath().getParent() for status in fs.globStatus(path)], prefix)
