@@ -44,13 +44,12 @@ def event_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_views(events: DataFrame) -> DataFrame:
-    return views_from(events, F.concat(F.lit("vid_"), F.col("user_id").cast("string")), "ts")
+    return views_from(events, "user_id", "ts", prefix="vid_")
 
 
 def part_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = F.concat(F.lit("part_"), F.col("l_partkey").cast("string"))
-    return views_from(lineitem, part, "l_shipdate")
+    return views_from(lineitem, "l_partkey", "l_shipdate", prefix="part_")
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +115,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish all four lists, then answer from what was published."""
     store = TierStore(spark, new_work_folder(spark, "serve"))
-    store.publish(_snapshot(NOW)(spark, sf_dir))
+    store.publish(_snapshot(NOW)(spark, sf_dir), NOW)
     return snapshot.top_videos(store.snapshot(), "last day", 10)
 
 

@@ -28,23 +28,23 @@ def test_nothing_published_is_an_empty_answer(store):
 
 
 def test_published_answers_are_served_and_replaced(store, lists, views_of, now):
-    assert store.publish(snapshot.replay_snapshot(lists, now)) == 0
+    assert store.publish(snapshot.replay_snapshot(lists, now), now) == 0
     served = snapshot.top_videos(store.snapshot(), "last day", 2)
     assert rows(served) == [("last day", 2, 1, "c", 9), ("last day", 2, 2, "a", 3)]
     response = snapshot.top_videos_response(store.snapshot(), "last hour", 5).first()
     assert [tuple(video) for video in response.videos] == [("a", 3), ("b", 3)]
     # The next version has no last hour at all: the old list must not survive.
-    assert store.publish(snapshot.replay_snapshot(views_of([("c", "2024-01-01 00:00")]), now)) == 1
+    assert store.publish(snapshot.replay_snapshot(views_of([("c", "2024-01-01 00:00")]), now), now) == 1
     assert rows(snapshot.top_videos(store.snapshot(), "last hour", 5)) == []
     assert snapshot.top_videos(store.snapshot(), "all time", 5).count() == 1
 
 
 def test_an_unfinished_version_is_not_served(store, lists, now):
-    store.publish(snapshot.replay_snapshot(lists, now))
+    store.publish(snapshot.replay_snapshot(lists, now), now)
     path, fs = store._path(f"{store.root}/snapshot/v=1")
     fs.mkdirs(path)
     assert snapshot.top_videos(store.snapshot(), "all time", 1).count() == 1
-    assert store.publish(snapshot.replay_snapshot(lists, now)) == 2
+    assert store.publish(snapshot.replay_snapshot(lists, now), now) == 2
 
 
 @pytest.mark.parametrize("k", [0, MAX_K, -1, 1.5, True, "3"])

@@ -103,7 +103,7 @@ def test_compaction_keeps_totals_and_trims_old_buckets(store, views_of, now):
     assert all(row.day_bucket >= now.keep_days_from for row in store.tier("day").collect())
     assert ("vid_3", "2023-11", 1) in rows(store.tier("month"))
     assert rows(store.tier("all_time")) == [("vid_1", 8), ("vid_2", 6), ("vid_3", 1)]
-    store.remove_folded()
+    store.clean_up()
     assert store.batches() == []
     assert rows(store.tier("all_time")) == [("vid_1", 8), ("vid_2", 6), ("vid_3", 1)]
     assert store._versions("base", "v=") == [2]
@@ -138,6 +138,8 @@ def test_flush_refreshes_the_snapshot(spark, folder, store, views_of, now):
         ("last day", 5, 1, "vid_1", 2),
         ("last day", 5, 2, "vid_2", 1),
     ]
+    published = store.snapshot().select("as_of", "batch_id").distinct()
+    assert rows(published) == [(now.as_of, 0)]
     # Time alone changes the answer, without a view arriving.
     refresh_snapshot(store, Clock(datetime(2024, 1, 31, 11, 30)))
     assert rows(top_videos(store.snapshot(), "last day", 5)) == [("last day", 5, 1, "vid_2", 1)]
@@ -164,6 +166,16 @@ def test_maintenance_compacts_and_refreshes(store, views_of, now):
     maintain(store, now)
     assert store.base_version() == 0
     assert top_videos(store.snapshot(), "all time", 5).count() == 2
+    # What a run replaced stays for running readers until the next run.
+    assert store.batches() == [0]
+    store.write_delta(1, count_by_hour(views_of(ARRIVALS[1])))
+    maintain(store, now)
+    assert (store.batches(), store._versions("base", "v=")) == ([1], [0, 1])
+    check_all_tiers(store, views_of(ARRIVALS[0] + ARRIVALS[1]))
+    for _ in range(3):
+        refresh_snapshot(store, now)
+    store.clean_up(keep_snapshots=2)
+    assert store._finished("snapshot", "v=") == [3, 4]
 
 
 def test_requests_as_text_files(spark, folder, store):

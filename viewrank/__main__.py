@@ -9,7 +9,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -23,9 +23,7 @@ from viewrank.streaming.view_counts import start_request_counts
 
 
 def clock_at(as_of: str | None) -> Clock:
-    if as_of:
-        return Clock(datetime.fromisoformat(as_of))
-    return Clock(datetime.now(timezone.utc).replace(tzinfo=None))
+    return Clock(datetime.fromisoformat(as_of)) if as_of else Clock.now()
 
 
 def count(store: TierStore, args: argparse.Namespace) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from viewrank.schema import KEEP_DAYS, KEEP_HOURS
 
@@ -30,6 +30,11 @@ class Clock:
         if self.as_of.tzinfo is not None:
             raise ValueError("as_of must be naive (UTC wall clock)")
 
+    @classmethod
+    def now(cls) -> Clock:
+        """For live use; everything else is told the moment."""
+        return cls(datetime.now(timezone.utc).replace(tzinfo=None))
+
     @property
     def hour_start(self) -> datetime:
         return self.as_of.replace(minute=0, second=0, microsecond=0)

@@ -91,25 +91,28 @@ def as_tier(hours: DataFrame, tier: str) -> DataFrame:
 
 
 def all_tiers(hours: DataFrame) -> DataFrame:
-    """All four tiers in one pass over the hour rows: `tier, video_id, bucket, count`."""
+    """All four tiers: `tier, video_id, bucket, count`. `hours` has one row per key.
+
+    The hour rows are taken as they are. The other tiers come from them in one aggregation over
+    grouping sets, so the largest tier is not shuffled again; Spark reuses its shuffle.
+    """
     keyed = hours.select(
         "video_id",
-        "hour_bucket",
         day_of(F.col("hour_bucket")).alias("day_bucket"),
         month_of(F.col("hour_bucket")).alias("month_bucket"),
         "count",
     )
-    hour, day, month = (F.col(BUCKET_COLUMN[tier]) for tier in ("hour", "day", "month"))
-    video = F.col("video_id")
-    return (
-        keyed.groupingSets([[video, hour], [video, day], [video, month], [video]], video, hour, day, month)
+    video, day, month = (F.col(key) for key in ("video_id", "day_bucket", "month_bucket"))
+    coarser = (
+        keyed.groupingSets([[video, day], [video, month], [video]], video, day, month)
         .agg(
-            F.when(F.grouping("hour_bucket") == 0, "hour")
-            .when(F.grouping("day_bucket") == 0, "day")
+            F.when(F.grouping("day_bucket") == 0, "day")
             .when(F.grouping("month_bucket") == 0, "month")
             .otherwise("all_time")
             .alias("tier"),
             F.sum("count").alias("count"),
         )
-        .select("tier", "video_id", F.coalesce(hour, day, month, F.lit("")).alias("bucket"), "count")
+        .select("tier", "video_id", F.coalesce(day, month, F.lit("")).alias("bucket"), "count")
     )
+    finest = hours.select(F.lit("hour").alias("tier"), "video_id", F.col("hour_bucket").alias("bucket"), "count")
+    return finest.unionByName(coarser)

@@ -10,8 +10,10 @@ from viewrank.sources.store import TierStore
 def maintain(store: TierStore, clock: Clock) -> int:
     """Fold what arrived into all tiers, apply retention, publish new answers; the base version.
 
-    A missed run is caught up by the next one, and an extra run changes nothing.
+    A missed run is caught up by the next one, and an extra run changes nothing. What a run
+    replaces is deleted by the run after it, so readers have that long to finish.
     """
+    store.clean_up()
     version = store.compact(clock)
     refresh_snapshot(store, clock)
     return version

@@ -120,7 +120,8 @@ def replay_snapshot(views: DataFrame, clock: Clock) -> DataFrame:
 
 def refresh_snapshot(store: TierStore, clock: Clock) -> int:
     """Rank the stored tiers at `as_of` and publish; call it after a flush or from any timer."""
-    return store.publish(rank_slots(slots_from_tiers(store.tiers(), clock)))
+    batch_id, tiers = store.state()
+    return store.publish(rank_slots(slots_from_tiers(tiers, clock)), clock, batch_id)
 
 
 def top_videos(snapshot: DataFrame, timeframe: str, k: int) -> DataFrame:

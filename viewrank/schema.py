@@ -46,12 +46,15 @@ TIER_KEYS = {
 TIER_SCHEMA = {tier: _counted(*keys) for tier, keys in TIER_KEYS.items()}
 BUCKET_COLUMN = {"hour": "hour_bucket", "day": "day_bucket", "month": "month_bucket"}
 
+# A published row. batch_id is the last micro-batch it reflects, NULL for a replay of a table.
 SNAPSHOT = StructType(
     [
         StructField("timeframe", StringType(), False),
         StructField("rank", IntegerType(), False),
         StructField("video_id", StringType(), False),
         StructField("count", LongType(), False),
+        StructField("as_of", TimestampNTZType(), False),
+        StructField("batch_id", LongType(), True),
     ]
 )
 

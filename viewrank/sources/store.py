@@ -123,10 +123,17 @@ class TierStore:
             return _empty(self.spark, _BASE_SCHEMA)
         return self.spark.read.schema(_BASE_SCHEMA).parquet(self._base(version))
 
-    def tiers(self) -> Tiers:
-        """Base and pending deltas side by side. Keys may repeat; readers sum them."""
+    def state(self) -> tuple[int, Tiers]:
+        """The last micro-batch that counts (-1: none yet) and the tiers up to it.
+
+        Base and pending deltas lie side by side: keys may repeat, readers sum them.
+        """
         version = self.base_version()
-        return self._tiers(version, self.pending(version))
+        batches = self.pending(version)
+        return max([version, *batches]), self._tiers(version, batches)
+
+    def tiers(self) -> Tiers:
+        return self.state()[1]
 
     def _tiers(self, version: int, batches: list[int]) -> Tiers:
         base, deltas = self._base_rows(version), self._delta_rows(batches)
@@ -168,8 +175,11 @@ class TierStore:
         )
         return batches[-1]
 
-    def remove_folded(self) -> None:
-        """Drop deltas and bases that the newest base replaces. Run it when no reader uses them."""
+    def clean_up(self, keep_snapshots: int = 10) -> None:
+        """Drop deltas, bases and answers that newer ones replaced.
+
+        A reader that started before the newest base was written must have ended.
+        """
         version = self.base_version()
         for batch_id in self.batches():
             if batch_id <= version:
@@ -177,13 +187,21 @@ class TierStore:
         for v in self._versions("base", "v="):
             if v < version:
                 self._delete(self._base(v))
+        for v in self._finished("snapshot", "v=")[:-keep_snapshots]:
+            self._delete(f"{self.root}/snapshot/v={v}")
 
     # Published answers
 
-    def publish(self, snapshot: DataFrame) -> int:
+    def publish(self, snapshot: DataFrame, clock: Clock, batch_id: int | None = None) -> int:
         """Write all timeframes as a new version: a list that became empty replaces the old one."""
         version = max(self._versions("snapshot", "v="), default=-1) + 1
-        rows = snapshot.select(*SNAPSHOT.names).coalesce(1)  # 4 x MAX_K rows at most
+        rows = snapshot.withColumns(
+            {
+                "as_of": F.lit(clock.as_of).cast("timestamp_ntz"),
+                "batch_id": F.lit(batch_id).cast("bigint"),
+            }
+        )
+        rows = rows.select(*SNAPSHOT.names).coalesce(1)  # 4 x MAX_K rows at most
         rows.write.mode("errorifexists").parquet(f"{self.root}/snapshot/v={version}")
         return version
 

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def views_from(table: DataFrame, video_id: Column, ts: str) -> DataFrame:
-    """Name the id and time of any table; other columns are never read."""
-    return table.select(video_id.alias("video_id"), F.col(ts).alias("ts"))
+def views_from(table: DataFrame, item: str, ts: str, prefix: str = "") -> DataFrame:
+    """Views from the id and time columns of any table; other columns are never read.
+
+    A row without id or time is no view; both checks are on stored columns, so they reach the
+    scan. The time keeps its wall clock: TIMESTAMP_NTZ is taken as it is, others are cast.
+    """
+    video_id = F.concat(F.lit(prefix), F.col(item).cast("string")) if prefix else F.col(item).cast("string")
+    return table.filter(F.col(item).isNotNull() & F.col(ts).isNotNull()).select(
+        video_id.alias("video_id"), F.col(ts).cast("timestamp_ntz").alias("ts")
+    )
 
 
 def views_between(views: DataFrame, start: datetime | None, as_of: datetime) -> DataFrame:
