@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewrank.clock import Clock, day_text, hour_text
+from viewrank.functions.buckets import wall_clock
 from viewrank.functions.shards import shard_of
 from viewrank.operators import counting, monitor, ranking, rollup, timeframes
 from viewrank.plans import replay, snapshot
@@ -151,7 +152,7 @@ def _upsert(tier: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         views = _views_until()(spark, sf_dir)
-        start = F.lit(DELTA_START).cast("timestamp_ntz")
+        start = wall_clock(DELTA_START)
         parts = [views.filter(F.col("ts") < start), views.filter(F.col("ts") >= start)]
         rows = [counting.as_tier(replay.hour_rows(part), tier) for part in parts]
         return counting.fold(rows, tier)
@@ -210,7 +211,7 @@ def _late_store(spark: SparkSession, sf_dir: str, name: str, compact: bool) -> T
     store, incoming = TierStore(spark, f"{root}/store"), f"{root}/incoming"
     views = event_views(spark, sf_dir)
     ts = F.col("ts")
-    start, until = (F.lit(t).cast("timestamp_ntz") for t in (LATE_FROM, LATE_UNTIL))
+    start, until = wall_clock(LATE_FROM), wall_clock(LATE_UNTIL)
     for arrival in (ts < start, ts >= until, (ts >= start) & (ts < until)):
         views.filter(arrival).write.mode("append").parquet(incoming)
         stream = stream_table(spark, incoming, views.schema, FILES_PER_BATCH)

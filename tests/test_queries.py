@@ -26,6 +26,16 @@ def tables():
     return con
 
 
+@pytest.mark.parametrize("name", ["topk_snapshot", "counts_last_hour", "upsert_fold", "stream_late_views", "stream_closed_hours"])
+def test_the_session_zone_plays_no_part(spark, tables, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        report = compare(spark, tables, SF_DIR, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert ": ok" in report, report
+
+
 def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 

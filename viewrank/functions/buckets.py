@@ -7,10 +7,17 @@ would go through it and shift times that fall into a daylight-saving gap).
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def wall_clock(moment: datetime) -> Column:
+    """A naive datetime as TIMESTAMP_NTZ. `lit(datetime)` would pass through two time zones."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def hour_text_of(ts: Column) -> Column:
     return join_hour(F.to_date(ts), F.hour(ts))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewrank.clock import Clock, day_text, hour_text
+from viewrank.functions.buckets import wall_clock
 from viewrank.functions.shards import shard_of
 from viewrank.operators.counting import Tiers
 from viewrank.operators.ranking import best_first
@@ -50,7 +51,7 @@ def _row(amount: Column, **conditions: Column | bool) -> list[Column]:
 
 def slots_from_views(views: DataFrame, clock: Clock) -> DataFrame:
     def since(start: datetime) -> Column:
-        return F.col("ts") >= F.lit(start).cast("timestamp_ntz")
+        return F.col("ts") >= wall_clock(start)
 
     running = since(clock.hour_start)
     return views_between(views, None, clock.as_of).select(

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewrank.clock import Clock
+from viewrank.functions.buckets import wall_clock
 from viewrank.operators.counting import Tiers, as_tier, fold
 from viewrank.operators.rollup import retain_days, retain_hours
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
@@ -197,7 +198,7 @@ class TierStore:
         version = max(self._versions("snapshot", "v="), default=-1) + 1
         rows = snapshot.withColumns(
             {
-                "as_of": F.lit(clock.as_of).cast("timestamp_ntz"),
+                "as_of": wall_clock(clock.as_of),
                 "batch_id": F.lit(batch_id).cast("bigint"),
             }
         )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from viewrank.functions.buckets import wall_clock
+
 
 def views_from(table: DataFrame, item: str, ts: str, prefix: str = "") -> DataFrame:
     """Views from the id and time columns of any table; other columns are never read.
@@ -23,10 +25,10 @@ def views_from(table: DataFrame, item: str, ts: str, prefix: str = "") -> DataFr
 
 def views_between(views: DataFrame, start: datetime | None, as_of: datetime) -> DataFrame:
     """Views from `start` up to `as_of`. Compares the stored time, so Parquet can skip row groups."""
-    until = views.filter(F.col("ts") <= F.lit(as_of).cast("timestamp_ntz"))
+    until = views.filter(F.col("ts") <= wall_clock(as_of))
     if start is None:
         return until
-    return until.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    return until.filter(F.col("ts") >= wall_clock(start))
 
 
 def stream_table(

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewrank.functions.buckets import hour_text_of
+from viewrank.functions.buckets import hour_text_of, wall_clock
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,7 +19,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def _epochs() -> tuple[Column, Column]:
-    return F.timestamp_seconds(F.lit(0)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(F.lit(0)), wall_clock(datetime(1970, 1, 1))
 
 
 def _to_instant(wall_clock: Column) -> Column:
