@@ -73,5 +73,5 @@ def shard_load(counts: DataFrame) -> DataFrame:
         .groupBy("shard")
         .agg(F.count(F.lit(1)).alias("video_count"), F.sum("count").alias("view_count"))
     )
-    shards = counts.sparkSession.range(NUM_SHARDS).select(F.col("id").cast("int").alias("shard"))
+    shards = counts.sparkSession.range(0, NUM_SHARDS, 1, 1).select(F.col("id").cast("int").alias("shard"))
     return shards.join(loads, "shard", "left").na.fill(0, ["video_count", "view_count"])

@@ -21,7 +21,10 @@ def top_k(counts: DataFrame, k: int = MAX_K) -> DataFrame:
 
 
 def top_k_per_shard(counts: DataFrame, k: int = MAX_K) -> DataFrame:
-    """First k rows of every shard. Each task cuts its rows to k per shard before the shuffle."""
+    """First k rows of every shard. Each task cuts its rows to k per shard before the shuffle.
+
+    Spark does so for k up to spark.sql.optimizer.windowGroupLimitThreshold (1000 by default).
+    """
     by_shard = Window.partitionBy("shard").orderBy(*best_first())
     return (
         counts.withColumn("shard", shard_of(F.col("video_id")))

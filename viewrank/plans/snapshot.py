@@ -158,8 +158,8 @@ def snapshot_documents(snapshot: DataFrame) -> DataFrame:
             for label, name in TIMEFRAMES.items()
         ]
     )
-    keys = snapshot.sparkSession.range(1).select(F.inline(labels))
-    lists = snapshot.groupBy("timeframe").agg(_videos().alias("videos"))
+    keys = snapshot.sparkSession.range(0, 1, 1, 1).select(F.inline(labels))
+    lists = snapshot.filter(F.col("rank") <= MAX_K).groupBy("timeframe").agg(_videos().alias("videos"))
     payload = F.to_json(F.coalesce("videos", F.array().cast(_NO_VIDEOS)))
     return keys.join(lists, "timeframe", "left").select("key", payload.alias("payload"))
 

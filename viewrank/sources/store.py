@@ -62,7 +62,7 @@ def _numbers(paths, prefix: str) -> list[int]:
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, known to the optimizer, which then drops the union around it."""
     columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
-    return spark.range(1).select(*columns).limit(0)
+    return spark.range(0, 1, 1, 1).select(*columns).limit(0)
 
 
 class TierStore:
