@@ -41,10 +41,19 @@ def test_published_answers_are_served_and_replaced(store, lists, views_of, now):
 
 def test_an_unfinished_version_is_not_served(store, lists, now):
     store.publish(snapshot.replay_snapshot(lists, now), now)
-    path, fs = store._path(f"{store.root}/snapshot/v=1")
+    path, fs = store._path(f"{store.root}/snapshot/v=1-unfinished")
     fs.mkdirs(path)
     assert snapshot.top_videos(store.snapshot(), "all time", 1).count() == 1
-    assert store.publish(snapshot.replay_snapshot(lists, now), now) == 2
+    assert store.publish(snapshot.replay_snapshot(lists, now), now) == 1
+
+
+def test_two_publishers_at_one_moment_leave_one_whole_answer(store, lists, views_of, now, monkeypatch):
+    other = snapshot.replay_snapshot(views_of([("z", "2024-01-30 12:00")]), now)
+    monkeypatch.setattr(store, "_finished", lambda folder: {})
+    assert store.publish(snapshot.replay_snapshot(lists, now), now) == store.publish(other, now) == 0
+    monkeypatch.undo()
+    served = [row.video_id for row in snapshot.top_videos(store.snapshot(), "all time", 9).collect()]
+    assert served in (["c", "a", "b"], ["z"])
 
 
 @pytest.mark.parametrize("k", [0, MAX_K, -1, 1.5, True, "3"])

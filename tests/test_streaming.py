@@ -106,7 +106,7 @@ def test_compaction_keeps_totals_and_trims_old_buckets(store, views_of, now):
     store.clean_up()
     assert store.batches() == []
     assert rows(store.tier("all_time")) == [("vid_1", 8), ("vid_2", 6), ("vid_3", 1)]
-    assert store._versions("base", "v=") == [2]
+    assert list(store._finished("base")) == [2]
 
 
 def test_compaction_in_parts_equals_compaction_at_once(spark, folder, views_of, now):
@@ -124,7 +124,7 @@ def test_unfinished_delta_and_base_are_not_read(store, views_of, now):
     store.write_delta(0, count_by_hour(views_of(ARRIVALS[0])))
     store.compact(now)
     store.write_delta(1, count_by_hour(views_of(ARRIVALS[1])))
-    for name in ("base/v=1", "deltas/batch_id=1"):
+    for name in ("base/v=1-lost", "deltas/batch_id=1"):
         count_by_hour(views_of(ARRIVALS[1])).write.mode("overwrite").parquet(f"{store.root}/{name}")
         path, fs = store._path(f"{store.root}/{name}/_SUCCESS")
         fs.delete(path, False)
@@ -170,12 +170,12 @@ def test_maintenance_compacts_and_refreshes(store, views_of, now):
     assert store.batches() == [0]
     store.write_delta(1, count_by_hour(views_of(ARRIVALS[1])))
     maintain(store, now)
-    assert (store.batches(), store._versions("base", "v=")) == ([1], [0, 1])
+    assert (store.batches(), list(store._finished("base"))) == ([1], [0, 1])
     check_all_tiers(store, views_of(ARRIVALS[0] + ARRIVALS[1]))
     for _ in range(3):
         refresh_snapshot(store, now)
     store.clean_up(keep_snapshots=2)
-    assert store._finished("snapshot", "v=") == [3, 4]
+    assert list(store._finished("snapshot")) == [3, 4]
 
 
 def test_requests_as_text_files(spark, folder, store):

@@ -5,16 +5,18 @@ Layout under one root, which must be a folder every executor reaches:
     checkpoint/                 the stream's own progress
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
-    base/v=N/tier=T/            all batches up to N, folded, sorted by bucket
-    snapshot/v=N/               the top-K lists, newest version wins
+    base/v=N-<id>/tier=T/       all batches up to N, folded, sorted by bucket
+    snapshot/v=N-<id>/          the top-K lists, newest version wins
 
 Every write goes to a directory of its own and becomes visible when its _SUCCESS file is there.
-A replayed micro-batch overwrites its directory with the same rows, so it counts once. One stream
-writes a root, and one job at a time compacts it or publishes to it.
+A replayed micro-batch overwrites its directory with the same rows, so it counts once; for that,
+one stream writes a root. Jobs that compact or publish at the same moment write different
+directories, each complete in itself, and readers take one of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,6 @@ from viewrank.operators.counting import Tiers, as_tier, fold
 from viewrank.operators.rollup import retain_days, retain_hours
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
 
-
 _REJECT_SCHEMA = StructType([StructField("reason", StringType()), StructField("body", StringType())])
 _BASE_SCHEMA = StructType(
     [
@@ -53,10 +54,10 @@ def _tier_form(base: DataFrame, tier: str) -> DataFrame:
     return rows.select(*TIER_SCHEMA[tier].names)
 
 
-def _numbers(paths, prefix: str) -> list[int]:
-    """N of every `<prefix>N`, ascending."""
-    names = [path.getName() for path in paths]
-    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+def _numbered(paths) -> dict[int, str]:
+    """N -> path for directories named `<key>=N` or `<key>=N-<id>`, ascending."""
+    found = sorted((int(path.getName().split("=")[1].split("-")[0]), path.toString()) for path in paths)
+    return dict(found)
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -87,15 +88,14 @@ class TierStore:
 
     def rejects(self) -> DataFrame:
         """All refused requests: `reason, body`."""
-        folder = f"{self.root}/rejects"
-        paths = [f"{folder}/batch_id={b}" for b in self._finished("rejects", "batch_id=")]
+        paths = self._finished("rejects").values()
         if not paths:
             return _empty(self.spark, _REJECT_SCHEMA)
         return self.spark.read.schema(_REJECT_SCHEMA).parquet(*paths)
 
     def batches(self) -> list[int]:
         """Finished micro-batches, ascending."""
-        return self._finished("deltas", "batch_id=")
+        return list(self._finished("deltas"))
 
     def pending(self, base: int) -> list[int]:
         """Finished micro-batches that base version `base` does not hold."""
@@ -114,15 +114,12 @@ class TierStore:
 
     def base_version(self) -> int:
         """Last micro-batch folded into the newest complete base, -1 before the first one."""
-        return max(self._finished("base", "v="), default=-1)
-
-    def _base(self, version: int) -> str:
-        return f"{self.root}/base/v={version}"
+        return max(self._finished("base"), default=-1)
 
     def _base_rows(self, version: int) -> DataFrame:
         if version < 0:
             return _empty(self.spark, _BASE_SCHEMA)
-        return self.spark.read.schema(_BASE_SCHEMA).parquet(self._base(version))
+        return self.spark.read.schema(_BASE_SCHEMA).parquet(self._finished("base")[version])
 
     def state(self) -> tuple[int, Tiers]:
         """The last micro-batch that counts (-1: none yet) and the tiers up to it.
@@ -170,9 +167,8 @@ class TierStore:
         # and as many directories as clients can send dates.
         (
             folded.sortWithinPartitions("tier", "bucket", "video_id")
-            .write.mode("overwrite")
-            .partitionBy("tier")
-            .parquet(self._base(batches[-1]))
+            .write.partitionBy("tier")
+            .parquet(self._new_version("base", batches[-1]))
         )
         return batches[-1]
 
@@ -182,20 +178,20 @@ class TierStore:
         A reader that started before the newest base was written must have ended.
         """
         version = self.base_version()
-        for batch_id in self.batches():
+        for batch_id, path in self._finished("deltas").items():
             if batch_id <= version:
-                self._delete(self._delta(batch_id))
-        for v in self._versions("base", "v="):
+                self._delete(path)
+        for v, path in self._finished("base").items():
             if v < version:
-                self._delete(self._base(v))
-        for v in self._finished("snapshot", "v=")[:-keep_snapshots]:
-            self._delete(f"{self.root}/snapshot/v={v}")
+                self._delete(path)
+        for path in list(self._finished("snapshot").values())[:-keep_snapshots]:
+            self._delete(path)
 
     # Published answers
 
     def publish(self, snapshot: DataFrame, clock: Clock, batch_id: int | None = None) -> int:
         """Write all timeframes as a new version: a list that became empty replaces the old one."""
-        version = max(self._versions("snapshot", "v="), default=-1) + 1
+        version = max(self._finished("snapshot"), default=-1) + 1
         rows = snapshot.withColumns(
             {
                 "as_of": wall_clock(clock.as_of),
@@ -203,17 +199,20 @@ class TierStore:
             }
         )
         rows = rows.select(*SNAPSHOT.names).coalesce(1)  # 4 x MAX_K rows at most
-        rows.write.mode("errorifexists").parquet(f"{self.root}/snapshot/v={version}")
+        rows.write.parquet(self._new_version("snapshot", version))
         return version
 
     def snapshot(self) -> DataFrame:
         """The newest answers; no rows before anything was published."""
-        versions = self._finished("snapshot", "v=")
+        versions = self._finished("snapshot")
         if not versions:
             return _empty(self.spark, SNAPSHOT)
-        return self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot/v={versions[-1]}")
+        return self.spark.read.schema(SNAPSHOT).parquet(versions[max(versions)])
 
-    # Directory listing, through Hadoop so that any file system Spark can use works
+    # Directories, through Hadoop so that any file system Spark can use works
+
+    def _new_version(self, folder: str, number: int) -> str:
+        return f"{self.root}/{folder}/v={number}-{uuid.uuid4().hex}"
 
     def _path(self, path: str):
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -223,12 +222,7 @@ class TierStore:
         path, fs = self._path(path)
         fs.delete(path, True)
 
-    def _versions(self, folder: str, prefix: str) -> list[int]:
-        path, fs = self._path(f"{self.root}/{folder}")
-        if not fs.exists(path):
-            return []
-        return _numbers([status.getPath() for status in fs.listStatus(path)], prefix)
-
-    def _finished(self, folder: str, prefix: str) -> list[int]:
-        path, fs = self._path(f"{self.root}/{folder}/{prefix}*/_SUCCESS")
-        return _numbers([status.getPath().getParent() for status in fs.globStatus(path)], prefix)
+    def _finished(self, folder: str) -> dict[int, str]:
+        """Number -> path of the complete directories in a folder, ascending."""
+        path, fs = self._path(f"{self.root}/{folder}/*=*/_SUCCESS")
+        return _numbered(status.getPath().getParent() for status in fs.globStatus(path))
