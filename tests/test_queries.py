@@ -77,6 +77,12 @@ def test_four_timeframes_take_one_scan_and_one_shuffle_of_counts(spark):
     assert plan.count("WindowGroupLimit") == 4  # partial and final, per shard and per timeframe
 
 
+def test_a_request_is_parsed_once(spark):
+    for name in ("ingest_valid_views", "ingest_rejects"):
+        plan = plan_of(queries()[name](spark, SF_DIR))
+        assert plan.count("from_json(") == 1 and plan.count("RLIKE(") == 1
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(queries()["topk_all_time"](spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan

@@ -33,6 +33,13 @@ def test_reasons(spark):
         '{"videoId":"a","timestamp":1717252320}': "malformed_body",
         f'[{{"videoId":"a",{T}}}]': "malformed_body",
         "{'videoId':'a','timestamp':'2024-06-01'}": "malformed_body",
+        f'{{"videoId":"a",{T}}} and more': "malformed_body",
+        f'{{"videoId":"a",{T}}} {{"videoId":"b",{T}}}': "malformed_body",
+        f'{{"videoId":"a",{T}}},{{"videoId":"b",{T}}}': "malformed_body",
+        f'{{"videoId":"a",{T}}}]': "malformed_body",
+        f'{{"videoId":"a",{T}}}] and more': "malformed_body",
+        f'{{"videoId":"a",{T}': "malformed_body",
+        "null": "malformed_body",
         "nonsense": "malformed_body",
         "": "malformed_body",
         None: "malformed_body",
@@ -41,6 +48,19 @@ def test_reasons(spark):
     assert {body: row.reason for body, row in got.items()} == expected
 
 
+def test_unusual_but_good_bodies(spark):
+    bodies = {
+        f' \n{{"videoId":"a",{T}}}\r\n\t ': "a",
+        f'{{"videoId":"a","videoId":"b",{T}}}': "b",
+        f'{{"videoId":"\\ud83d\\ude00",{T},"x":{{"videoId":1}}}}': "😀",
+        f'{{"videoId":"]","z":"}}]",{T}}}': "]",
+    }
+    got = checked(spark, *bodies)
+    assert {body: (row.video_id, row.reason) for body, row in got.items()} == {
+        body: (video, None) for body, video in bodies.items()
+    }
+
+
 def test_every_body_is_either_valid_or_rejected(spark):
     bodies = [f'{{"videoId":"a",{T}}}', '{"videoId":"a"}', "x", f'{{"videoId":" ",{T}}}']
     requests = spark.createDataFrame([(b,) for b in bodies], "body STRING")

@@ -56,10 +56,8 @@ def count_by_day(views: DataFrame) -> DataFrame:
 
 
 def count_by_month(views: DataFrame) -> DataFrame:
-    """Straight from views; truncating the date keeps the grouping key fixed-width."""
-    month = F.make_date(F.year("ts"), F.month("ts"), F.lit(1))
     return (
-        views.groupBy("video_id", month.alias("month"))
+        views.groupBy("video_id", F.trunc(F.to_date("ts"), "month").alias("month"))
         .agg(_view_count())
         .select("video_id", month_of(F.col("month").cast("string")).alias("month_bucket"), "count")
     )

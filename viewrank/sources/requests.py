@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from viewrank.functions.text import parse_timestamp, strip_whitespace
 
 # Both fields must be JSON strings. A STRING schema would turn 5 or {"a": 1} into text, so the
-# fields are read as VARIANT, which keeps the JSON type.
-_BODY_SCHEMA = "videoId VARIANT, timestamp VARIANT"
+# fields are read as VARIANT, which keeps the JSON type. The body is read as the one element of an
+# array, because the parser stops after the first value and would not see text that follows it.
+_BODY_SCHEMA = "ARRAY<STRUCT<videoId VARIANT, timestamp VARIANT>>"
 _JSON_OPTIONS = {"allowSingleQuotes": "false"}
+_JSON_SPACE = " \t\r\n"
 
 
 def _json_string(value: Column) -> Column:
@@ -25,11 +27,16 @@ def check_requests(requests: DataFrame, body: str = "body") -> DataFrame:
 
     Checked in this order: fields missing or not text, id empty once stripped, bad timestamp.
     """
-    parsed = F.from_json(F.col(body), _BODY_SCHEMA, _JSON_OPTIONS)
-    fields = requests.select(F.col(body).alias("body"), parsed.alias("parsed")).select(
+    listed = F.concat(F.lit("["), F.col(body), F.lit("]"))
+    parsed = requests.select(
+        F.col(body).alias("body"), F.from_json(listed, _BODY_SCHEMA, _JSON_OPTIONS).alias("parsed")
+    )
+    one_object = (F.size("parsed") == 1) & F.rtrim("body", F.lit(_JSON_SPACE)).endswith("}")
+    request = parsed.select("body", F.when(one_object, F.get("parsed", F.lit(0))).alias("request"))
+    fields = request.select(
         "body",
-        strip_whitespace(_json_string(F.col("parsed.videoId"))).alias("video_id"),
-        _json_string(F.col("parsed.timestamp")).alias("timestamp"),
+        strip_whitespace(_json_string(F.col("request.videoId"))).alias("video_id"),
+        _json_string(F.col("request.timestamp")).alias("timestamp"),
     )
     read = fields.select("body", "video_id", "timestamp", parse_timestamp(F.col("timestamp")).alias("ts"))
     reason = (
