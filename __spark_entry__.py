@@ -59,8 +59,8 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, user = F.col("event_id") % 10, F.col("user_id").cast("string")
     video, time = F.concat(F.lit("vid_"), user), F.col("ts").cast("string")
     video_id = (
-        F.when(kind == 0, F.lit("\t  "))
-        .when(kind == 2, F.concat(F.lit("　 "), video, F.lit("\n")))
+        F.when(kind == 0, F.lit("\t \u00a0"))
+        .when(kind == 2, F.concat(F.lit("\u3000 "), video, F.lit("\n")))
         .otherwise(video)
     )
     timestamp = (

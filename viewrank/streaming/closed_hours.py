@@ -61,7 +61,10 @@ def _state_on_disk(spark: SparkSession):
 def start_closed_hours(
     views: DataFrame, path: str, checkpoint: str, trigger: dict, delay: str = "1 minute"
 ) -> StreamingQuery:
-    """Write closed hours to Parquet under `path`, exactly once."""
+    """Write closed hours to Parquet under `path`, exactly once.
+
+    The first start fixes the number of state partitions to spark.sql.shuffle.partitions.
+    """
     with _state_on_disk(views.sparkSession):
         return (
             closed_hours(views, delay)
