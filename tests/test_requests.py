@@ -27,6 +27,20 @@ def test_reasons(spark):
         '{"videoId":"a"}': "malformed_body",
         f"{{{T}}}": "malformed_body",
         f'{{"videoId":5,{T}}}': "malformed_body",
+        f'{{"videoId":-0.5e3,{T}}}': "malformed_body",
+        f'{{"videoId":true,{T}}}': "malformed_body",
+        f'{{"videoId":false,{T}}}': "malformed_body",
+        f'{{"videoId":NaN,{T}}}': "malformed_body",
+        f'{{"videoId":-Infinity,{T}}}': "malformed_body",
+        f'{{"videoId":{{"a":1}},{T}}}': "malformed_body",
+        f'{{"videoId":{{}},{T}}}': "malformed_body",
+        f'{{"videoId":[],{T}}}': "malformed_body",
+        '{"videoId":"a","timestamp":true}': "malformed_body",
+        '{"videoId":"a","timestamp":{"t":1}}': "malformed_body",
+        '{"videoId":"a","timestamp":null}': "malformed_body",
+        '{"videoId":5,"timestamp":"yesterday"}': "malformed_body",
+        '{"videoId":"5","timestamp":"1717252320"}': "bad_timestamp",
+        '{"videoId":"a","timestamp":""}': "bad_timestamp",
         f'{{"videoId":null,{T}}}': "malformed_body",
         f'{{"videoId":["a"],{T}}}': "malformed_body",
         f'{{"VIDEOID":"a",{T}}}': "malformed_body",
@@ -54,6 +68,11 @@ def test_unusual_but_good_bodies(spark):
         f'{{"videoId":"a","videoId":"b",{T}}}': "b",
         f'{{"videoId":"\\ud83d\\ude00",{T},"x":{{"videoId":1}}}}': "😀",
         f'{{"videoId":"]","z":"}}]",{T}}}': "]",
+        f'{{"videoId":"5",{T}}}': "5",
+        f'{{"videoId":"true",{T}}}': "true",
+        f'{{"videoId":"[1]",{T}}}': "[1]",
+        f'{{"videoId":"-Infinity",{T}}}': "-Infinity",
+        f'{{"videoId":" {{}} ",{T}}}': "{}",
     }
     got = checked(spark, *bodies)
     assert {body: (row.video_id, row.reason) for body, row in got.items()} == {
