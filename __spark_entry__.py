@@ -6,6 +6,7 @@ Views come from `events` (video `vid_<user_id>` at `ts`) and, in bulk, from `lin
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -269,6 +270,24 @@ def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/hours")
 
 
+# The operators of training-data pipelines; the library works without them.
+_LLM = importlib.util.find_spec("viewrank.llm") and importlib.util.find_spec("corpus_pipeline")
+if _LLM:
+    import corpus_pipeline
+    from viewrank.llm import queries as llm
+
+
+def _llm_queries() -> dict[str, Query]:
+    return {**llm.queries(), "pipeline": corpus_pipeline.run} if _LLM else {}
+
+
+def _llm_sql() -> dict[str, str]:
+    if not _LLM:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.oracle_sql(), **pipeline}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The 100 most viewed videos of all time."""
     return queries()["topk_all_time"](spark, "/root/testdata/sf0.001")
@@ -327,6 +346,7 @@ def queries() -> dict[str, Query]:
         "stream_closed_hours": _stream_closed,
         "stream_request_counts": _stream_request_counts,
         "stream_rejects": _stream_rejects,
+        **_llm_queries(),
     }
 
 
@@ -502,4 +522,5 @@ def oracle_sql() -> dict[str, str]:
             f"""date_trunc('hour', ts) + INTERVAL 1 HOUR
                 <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
         ),
+        **_llm_sql(),
     }
