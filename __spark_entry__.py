@@ -137,15 +137,11 @@ def _roll_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _retain_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Retention keeps the hours that last day reads, so the same start can prune the scan.
-    views = views_between(event_views(spark, sf_dir), NOW.last_day_start, NOW.as_of)
-    return rollup.retain_hours(counting.count_by_hour(views), NOW)
+    return rollup.retain_hours(counting.count_by_hour(_views_until()(spark, sf_dir)), NOW)
 
 
 def _retain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = FEBRUARY.last_month_start - timedelta(days=1)
-    views = views_between(event_views(spark, sf_dir), start, FEBRUARY.as_of)
-    return rollup.retain_days(counting.count_by_day(views), FEBRUARY)
+    return rollup.retain_days(counting.count_by_day(_views_until(FEBRUARY)(spark, sf_dir)), FEBRUARY)
 
 
 def _upsert(tier: str) -> Query:
@@ -203,7 +199,39 @@ def _stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
         snapshot.refresh_snapshot(store, NOW)
 
     published = _streamed(spark, sf_dir, "stream-topk", refresh).snapshot()
-    return published.filter(F.col("timeframe") == "all time").select("rank", "video_id", "count")
+    return published.select("timeframe", "rank", "video_id", "count")
+
+
+def _store_top(clock: Clock) -> Query:
+    """Lists from a base and pending deltas, the last of them late, of the views up to NOW."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = TierStore(spark, new_work_folder(spark, "store-topk"))
+        views = _views_until()(spark, sf_dir)
+        ts, (start, until) = F.col("ts"), (wall_clock(LATE_FROM), wall_clock(LATE_UNTIL))
+        for batch_id, arrival in enumerate((ts < start, ts >= until, (ts >= start) & (ts < until))):
+            store.write_delta(batch_id, counting.count_by_hour(views.filter(arrival)))
+            if batch_id == 0:
+                store.compact(NOW)
+        snapshot.refresh_snapshot(store, clock)
+        return store.snapshot().select("timeframe", "rank", "video_id", "count")
+
+    return run
+
+
+def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part of the views, a compaction, and the rest from a checkpoint that knows nothing of the first."""
+    root = new_work_folder(spark, "stream-restart")
+    views = event_views(spark, sf_dir)
+    later = F.col("ts") >= wall_clock(DELTA_START)
+    for number, part in enumerate((views.filter(~later), views.filter(later))):
+        store = TierStore(spark, f"{root}/store")
+        store.checkpoint = f"{root}/checkpoint-{number}"
+        part.write.parquet(f"{root}/incoming-{number}")
+        stream = stream_table(spark, f"{root}/incoming-{number}", views.schema, FILES_PER_BATCH)
+        start_view_counts(stream, store, {"availableNow": True}).awaitTermination()
+        store.compact(NOW)
+    return store.tier("all_time")
 
 
 def _late_store(spark: SparkSession, sf_dir: str, name: str, compact: bool) -> TierStore:
@@ -341,6 +369,9 @@ def queries() -> dict[str, Query]:
         "stream_hour_counts": _stream_tier("hour"),
         "stream_alltime": _stream_tier("all_time"),
         "stream_topk": _stream_top,
+        "store_topk_snapshot": _store_top(NOW),
+        "store_topk_snapshot_later": _store_top(HOUR_LATER),
+        "stream_restart_counts": _stream_restart,
         "stream_late_views": _stream_late,
         "stream_compacted_tiers": _stream_compacted,
         "stream_closed_hours": _stream_closed,
@@ -393,9 +424,13 @@ def _sql_top(counts: str) -> str:
 
 
 def _sql_snapshot(clock: Clock) -> str:
+    return _sql_lists(clock, _sql_views)
+
+
+def _sql_lists(clock: Clock, views: Callable[[Clock], str]) -> str:
     lists = [
         f"SELECT '{timeframe}' AS timeframe, rank, video_id, \"count\" "
-        f"FROM ({_sql_top(_sql_counts(timeframe, clock))})"
+        f"FROM ({_sql_top(_sql_counts(timeframe, clock, views))})"
         for timeframe in ("last hour", "last day", "last month", "all time")
     ]
     return " UNION ALL ".join(lists)
@@ -506,7 +541,10 @@ def oracle_sql() -> dict[str, str]:
                 LEFT JOIN ({all_time}) now ON top.video_id = now.video_id)""",
         "stream_hour_counts": _sql_tier(_HOUR, "hour_bucket", None),
         "stream_alltime": f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id",
-        "stream_topk": _sql_top(f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id"),
+        "stream_topk": _sql_lists(NOW, lambda clock: _sql_views(None)),
+        "store_topk_snapshot": _sql_snapshot(NOW),
+        "store_topk_snapshot_later": _sql_lists(HOUR_LATER, lambda clock: _sql_views(NOW)),
+        "stream_restart_counts": f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id",
         "stream_late_views": _sql_tier(_HOUR, "hour_bucket", None),
         "stream_request_counts": f"""{_SQL_REQUESTS} SELECT video_id, {_HOUR} AS hour_bucket, {_N}
             FROM checked WHERE reason IS NULL GROUP BY ALL""",

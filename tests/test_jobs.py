@@ -8,10 +8,10 @@ from viewrank.__main__ import main
 from viewrank.session import new_work_folder, shared_folder
 
 BODIES = [
-    '{"videoId": "abc123", "timestamp": "2024-06-01T14:32:00"}',
-    '{"videoId": "abc123", "timestamp": "2024-06-01T14:33:00"}',
-    '{"videoId": "xyz789", "timestamp": "2024-06-01T13:59:00"}',
-    '{"videoId": "", "timestamp": "2024-06-01T13:59:00"}',
+    '{"videoId": "film_7", "timestamp": "2023-03-09T08:15:00"}',
+    '{"videoId": "film_7", "timestamp": "2023-03-09T08:16:00"}',
+    '{"videoId": "film_2", "timestamp": "2023-03-09T07:41:00"}',
+    '{"videoId": "", "timestamp": "2023-03-09T07:41:00"}',
 ]
 
 
@@ -19,17 +19,17 @@ def test_jobs_from_request_to_response(spark, capsys):
     folder = new_work_folder(spark, "jobs")
     store = ["--store", f"{folder}/store"]
     spark.createDataFrame([(b,) for b in BODIES], "value STRING").write.text(f"{folder}/in")
-    main(["count", *store, "--path", f"{folder}/in", "--once", "--as-of", "2024-06-01T14:40:00"])
+    main(["count", *store, "--path", f"{folder}/in", "--once", "--as-of", "2023-03-09T08:20:00"])
 
     def answer(timeframe):
         main(["top", *store, "--timeframe", timeframe, "--k", "5"])
         return json.loads(capsys.readouterr().out)
 
-    both = [{"video_id": "abc123", "count": 2}, {"video_id": "xyz789", "count": 1}]
+    both = [{"video_id": "film_7", "count": 2}, {"video_id": "film_2", "count": 1}]
     assert answer("last day") == {"timeframe": "last day", "k": 5, "videos": both}
-    main(["maintain", *store, "--as-of", "2024-06-02T14:10:00"])
+    main(["maintain", *store, "--as-of", "2023-03-10T08:05:00"])
     assert answer("last day")["videos"] == both[:1]
-    main(["refresh", *store, "--as-of", "2024-06-03T14:10:00"])
+    main(["refresh", *store, "--as-of", "2023-03-11T08:05:00"])
     assert answer("last day")["videos"] == []
     assert answer("all time")["videos"] == both
     with pytest.raises(ValueError):

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -9,7 +9,7 @@ from conftest import rows
 from viewrank.clock import Clock
 from viewrank.operators.counting import as_tier, count_by_hour, fold
 from viewrank.plans.maintenance import maintain
-from viewrank.plans.snapshot import refresh_snapshot, top_videos
+from viewrank.plans.snapshot import refresh_snapshot, replay_snapshot, top_videos
 from viewrank.schema import TIER_KEYS
 from viewrank.session import new_work_folder
 from viewrank.sources.requests import parse_requests
@@ -109,6 +109,45 @@ def test_compaction_keeps_totals_and_trims_old_buckets(store, views_of, now):
     assert list(store._finished("base")) == [2]
 
 
+def test_a_second_maintenance_deletes_nothing_that_readers_may_hold(store, views_of, now):
+    for batch_id, arrival in enumerate(ARRIVALS[:2]):
+        store.write_delta(batch_id, count_by_hour(views_of(arrival)))
+        maintain(store, now)
+    maintain(store, now)
+    assert (store.batches(), list(store._finished("base"))) == ([0, 1], [0, 1])
+
+
+def test_visible_without_markers_of_the_writers(spark, store, views_of, now):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store.write_delta(0, count_by_hour(views_of(ARRIVALS[0])))
+        store.compact(now)
+        refresh_snapshot(store, now)
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert (store.batches(), store.base_version(), store.snapshot().isEmpty()) == ([0], 0, False)
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_new_checkpoint_goes_on_behind_the_old_one(spark, folder, store, views_of, now, compacted):
+    arrive(views_of(ARRIVALS[0]), folder)
+    run(spark, folder, store, views_of)
+    if compacted:
+        store.compact(now)
+    store.checkpoint = f"{store.root}/checkpoint-2"
+    run(spark, folder, store, views_of)  # reads everything again, as a new checkpoint does
+    assert store.batches() == [0, 1]
+    check_all_tiers(store, views_of(ARRIVALS[0] * 2))
+
+
+def test_an_older_state_published_later_is_not_served(store, views_of, now):
+    store.write_delta(0, count_by_hour(views_of(ARRIVALS[0])))
+    store.publish(replay_snapshot(views_of(ARRIVALS[0]), now), now, 5)
+    store.publish(replay_snapshot(views_of(ARRIVALS[1]), now), now, 3)
+    assert {row.batch_id for row in store.snapshot().collect()} == {5}
+
+
 def test_compaction_in_parts_equals_compaction_at_once(spark, folder, views_of, now):
     parts, whole = TierStore(spark, f"{folder}/parts"), TierStore(spark, f"{folder}/whole")
     for batch_id, arrival in enumerate(ARRIVALS):
@@ -126,8 +165,6 @@ def test_unfinished_delta_and_base_are_not_read(store, views_of, now):
     store.write_delta(1, count_by_hour(views_of(ARRIVALS[1])))
     for name in ("base/v=1-lost", "deltas/batch_id=1"):
         count_by_hour(views_of(ARRIVALS[1])).write.mode("overwrite").parquet(f"{store.root}/{name}")
-        path, fs = store._path(f"{store.root}/{name}/_SUCCESS")
-        fs.delete(path, False)
     check_all_tiers(store, views_of(ARRIVALS[0]))
 
 
@@ -163,13 +200,13 @@ def test_flush_without_rows_and_failing_callback(spark, folder, store, views_of)
 
 def test_maintenance_compacts_and_refreshes(store, views_of, now):
     store.write_delta(0, count_by_hour(views_of(ARRIVALS[0])))
-    maintain(store, now)
+    maintain(store, now, timedelta(0))
     assert store.base_version() == 0
     assert top_videos(store.snapshot(), "all time", 5).count() == 2
     # What a run replaced stays for running readers until the next run.
     assert store.batches() == [0]
     store.write_delta(1, count_by_hour(views_of(ARRIVALS[1])))
-    maintain(store, now)
+    maintain(store, now, timedelta(0))
     assert (store.batches(), list(store._finished("base"))) == ([1], [0, 1])
     check_all_tiers(store, views_of(ARRIVALS[0] + ARRIVALS[1]))
     for _ in range(3):

@@ -22,13 +22,17 @@ from viewrank.sources.views import stream_requests
 from viewrank.streaming.view_counts import start_request_counts
 
 
+# What one micro-batch takes at most unless --option says otherwise; the rest waits for the next one.
+BATCH_BOUNDS = {"text": {"maxFilesPerTrigger": "1000"}, "kafka": {"maxOffsetsPerTrigger": "10000000"}}
+
+
 def clock_at(as_of: str | None) -> Clock:
     return Clock(datetime.fromisoformat(as_of)) if as_of else Clock.now()
 
 
 def count(store: TierStore, args: argparse.Namespace) -> None:
     """Runs until stopped; `--once` stops when everything that has arrived is counted."""
-    options = dict(option.split("=", 1) for option in args.option)
+    options = {**BATCH_BOUNDS.get(args.source, {}), **dict(o.split("=", 1) for o in args.option)}
     requests = stream_requests(store.spark, args.source, options, args.path)
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
     start_request_counts(

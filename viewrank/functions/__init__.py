@@ -1,14 +0,0 @@
-from viewrank.functions.buckets import day_of, day_text_of, hour_text_of, month_of, wall_clock
-from viewrank.functions.shards import shard_of
-from viewrank.functions.text import parse_timestamp, strip_whitespace
-
-__all__ = [
-    "day_of",
-    "day_text_of",
-    "hour_text_of",
-    "month_of",
-    "parse_timestamp",
-    "shard_of",
-    "strip_whitespace",
-    "wall_clock",
-]

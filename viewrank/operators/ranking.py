@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewrank.functions.shards import shard_of
-from viewrank.schema import MAX_K
+from viewrank.schema import MAX_K, check_length
+
 
 def best_first() -> list[Column]:
     return [F.col("count").desc(), F.col("video_id").asc()]
@@ -14,6 +15,7 @@ def best_first() -> list[Column]:
 
 def top_k(counts: DataFrame, k: int = MAX_K) -> DataFrame:
     """First k rows with their rank. The limit comes first, so the rank sees k rows at most."""
+    check_length(k)
     best = counts.orderBy(*best_first()).limit(k)
     return best.select(
         F.row_number().over(Window.orderBy(*best_first())).alias("rank"), "video_id", "count"
@@ -23,8 +25,9 @@ def top_k(counts: DataFrame, k: int = MAX_K) -> DataFrame:
 def top_k_per_shard(counts: DataFrame, k: int = MAX_K) -> DataFrame:
     """First k rows of every shard. Each task cuts its rows to k per shard before the shuffle.
 
-    Spark does so for k up to spark.sql.optimizer.windowGroupLimitThreshold (1000 by default).
+    Spark does so for any k that a list may have.
     """
+    check_length(k)
     by_shard = Window.partitionBy("shard").orderBy(*best_first())
     return (
         counts.withColumn("shard", shard_of(F.col("video_id")))

@@ -18,7 +18,7 @@ from viewrank.functions.shards import shard_of
 from viewrank.operators.counting import Tiers
 from viewrank.operators.ranking import best_first
 from viewrank.operators.timeframes import closed_days_of_month, hours_of_today
-from viewrank.schema import MAX_K, TIMEFRAMES, check_k, check_timeframe
+from viewrank.schema import MAX_K, TIMEFRAMES, check_k, check_length, check_timeframe
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import views_between
 
@@ -84,6 +84,7 @@ def slots_from_tiers(tiers: Tiers, clock: Clock) -> DataFrame:
 
 def rank_slots(slots: DataFrame, k: int = MAX_K) -> DataFrame:
     """`timeframe, rank, video_id, count` for all timeframes."""
+    check_length(k)
     counted = slots.groupBy("video_id").agg(*[F.sum(slot).alias(slot) for slot in _SLOTS])
     candidates = F.array(
         *[
@@ -159,7 +160,7 @@ def snapshot_documents(snapshot: DataFrame) -> DataFrame:
         ]
     )
     keys = snapshot.sparkSession.range(0, 1, 1, 1).select(F.inline(labels))
-    lists = snapshot.filter(F.col("rank") <= MAX_K).groupBy("timeframe").agg(_videos().alias("videos"))
+    lists = snapshot.groupBy("timeframe").agg(_videos().alias("videos"))
     payload = F.to_json(F.coalesce("videos", F.array().cast(_NO_VIDEOS)))
     return keys.join(lists, "timeframe", "left").select("key", payload.alias("payload"))
 

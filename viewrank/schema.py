@@ -65,6 +65,12 @@ def check_timeframe(timeframe: str) -> str:
     return timeframe
 
 
+def check_length(k: int) -> None:
+    """A list holds at most MAX_K rows, so that no task ranks an unbounded one."""
+    if not 1 <= k <= MAX_K:
+        raise ValueError(f"a list holds 1 to {MAX_K} rows, not {k}")
+
+
 def check_k(k: int) -> int:
     """The served length: 1 to MAX_K - 1."""
     if isinstance(k, bool) or not isinstance(k, int) or not 1 <= k < MAX_K:

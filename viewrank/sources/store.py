@@ -6,17 +6,21 @@ Layout under one root, which must be a folder every executor reaches:
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
     base/v=N-<id>/tier=T/       all batches up to N, folded, sorted by bucket
-    snapshot/v=N-<id>/          the top-K lists, newest version wins
-
-Every write goes to a directory of its own and becomes visible when its _SUCCESS file is there.
-A replayed micro-batch overwrites its directory with the same rows, so it counts once; for that,
-one stream writes a root. Jobs that compact or publish at the same moment write different
-directories, each complete in itself, and readers take one of them.
+    snapshot/v=N-b<batch>-t<as_of>-<id>/   the top-K lists; the highest batch, then moment, wins
+
+Every write goes to a directory of its own and becomes visible when the store has put its own marker
+there, whatever markers Spark's writers leave; a write that is not visible afterwards is an error. A
+replayed micro-batch overwrites its directory with the same rows, so it counts once; for that, one
+stream writes a root. A new checkpoint on the same root goes on behind the batches that are there: its
+first number lies in the checkpoint folder. Jobs that compact or publish at the same moment write
+different directories, each complete in itself, and readers take one of them.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,9 +58,13 @@ def _tier_form(base: DataFrame, tier: str) -> DataFrame:
     return rows.select(*TIER_SCHEMA[tier].names)
 
 
+# The marker of a complete directory; readers of Parquet pass over such names.
+_COMPLETE = "_COMPLETE"
+
+
 def _numbered(paths) -> dict[int, str]:
     """N -> path for directories named `<key>=N` or `<key>=N-<id>`, ascending."""
-    found = sorted((int(path.getName().split("=")[1].split("-")[0]), path.toString()) for path in paths)
+    found = sorted((int(path.rsplit("=", 1)[1].split("-")[0]), path) for path in paths)
     return dict(found)
 
 
@@ -70,21 +78,39 @@ class TierStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/checkpoint"
+        self.checkpoint = f"{self.root}/checkpoint"
 
     # Deltas
 
+    def first_batch(self) -> int:
+        """What is added to the batch numbers of the present checkpoint: fixed at its first start."""
+        path, fs = self._path(f"{self.checkpoint}/first_batch")
+        if fs.exists(path):
+            stream = fs.open(path)
+            try:
+                return stream.readLong()
+            finally:
+                stream.close()
+        offsets, _ = self._path(f"{self.checkpoint}/offsets")
+        first = 0 if fs.exists(offsets) else max([self.base_version(), *self.batches()]) + 1
+        stream = fs.create(path, False)
+        stream.writeLong(first)
+        stream.close()
+        return first
+
     def write_delta(self, batch_id: int, delta: DataFrame) -> None:
-        delta.select(*TIER_SCHEMA["hour"].names).write.mode("overwrite").parquet(self._delta(batch_id))
+        path = self._delta(batch_id)
+        delta.select(*TIER_SCHEMA["hour"].names).write.mode("overwrite").parquet(path)
+        self._complete("deltas", path)
 
     def delta_is_empty(self, batch_id: int) -> bool:
         return self.spark.read.schema(TIER_SCHEMA["hour"]).parquet(self._delta(batch_id)).isEmpty()
 
     def write_rejects(self, batch_id: int, rejects: DataFrame) -> None:
-        rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+        """An empty batch leaves one small file, so that a replay replaces what it wrote before."""
+        path = f"{self.root}/rejects/batch_id={batch_id}"
+        rejects.write.mode("overwrite").parquet(path)
+        self._complete("rejects", path)
 
     def rejects(self) -> DataFrame:
         """All refused requests: `reason, body`."""
@@ -116,25 +142,33 @@ class TierStore:
         """Last micro-batch folded into the newest complete base, -1 before the first one."""
         return max(self._finished("base"), default=-1)
 
-    def _base_rows(self, version: int) -> DataFrame:
-        if version < 0:
+    def _base_rows(self, path: str | None) -> DataFrame:
+        if path is None:
             return _empty(self.spark, _BASE_SCHEMA)
-        return self.spark.read.schema(_BASE_SCHEMA).parquet(self._finished("base")[version])
+        return self.spark.read.schema(_BASE_SCHEMA).parquet(path)
 
     def state(self) -> tuple[int, Tiers]:
         """The last micro-batch that counts (-1: none yet) and the tiers up to it.
 
         Base and pending deltas lie side by side: keys may repeat, readers sum them.
         """
-        version = self.base_version()
-        batches = self.pending(version)
-        return max([version, *batches]), self._tiers(version, batches)
+        version, base, batches = self._listing()
+        return max([version, *batches]), self._tiers(base, batches)
+
+    def _listing(self) -> tuple[int, str | None, list[int]]:
+        """Newest base, its path and the deltas behind it, each listed once.
+
+        Deltas come first: what a compaction folds in between is then in the base that is seen.
+        """
+        deltas, bases = self._finished("deltas"), self._finished("base")
+        version = max(bases, default=-1)
+        return version, bases.get(version), [b for b in deltas if b > version]
 
     def tiers(self) -> Tiers:
         return self.state()[1]
 
-    def _tiers(self, version: int, batches: list[int]) -> Tiers:
-        base, deltas = self._base_rows(version), self._delta_rows(batches)
+    def _tiers(self, base_path: str | None, batches: list[int]) -> Tiers:
+        base, deltas = self._base_rows(base_path), self._delta_rows(batches)
         return Tiers(
             **{tier: _tier_form(base, tier).unionByName(as_tier(deltas, tier)) for tier in TIER_KEYS}
         )
@@ -147,14 +181,14 @@ class TierStore:
         """Fold pending deltas into a new base, apply retention, and return its version.
 
         Each delta is folded into every tier once, so a late view reaches all of them and a
-        repeated run has nothing left to add. One job writes all tiers, so its _SUCCESS file
-        makes them visible together.
+        repeated run has nothing left to add. One job writes all tiers, so they become visible
+        together.
         """
-        old = self.base_version()
-        batches = [b for b in self.pending(old) if through is None or b <= through]
+        old, base, pending = self._listing()
+        batches = [b for b in pending if through is None or b <= through]
         if not batches:
             return old
-        tiers = self._tiers(old, batches)
+        tiers = self._tiers(base, batches)
         kept = [
             _base_form(retain_hours(tiers.hour, clock), "hour"),
             _base_form(retain_days(tiers.day, clock), "day"),
@@ -165,32 +199,36 @@ class TierStore:
         folded = rows.groupBy("tier", "bucket", "video_id").agg(F.sum("count").alias("count"))
         # Sorted files let Parquet skip to a bucket. A directory per bucket would add a shuffle,
         # and as many directories as clients can send dates.
-        (
-            folded.sortWithinPartitions("tier", "bucket", "video_id")
-            .write.partitionBy("tier")
-            .parquet(self._new_version("base", batches[-1]))
-        )
+        path = self._new_version("base", str(batches[-1]))
+        folded.sortWithinPartitions("tier", "bucket", "video_id").write.partitionBy("tier").parquet(path)
+        self._complete("base", path)
         return batches[-1]
 
-    def clean_up(self, keep_snapshots: int = 10) -> None:
-        """Drop deltas, bases and answers that newer ones replaced.
+    def clean_up(self, keep_snapshots: int = 10, grace: timedelta = timedelta(0)) -> None:
+        """Drop deltas, bases and answers that were replaced at least `grace` ago.
 
-        A reader that started before the newest base was written must have ended.
+        A reader that started before then must have ended.
         """
-        version = self.base_version()
+        bases = self._finished("base")
+        settled = [v for v, path in bases.items() if self._age(path) >= grace.total_seconds()]
+        version = max(settled, default=-1)
         for batch_id, path in self._finished("deltas").items():
             if batch_id <= version:
                 self._delete(path)
-        for v, path in self._finished("base").items():
+        for v, path in bases.items():
             if v < version:
                 self._delete(path)
-        for path in list(self._finished("snapshot").values())[:-keep_snapshots]:
+        for path in self._answers()[:-keep_snapshots]:
             self._delete(path)
 
     # Published answers
 
     def publish(self, snapshot: DataFrame, clock: Clock, batch_id: int | None = None) -> int:
-        """Write all timeframes as a new version: a list that became empty replaces the old one."""
+        """Write all timeframes as a new version: a list that became empty replaces the old one.
+
+        The state an answer reflects decides which one is served, not the order of publishing. An
+        answer without a batch counts as older than one with.
+        """
         version = max(self._finished("snapshot"), default=-1) + 1
         rows = snapshot.withColumns(
             {
@@ -199,19 +237,31 @@ class TierStore:
             }
         )
         rows = rows.select(*SNAPSHOT.names).coalesce(1)  # 4 x MAX_K rows at most
-        rows.write.parquet(self._new_version("snapshot", version))
+        state = f"b{0 if batch_id is None else batch_id + 1}-t{clock.as_of:%Y%m%dT%H%M%S%f}"
+        path = self._new_version("snapshot", f"{version}-{state}")
+        rows.write.parquet(path)
+        self._complete("snapshot", path)
         return version
 
     def snapshot(self) -> DataFrame:
-        """The newest answers; no rows before anything was published."""
-        versions = self._finished("snapshot")
-        if not versions:
+        """The answers of the newest state; no rows before anything was published."""
+        answers = self._answers()
+        if not answers:
             return _empty(self.spark, SNAPSHOT)
-        return self.spark.read.schema(SNAPSHOT).parquet(versions[max(versions)])
+        return self.spark.read.schema(SNAPSHOT).parquet(answers[-1])
+
+    def _answers(self) -> list[str]:
+        """Complete answers by the state they reflect, then by the order of publishing."""
+
+        def state(path: str) -> tuple:
+            number, batch, moment, own = path.rsplit("v=", 1)[1].split("-", 3)
+            return int(batch[1:]), moment, int(number), own
+
+        return sorted(self._complete_paths("snapshot"), key=state)
 
     # Directories, through Hadoop so that any file system Spark can use works
 
-    def _new_version(self, folder: str, number: int) -> str:
+    def _new_version(self, folder: str, number: str) -> str:
         return f"{self.root}/{folder}/v={number}-{uuid.uuid4().hex}"
 
     def _path(self, path: str):
@@ -222,7 +272,23 @@ class TierStore:
         path, fs = self._path(path)
         fs.delete(path, True)
 
+    def _complete(self, folder: str, path: str) -> None:
+        """Make a written directory visible, and make sure that it is."""
+        marker, fs = self._path(f"{path}/{_COMPLETE}")
+        fs.create(marker, True).close()
+        listed = {p.rsplit("/", 1)[1] for p in self._complete_paths(folder)}
+        if path.rsplit("/", 1)[1] not in listed:
+            raise RuntimeError(f"{path} was written but cannot be listed")
+
+    def _age(self, path: str) -> float:
+        """Seconds since a directory became visible."""
+        marker, fs = self._path(f"{path}/{_COMPLETE}")
+        return time.time() - fs.getFileStatus(marker).getModificationTime() / 1000
+
+    def _complete_paths(self, folder: str) -> list[str]:
+        path, fs = self._path(f"{self.root}/{folder}/*=*/{_COMPLETE}")
+        return [status.getPath().getParent().toString() for status in fs.globStatus(path)]
+
     def _finished(self, folder: str) -> dict[int, str]:
         """Number -> path of the complete directories in a folder, ascending."""
-        path, fs = self._path(f"{self.root}/{folder}/*=*/_SUCCESS")
-        return _numbered(status.getPath().getParent() for status in fs.globStatus(path))
+        return _numbered(self._complete_paths(folder))

@@ -32,7 +32,10 @@ def start_view_counts(
     something; if it fails, the error is logged and counting goes on.
     """
 
+    first = store.first_batch()
+
     def flush(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         store.write_delta(batch_id, count_by_hour(batch))
         _after_flush(store, batch_id, on_flush)
 
@@ -47,7 +50,10 @@ def start_request_counts(
 ) -> StreamingQuery:
     """Count a stream of request bodies (column `body`); refused ones are kept with their reason."""
 
+    first = store.first_batch()
+
     def flush(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         checked = check_requests(batch).persist()  # one micro-batch, parsed once for both writes
         try:
             store.write_rejects(batch_id, rejects(checked))
