@@ -37,22 +37,29 @@ SCALE = 64.0  # keeps sums over segmentations near one; taken back in the logari
 WORDS_HELD = 300_000
 REMEMBERED = 300_000
 AT_ONCE = 20_000
+# Places in the words of one lattice.
+CELLS = 60_000
 
 
 class Lattice:
-    """All pieces inside some words, as edges ordered by where they end."""
+    """All pieces inside some words, as edges.
+
+    `pieces` numbers the pieces from zero, and has -1 for what only begins one.
+    """
 
     def __init__(self, pieces: dict[str, int], longest: int, words: list[str]):
         self.count = len(words)
         word, start, end, piece = [], [], [], []
-        unknown = len(pieces)
+        unknown = max(pieces.values(), default=-1) + 1
         for w, text in enumerate(words):
             n = len(text)
             for i in range(n):
                 found = False
                 for j in range(i + 1, min(n, i + longest) + 1):
                     p = pieces.get(text[i:j])
-                    if p is not None:
+                    if p is None:
+                        break
+                    if p >= 0:
                         word.append(w), start.append(i), end.append(j), piece.append(p)
                         found = found or j == i + 1
                 if not found:
@@ -107,6 +114,18 @@ class Lattice:
         return out
 
 
+def by_length(texts: list[str]) -> Iterator[np.ndarray]:
+    """Places of texts of similar lengths, some at a time: a lattice is as wide as its longest text."""
+    lengths = np.array([len(t) for t in texts])
+    order = np.argsort(lengths, kind="stable")
+    low = 0
+    while low < len(order):
+        high = low + max(1, CELLS // (int(lengths[order[low]]) + 1))
+        high = low + max(1, CELLS // (int(lengths[order[min(high, len(order)) - 1]]) + 1))
+        yield order[low:high]
+        low = high
+
+
 def stretches(word: bytes) -> list[str]:
     """A word in lower case with its mark, cut where it is very long."""
     text = MARK + word.decode("utf-8", "replace").lower()
@@ -122,7 +141,13 @@ def _vocabulary(model: bytes) -> tuple[dict[str, int], np.ndarray]:
     pieces: dict[str, int] = {}
     for text in (p.text.lower() for p in read_model(model).pieces if p.kind == 1):
         pieces.setdefault(text, len(pieces))
-    return pieces, np.array([*map(len, pieces), 1])
+    return with_beginnings(pieces), np.array([*map(len, pieces), 1])
+
+
+def with_beginnings(pieces: dict[str, int]) -> dict[str, int]:
+    """The pieces, and -1 for every text that only begins one."""
+    begins = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
+    return begins | pieces
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -162,8 +187,9 @@ def _expect(model: bytes, langs: list[str], probability):
                 own = stretches(word)
                 texts += own
                 owner += [w] * len(own)
-            for at in range(0, len(texts), AT_ONCE):
-                total += Lattice(pieces, longest, texts[at : at + AT_ONCE]).expected(weight, times[owner[at : at + AT_ONCE]])
+            owner = np.array(owner, dtype=np.int64)
+            for some in by_length(texts):
+                total += Lattice(pieces, longest, [texts[i] for i in some]).expected(weight, times[owner[some]])
         some = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_pydict(
             {"piece": some.astype(np.int32), "counts": list(total[some])}, schema=schema
@@ -223,9 +249,9 @@ def _predict(model: bytes, langs: list[str], probability):
                 own = stretches(word)
                 texts += own
                 owner += [place] * len(own)
-            for at in range(0, len(texts), AT_ONCE):
-                found = Lattice(pieces, longest, texts[at : at + AT_ONCE]).log_sums(weight)
-                np.add.at(scores, owner[at : at + AT_ONCE], found)
+            owner = np.array(owner, dtype=np.int64)
+            for some in by_length(texts):
+                np.add.at(scores, owner[some], Lattice(pieces, longest, [texts[i] for i in some]).log_sums(weight))
 
         for part in batches:
             counted = [Counter((text or b"").split()) for text in part.column("text").to_pylist()]
