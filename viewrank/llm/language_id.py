@@ -35,7 +35,7 @@ ROUNDS = 1
 FLOOR = 0.5  # what every piece counts before anything is seen, spread over the vocabulary's own shares
 SCALE = 64.0  # keeps sums over segmentations near one; taken back in the logarithm
 WORDS_HELD = 300_000
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 AT_ONCE = 20_000
 # Places in the words of one lattice.
 CELLS = 60_000
