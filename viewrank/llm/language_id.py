@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,39 +38,62 @@ SCALE = 64.0  # keeps sums over segmentations near one; taken back in the logari
 WORDS_HELD = 300_000
 REMEMBERED = 1_000_000
 AT_ONCE = 20_000
+CHARACTER_BITS = 21  # fixed value: what a code point takes
 # Places in the words of one lattice.
 CELLS = 60_000
 
 
-class Lattice:
-    """All pieces inside some words, as edges.
+class Trie(NamedTuple):
+    """Pieces as a tree of characters, in arrays, so that many words descend at once. The root is node 0."""
+
+    edges: np.ndarray  # node and character in one number, ascending
+    children: np.ndarray  # the node each edge leads to
+    pieces: np.ndarray  # the piece that ends at a node, -1 for what only begins one
+
+    def step(self, nodes: np.ndarray, characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the nodes have an edge with their character, and the nodes these lead to."""
+        asked = nodes << CHARACTER_BITS | characters
+        at = np.minimum(np.searchsorted(self.edges, asked), len(self.edges) - 1)
+        found = np.flatnonzero(self.edges[at] == asked)
+        return found, self.children[at[found]]
 
-    `pieces` numbers the pieces from zero, and has -1 for what only begins one.
-    """
 
-    def __init__(self, pieces: dict[str, int], longest: int, words: list[str]):
+class Lattice:
+    """All pieces inside some words, as edges from place to place."""
+
+    def __init__(self, trie: Trie, longest: int, words: list[str]):
         self.count = len(words)
-        word, start, end, piece = [], [], [], []
-        unknown = max(pieces.values(), default=-1) + 1
-        for w, text in enumerate(words):
-            n = len(text)
-            for i in range(n):
-                found = False
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = pieces.get(text[i:j])
-                    if p is None:
-                        break
-                    if p >= 0:
-                        word.append(w), start.append(i), end.append(j), piece.append(p)
-                        found = found or j == i + 1
-                if not found:
-                    word.append(w), start.append(i), end.append(i + 1), piece.append(unknown)
-        self.lengths = np.array([len(text) for text in words])
-        self.word, self.start, self.end, self.piece = (np.array(x, dtype=np.int64) for x in (word, start, end, piece))
+        self.lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         self.size = int(self.lengths.max(initial=0)) + 1
+        characters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        owner = np.repeat(np.arange(self.count), self.lengths)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        left = self.lengths[owner] - place
+        start, length, piece = [], [], []
+        here, nodes = np.arange(len(owner)), np.zeros(len(owner), dtype=np.int64)
+        for n in range(1, longest + 1):
+            inside = left[here] >= n
+            here, nodes = here[inside], nodes[inside]
+            if not len(here):
+                break
+            found, nodes = trie.step(nodes, characters[here + n - 1])
+            here = here[found]
+            whole = np.flatnonzero(trie.pieces[nodes] >= 0)
+            start.append(here[whole]), piece.append(trie.pieces[nodes[whole]])
+            if n == 1:  # a character that is no piece counts as the unknown one, numbered behind the others
+                unknown = np.ones(len(owner), dtype=bool)
+                unknown[start[0]] = False
+                other = np.flatnonzero(unknown)
+                start[0] = np.concatenate([start[0], other])
+                piece[0] = np.concatenate([piece[0], np.full(len(other), trie.pieces.max() + 1)])
+            length.append(np.full(len(start[-1]), n))
+        at, length, self.piece = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (start, length, piece))
+        self.word, self.start = owner[at], place[at]
+        self.end = self.start + length
 
     def _by(self, key: np.ndarray) -> list[np.ndarray]:
-        order = np.argsort(key, kind="stable")
+        """Edges by a place, those of one word together."""
+        order = np.argsort(key * self.count + self.word, kind="stable")
         cuts = np.searchsorted(key[order], np.arange(self.size + 1))
         return [order[cuts[k] : cuts[k + 1]] for k in range(self.size)]
 
@@ -109,9 +133,8 @@ class Lattice:
         ahead, behind = self.forward(weight), self.backward(weight)
         whole = np.maximum(ahead[np.arange(self.count), self.lengths], 1e-300)
         share = ahead[self.word, self.start] * weight[self.piece] * behind[self.word, self.end] / whole[self.word]
-        out = np.zeros((weight.shape[0], times.shape[1]))
-        np.add.at(out, self.piece, share * times[self.word])
-        return out
+        own = share * times[self.word]
+        return np.column_stack([np.bincount(self.piece, own[:, k], len(weight)) for k in range(own.shape[1])])
 
 
 def by_length(texts: list[str]) -> Iterator[np.ndarray]:
@@ -136,18 +159,25 @@ def _scaled(probability: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return probability * SCALE ** np.minimum(lengths, LONGEST)[:, None]
 
 
-def _vocabulary(model: bytes) -> tuple[dict[str, int], np.ndarray]:
-    """Piece -> number, lower-case pieces only once; the length of each, the unknown piece last."""
+def _vocabulary(model: bytes) -> tuple[Trie, np.ndarray]:
+    """The pieces in lower case, each once; the length of each, the unknown piece last."""
     pieces: dict[str, int] = {}
     for text in (p.text.lower() for p in read_model(model).pieces if p.kind == 1):
         pieces.setdefault(text, len(pieces))
     return with_beginnings(pieces), np.array([*map(len, pieces), 1])
 
 
-def with_beginnings(pieces: dict[str, int]) -> dict[str, int]:
-    """The pieces, and -1 for every text that only begins one."""
-    begins = {p[:n]: -1 for p in pieces for n in range(1, len(p))}
-    return begins | pieces
+def with_beginnings(pieces: dict[str, int]) -> Trie:
+    """The tree of some numbered pieces."""
+    nodes = {"": 0}
+    for text in pieces:
+        for n in range(1, len(text) + 1):
+            nodes.setdefault(text[:n], len(nodes))
+    named = [(nodes[text[:-1]] << CHARACTER_BITS | ord(text[-1]), node) for text, node in nodes.items() if text]
+    edges = np.array(sorted(named) or [(-1, 0)], dtype=np.int64)
+    ends = np.full(len(nodes), -1, dtype=np.int64)
+    ends[[nodes[text] for text in pieces]] = list(pieces.values())
+    return Trie(edges[:, 0].copy(), edges[:, 1].copy(), ends)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -171,14 +201,16 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     yield from flush()
 
 
-def _expect(model: bytes, langs: list[str], probability):
+def _expect(langs: list[str], shared):
     """Expected piece counts of a partition's words, per language."""
     schema = pa.schema([("piece", pa.int32()), ("counts", pa.list_(pa.float64()))])
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        pieces, lengths = _vocabulary(model)
+        trie, lengths, probability = shared.value
         longest = int(lengths.max())
-        weight = _scaled(probability.value, lengths)
+        weight = _scaled(probability, lengths)
+        if (weight == weight[:, :1]).all():  # before anything is learned, one column stands for all languages
+            weight = weight[:, :1]
         total = np.zeros((len(lengths), len(langs)))
         for part in batches:
             times = np.array(part.column("counts").to_pylist(), dtype=np.float64).reshape(-1, len(langs))
@@ -189,7 +221,7 @@ def _expect(model: bytes, langs: list[str], probability):
                 owner += [w] * len(own)
             owner = np.array(owner, dtype=np.int64)
             for some in by_length(texts):
-                total += Lattice(pieces, longest, [texts[i] for i in some]).expected(weight, times[owner[some]])
+                total += Lattice(trie, longest, [texts[i] for i in some]).expected(weight, times[owner[some]])
         some = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_pydict(
             {"piece": some.astype(np.int32), "counts": list(total[some])}, schema=schema
@@ -198,7 +230,9 @@ def _expect(model: bytes, langs: list[str], probability):
     return expect
 
 
-def learn(docs: DataFrame, model: bytes, learns: Column, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
+def learn(
+    docs: DataFrame, vocabulary: tuple[Trie, np.ndarray], learns: Column, rounds: int = ROUNDS
+) -> tuple[list[str], np.ndarray]:
     """The languages, and the probability of every piece (the unknown one last) in each.
 
     The number of languages is that of different labels, by which the tables of counts grow.
@@ -207,16 +241,15 @@ def learn(docs: DataFrame, model: bytes, learns: Column, rounds: int = ROUNDS) -
     told = docs.filter(learns & F.col("lang").isNotNull())
     counted = in_batches(as_bytes(told, "lang"), _count_words, "word binary, lang string, times long")
     langs = sorted(row["lang"] for row in told.select("lang").distinct().collect())
-    pieces, lengths = _vocabulary(model)
+    trie, lengths = vocabulary
     probability = np.full((len(lengths), max(1, len(langs))), 1 / len(lengths))
     if not langs:
         return langs, probability
     each = [F.sum(F.when(F.col("lang") == lang, F.col("times")).otherwise(0)) for lang in langs]
     words = kept_table(counted.groupBy("word").agg(F.array(*each).alias("counts")), "language-words")
     for _ in range(rounds):
-        expected = in_batches(
-            words, _expect(model, langs, spark.sparkContext.broadcast(probability)), "piece int, counts array<double>"
-        )
+        shared = spark.sparkContext.broadcast((trie, lengths, probability))
+        expected = in_batches(words, _expect(langs, shared), "piece int, counts array<double>")
         sums = [F.sum(F.get("counts", F.lit(i))).alias(f"c{i}") for i in range(len(langs))]
         table = expected.groupBy("piece").agg(*sums).toArrow()  # a row per piece of the vocabulary at most
         counts = np.zeros((len(lengths), len(langs)))
@@ -229,15 +262,15 @@ def learn(docs: DataFrame, model: bytes, learns: Column, rounds: int = ROUNDS) -
     return langs, probability
 
 
-def _predict(model: bytes, langs: list[str], probability):
+def _predict(langs: list[str], shared):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        pieces, lengths = _vocabulary(model)
+        trie, lengths, probability = shared.value
         longest = int(lengths.max())
-        weight = _scaled(probability.value, lengths)
+        weight = _scaled(probability, lengths)
         known: dict[bytes, int] = {}
         scores = np.zeros((REMEMBERED + AT_ONCE, weight.shape[1]))
 
@@ -251,7 +284,7 @@ def _predict(model: bytes, langs: list[str], probability):
                 owner += [place] * len(own)
             owner = np.array(owner, dtype=np.int64)
             for some in by_length(texts):
-                np.add.at(scores, owner[some], Lattice(pieces, longest, [texts[i] for i in some]).log_sums(weight))
+                np.add.at(scores, owner[some], Lattice(trie, longest, [texts[i] for i in some]).log_sums(weight))
 
         for part in batches:
             counted = [Counter((text or b"").split()) for text in part.column("text").to_pylist()]
@@ -307,12 +340,13 @@ def predict_languages(docs: DataFrame, model: bytes, held_out: Column, rounds: i
     languages alike before the text is seen. `model` is the vocabulary file's content.
     """
     held_out = F.coalesce(held_out, F.lit(False))
-    langs, probability = learn(docs, model, ~held_out, rounds)
+    vocabulary = _vocabulary(model)
+    langs, probability = learn(docs, vocabulary, ~held_out, rounds)
     texts = as_bytes(docs, held_out.alias("held_out"))
     if not langs:
         return texts.select(
             "doc_id", "text_hash", "held_out", F.lit(UNKNOWN_LANGUAGE).alias("lang_pred"), F.lit(0.0).alias("score")
         )
-    shared = docs.sparkSession.sparkContext.broadcast(probability)
+    shared = docs.sparkSession.sparkContext.broadcast((*vocabulary, probability))
     schema = "doc_id long, text_hash long, held_out boolean, lang_pred string, score double"
-    return in_batches(texts, _predict(model, langs, shared), schema)
+    return in_batches(texts, _predict(langs, shared), schema)
