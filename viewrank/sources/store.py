@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from viewrank.clock import Clock
-from viewrank.functions.buckets import wall_clock
+from viewrank.functions.buckets import day_of, month_of, wall_clock
 from viewrank.operators.counting import Tiers, as_tier, fold
 from viewrank.operators.rollup import retain_days, retain_hours
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
@@ -50,6 +50,16 @@ def _base_form(rows: DataFrame, tier: str) -> DataFrame:
     return rows.select(F.lit(tier).alias("tier"), bucket.alias("bucket"), "video_id", "count")
 
 
+def _every_tier(hours: DataFrame, clock: Clock) -> DataFrame:
+    """Hour rows as rows of every tier that keeps them, in the columns of the base: one scan for all tiers."""
+    hour = F.col("hour_bucket")
+    buckets = {"hour": hour, "day": day_of(hour), "month": month_of(hour), "all_time": F.lit("")}
+    forms = [F.struct(F.lit(tier).alias("tier"), bucket.alias("bucket")) for tier, bucket in buckets.items()]
+    tier, bucket = F.col("tier"), F.col("bucket")
+    old = ((tier == "hour") & (bucket < clock.keep_hours_from)) | ((tier == "day") & (bucket < clock.keep_days_from))
+    return hours.select(F.inline(F.array(*forms)), "video_id", "count").filter(~old)
+
+
 def _tier_form(base: DataFrame, tier: str) -> DataFrame:
     """One tier of the base; the filter prunes the directories of the others."""
     rows = base.filter(F.col("tier") == tier)
@@ -188,12 +198,13 @@ class TierStore:
         batches = [b for b in pending if through is None or b <= through]
         if not batches:
             return old
-        tiers = self._tiers(base, batches)
+        stored = self._tiers(base, [])
         kept = [
-            _base_form(retain_hours(tiers.hour, clock), "hour"),
-            _base_form(retain_days(tiers.day, clock), "day"),
-            _base_form(tiers.month, "month"),
-            _base_form(tiers.all_time, "all_time"),
+            _base_form(retain_hours(stored.hour, clock), "hour"),
+            _base_form(retain_days(stored.day, clock), "day"),
+            _base_form(stored.month, "month"),
+            _base_form(stored.all_time, "all_time"),
+            _every_tier(self._delta_rows(batches), clock),
         ]
         rows = reduce(DataFrame.unionByName, kept)
         folded = rows.groupBy("tier", "bucket", "video_id").agg(F.sum("count").alias("count"))
