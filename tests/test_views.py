@@ -4,7 +4,7 @@ from datetime import datetime
 
 from conftest import rows
 from viewrank.plans.replay import replay_counts
-from viewrank.sources.views import views_between, views_from
+from viewrank.sources.views import refused_from, views_between, views_from
 
 
 def test_any_table_gives_views(spark):
@@ -17,6 +17,14 @@ def test_any_table_gives_views(spark):
     assert rows(views_from(table, "item", "at")) == [("1", datetime(2024, 1, 30, 12))]
 
 
+def test_text_ids_are_stripped_and_refused_rows_have_a_reason(spark):
+    at = datetime(2024, 1, 30, 12)
+    table = spark.createDataFrame([(" a\t", at), ("a", at), ("", at), ("\u3000", at), (None, at), ("b", None)], "item STRING, at TIMESTAMP_NTZ")
+    assert rows(views_from(table, "item", "at")) == [("a", at)] * 2
+    refused = refused_from(table, "item", "at").select("reason")
+    assert rows(refused) == [("empty_video_id",)] * 2 + [("missing_timestamp",), ("missing_video_id",)]
+
+
 def test_times_with_a_zone_keep_the_wall_clock_of_the_session(spark):
     table = spark.sql("SELECT 'a' AS item, TIMESTAMP'2024-01-30 12:00:00' AS at")
     assert rows(views_from(table, "item", "at")) == [("a", datetime(2024, 1, 30, 12))]

@@ -4,23 +4,47 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from viewrank.functions.buckets import wall_clock
+from viewrank.functions.text import strip_whitespace
 
 
 def views_from(table: DataFrame, item: str, ts: str, prefix: str = "") -> DataFrame:
     """Views from the id and time columns of any table; other columns are never read.
 
     A row without id or time is no view; both checks are on stored columns, so they reach the
-    scan. The time keeps its wall clock: TIMESTAMP_NTZ is taken as it is, others are cast.
+    scan. A text id is stripped, as that of a request is, and must not be empty then. The time keeps its
+    wall clock: TIMESTAMP_NTZ is taken as it is, others are cast. `refused_from` has the other rows.
     """
-    video_id = F.concat(F.lit(prefix), F.col(item).cast("string")) if prefix else F.col(item).cast("string")
-    return table.filter(F.col(item).isNotNull() & F.col(ts).isNotNull()).select(
-        video_id.alias("video_id"), F.col(ts).cast("timestamp_ntz").alias("ts")
+    own = _item_text(table, item)
+    video_id = F.concat(F.lit(prefix), own) if prefix else own
+    stored = table.filter(F.col(item).isNotNull() & F.col(ts).isNotNull())
+    named = stored.filter(F.length(own) > 0) if _is_text(table, item) else stored
+    return named.select(video_id.alias("video_id"), F.col(ts).cast("timestamp_ntz").alias("ts"))
+
+
+def refused_from(table: DataFrame, item: str, ts: str) -> DataFrame:
+    """Rows that `views_from` does not take: their `reason`, id and time as text."""
+    reason = (
+        F.when(F.col(item).isNull(), "missing_video_id")
+        .when(F.length(_item_text(table, item)) == 0, "empty_video_id")
+        .when(F.col(ts).isNull(), "missing_timestamp")
     )
+    rows = table.select(
+        reason.alias("reason"), F.col(item).cast("string").alias("video_id"), F.col(ts).cast("string").alias("ts")
+    )
+    return rows.filter(F.col("reason").isNotNull())
+
+
+def _is_text(table: DataFrame, item: str) -> bool:
+    return isinstance(table.schema[item].dataType, StringType)
+
+
+def _item_text(table: DataFrame, item: str) -> Column:
+    return strip_whitespace(F.col(item)) if _is_text(table, item) else F.col(item).cast("string")
 
 
 def views_between(views: DataFrame, start: datetime | None, as_of: datetime) -> DataFrame:
