@@ -288,13 +288,17 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One batch for the whole table: late views are judged between batches, so files in any
-    order give the same hours."""
+    """Three arrivals, each counted before the next: the views before the late day, those after it, and
+    the late day itself, whose hours are closed by then, so that its views are dropped."""
     root = new_work_folder(spark, "stream-closed")
-    views = _event_stream(spark, sf_dir, max_files=None)
-    start_closed_hours(
-        views, f"{root}/hours", f"{root}/checkpoint", {"availableNow": True}
-    ).awaitTermination()
+    views = event_views(spark, sf_dir)
+    ts, (start, until) = F.col("ts"), (wall_clock(LATE_FROM), wall_clock(LATE_UNTIL))
+    for arrival in (ts < start, ts >= until, (ts >= start) & (ts < until)):
+        views.filter(arrival).write.mode("append").parquet(f"{root}/in")
+        arrived = stream_table(spark, f"{root}/in", views.schema, FILES_PER_BATCH)
+        start_closed_hours(
+            arrived, f"{root}/hours", f"{root}/checkpoint", {"availableNow": True}
+        ).awaitTermination()
     return spark.read.parquet(f"{root}/hours")
 
 
@@ -558,7 +562,8 @@ def oracle_sql() -> dict[str, str]:
             "hour_bucket",
             None,
             f"""date_trunc('hour', ts) + INTERVAL 1 HOUR
-                <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+                <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+                AND NOT (ts >= TIMESTAMP '{LATE_FROM}' AND ts < TIMESTAMP '{LATE_UNTIL}')""",
         ),
         **_llm_sql(),
     }
