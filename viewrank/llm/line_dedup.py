@@ -184,6 +184,8 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .filter("first != last")
         .select("line", F.col("first.doc_id").alias("source_id"), F.col("first.text_hash").alias("source_hash"))
     )
+    # Read back, so that the join is between two plain shuffles and Spark can split a frequent line.
+    shared = kept_table(shared, "line-sources")
     held = kept_table(lines.join(shared, "line"), "shared-lines")
     is_source = F.expr("doc_id = source_id and text_hash = source_hash")
     sources = held.filter(is_source).select("line", F.col("places").alias("source_places"))
