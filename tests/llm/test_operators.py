@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -289,6 +290,22 @@ def test_ids_equal_the_library_and_decode_back(spark, odd):
         assert row.round_trip in (True, None) and (row.n_tokens is None) == (row.agrees is None)
 
 
+def test_stretches_decode_like_whole_texts(spark, odd):
+    model = vocabulary()
+    codec = sentencepiece_codec.Codec(model, True)
+    texts = [None, "", " ", "a  b ", "▁ ▁", "<s> x", "� é 🎉  🎉", "日本 \x00語", "x\n y", "word " * 3000, "a b"]
+    ids, _ = codec.encode(texts)
+    back = codec.decode(ids)
+    column = pa.array(texts, pa.string())
+    told = codec.returned(column, *codec.look_up(column))
+    assert [t is None or t == b for t, b in zip(texts, back, strict=True)] == told.tolist()
+    docs = odd.union(odd.limit(0)).select("doc_id", "text")
+    encoded = sentencepiece_codec.encode(docs, model)
+    decoded = collected(sentencepiece_codec.decode(encoded, model), "doc_id", "text")
+    assert sorted(map(repr, decoded)) == sorted(map(repr, collected(docs, "doc_id", "text")))
+    assert encoded.filter("ids is null").count() == docs.filter("text is null").count()
+
+
 # Language identification
 
 

@@ -8,7 +8,7 @@ threads.
 
 In vocabularies where no piece holds a mark after another character, segmentation never reaches over
 the start of a word, so each different word of a batch is encoded once and texts are put together from
-words. Others are encoded whole. Either way `verify` holds the tokenizer against the SentencePiece
+words; decoding goes the same way. Others are taken whole. Either way `verify` holds the tokenizer against the SentencePiece
 library, on each different stretch that is encoded; where they differ, that library's ids are taken and
 the row says so.
 
@@ -19,18 +19,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from viewrank.llm.common import as_bytes, in_batches
 
 MARK = "▁"  # fixed value
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # fixed values: kinds of pieces
 UNIGRAM, BPE = 1, 2  # fixed values: kinds of models
+# Stretches, and their characters, that a task remembers; the memory is emptied when full.
 REMEMBERED = 200_000
+REMEMBERED_CHARACTERS = 8_000_000
+BYTES_AT_ONCE = 2_000_000
 
 
 @dataclass
@@ -151,6 +156,8 @@ def build(data: bytes):
     tokenizer.decoder = decoders.Sequence(ends + ([decoders.Strip(" ", 1, 0)] if model.add_mark else []))
     alone = model.add_mark and model.escape and not model.squeeze and not model.characters
     alone = alone and not any(MARK in p.text.lstrip(MARK) for p in model.pieces)
+    # Each stretch then begins with a piece, so runs of bytes end with it in decoding as well.
+    alone = alone and any(p.text == MARK and p.kind == NORMAL for p in model.pieces)
     return tokenizer, alone
 
 
@@ -176,51 +183,132 @@ def _stretches(text: str) -> list[str]:
 
 
 class Codec:
-    """Encodes and decodes batches of texts in one task."""
+    """Encodes and decodes batches of texts in one task.
+
+    What is known of stretches lies in flat tables: the ids of all of them in a row, where each one's begin
+    and how many there are, whether both libraries agree on them, and what they decode to.
+    """
 
     def __init__(self, data: bytes, verify: bool):
         import sentencepiece
 
         self.tokenizer, self.alone = build(data)
         self.check = sentencepiece.SentencePieceProcessor(model_proto=data) if verify else None
-        self.known: dict[str, tuple[list[int], bool]] = {}
-
-    def _look_up(self, stretches: list[str]) -> None:
-        found = self.tokenizer.encode_batch(stretches, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = {"": 0}  # nothing to encode
+        self.characters = 0
+        self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.same, self.returns, self.back = np.ones(1, bool), np.ones(1, bool), [""]
+
+    def _places(self, stretches: list[str]) -> np.ndarray:
+        """The place of each stretch in the tables."""
+        new = [s for s in stretches if s not in self.known]
+        self.characters += sum(map(len, new))
+        if len(self.known) + len(new) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+            self._forget()
+            new = [s for s in stretches if s]
+            self.characters = sum(map(len, new))
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
+
+    def _learn(self, stretches: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
         agreed = [True] * len(ids)
         if self.check is not None:
             theirs = self.check.encode(stretches, num_threads=-1)
             agreed = [own == other for own, other in zip(ids, theirs, strict=True)]
             ids = theirs
-        self.known.update(zip(stretches, zip(ids, agreed, strict=True), strict=True))
+        back = self.decode(ids)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        first = len(self.flat)
+        self.known.update(zip(stretches, range(len(self.back), len(self.back) + len(ids)), strict=True))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.same = np.concatenate([self.same, np.array(agreed, bool)])
+        returns = [own == other for own, other in zip(stretches, back, strict=True)]
+        self.returns = np.concatenate([self.returns, np.array(returns, bool)])
+        self.back += back
+
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        """The stretches of each text."""
+        if not self.alone:
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1), pa.int32()), texts)
+        # Without a blank beside another one or at an end, each blank is a cut.
+        odd = pc.match_substring_regex(texts, "^ |  | $").to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return pc.split_pattern(texts, " ")
+        plain = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        other = pa.array([_stretches(t) for t in texts.filter(pa.array(odd)).to_pylist()], plain.type)
+        order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        return pa.concat_arrays([plain, other]).take(pa.array(order))
+
+    def look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all stretches of all texts, and where those of each text begin and end."""
+        lists = self._cut(texts.fill_null(""))
+        found = lists.flatten().dictionary_encode()
+        places = self._places(found.dictionary.to_pylist())[found.indices.to_numpy()]
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        return places, bounds - bounds[0]
+
+    def ids_of(self, places: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where those of each text begin and end."""
+        sizes = self.sizes[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[bounds]
+
+    def agreed(self, places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether both libraries agree on each text."""
+        return _all_within(self.same[places], bounds)
+
+    def returned(self, texts: pa.Array, places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether each text's ids decode to the text: they do if each stretch's do, else the whole is compared."""
+        returned = _all_within(self.returns[places], bounds)
+        for i in np.flatnonzero(~returned):
+            decoded = " ".join(self.back[p] for p in places[bounds[i] : bounds[i + 1]])
+            returned[i] = decoded == (texts[i].as_py() or "")
+        return returned
 
     def encode(self, texts: list[str | None]) -> tuple[list[list[int] | None], list[bool]]:
         """Ids of each text, and whether both libraries agree on it."""
-        cut = [[] if not text else _stretches(text) if self.alone else [text] for text in texts]
-        new = {s for own in cut for s in own if s not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = {s for own in cut for s in own}
-        self._look_up(list(new))
-        ids: list[list[int] | None] = []
-        agreed = []
-        for text, own in zip(texts, cut, strict=True):
-            out: list[int] = []
-            same = True
-            for stretch in own:
-                found, agrees = self.known[stretch]
-                out += found
-                same = same and agrees
-            ids.append(None if text is None else out)
-            agreed.append(same)
-        return ids, agreed
+        places, bounds = self.look_up(pa.array(texts, pa.string()))
+        ids, ends = self.ids_of(places, bounds)
+        cut = [None if t is None else ids[a:b].tolist() for t, a, b in zip(texts, ends, ends[1:], strict=False)]
+        return cut, self.agreed(places, bounds).tolist()
 
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
         found = iter(self.tokenizer.decode_batch([own for own in ids if own is not None], skip_special_tokens=False))
         return [None if own is None else next(found) for own in ids]
 
 
+def _all_within(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether all flags between each two neighbouring bounds are set."""
+    unset = np.concatenate([[0], np.cumsum(~flags)])[bounds]
+    return unset[1:] == unset[:-1]
+
+
+@lru_cache(maxsize=1)
+def _codec(data: bytes, verify: bool) -> Codec:
+    """One for all tasks that a worker runs one after the other."""
+    return Codec(data, verify)
+
+
+def _some_at_once(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """A batch in slices of bounded length (a longer text comes alone), and their texts."""
+    texts = part.column("text").cast(pa.string())
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy())
+    at = 0
+    while at < part.num_rows:
+        before = ends[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")) - at)
+        yield part.slice(at, n), texts.slice(at, n)
+        at += n
+
+
 def encode(docs: DataFrame, model: bytes, verify: bool = True) -> DataFrame:
     """`doc_id, text_hash, ids, agrees`, one row per document."""
     schema = pa.schema(
@@ -228,13 +316,15 @@ def encode(docs: DataFrame, model: bytes, verify: bool = True) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        codec = Codec(model, verify)
+        codec = _codec(model, verify)
         for part in batches:
-            texts = [None if t is None else t.decode() for t in part.column("text").to_pylist()]
-            for at in range(0, len(texts), 200):
-                ids, agrees = codec.encode(texts[at : at + 200])
-                columns = [part.column(c).slice(at, 200) for c in ("doc_id", "text_hash")]
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(agrees)]
+            for some, texts in _some_at_once(part):
+                found = codec.look_up(texts)
+                ids, ends = codec.ids_of(*found)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(ids), mask=texts.is_null()
+                )
+                columns = [some.column("doc_id"), some.column("text_hash"), lists, pa.array(codec.agreed(*found))]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return in_batches(as_bytes(docs), run, "doc_id long, text_hash long, ids array<int>, agrees boolean")
@@ -260,50 +350,40 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
     """`doc_id, n_tokens, ids_hash, agrees, round_trip`: what encoding each text and decoding it again gives.
 
-    `ids_hash` is over the ids in order. Counts and flags of a null text are null.
+    `ids_hash` is over the ids in order. Counts and flags of a null text are null. Texts are encoded and
+    decoded in one task, so ids don't travel.
     """
-    encoded = encode(docs, model)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("n_tokens", pa.int64()),
             ("ids_hash", pa.int64()),
             ("agrees", pa.bool_()),
-            ("text_hash", pa.int64()),
-            ("text", pa.string()),
+            ("round_trip", pa.bool_()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         import xxhash
 
-        codec = Codec(model, False)
+        codec = _codec(model, True)
         for part in batches:
-            for at in range(0, part.num_rows, 200):
-                some = part.slice(at, 200)
-                ids = some.column("ids").to_pylist()
-                texts = codec.decode(ids)
-                marks = [
-                    None if own is None else xxhash.xxh64_intdigest(np.array(own, dtype="<i4").tobytes()) - 2**63
-                    for own in ids
-                ]
+            for some, texts in _some_at_once(part):
+                found = codec.look_up(texts)
+                ids, ends = codec.ids_of(*found)
+                null = texts.is_null().to_numpy(zero_copy_only=False)
+                marks = [xxhash.xxh64_intdigest(ids[a:b]) - 2**63 for a, b in zip(ends, ends[1:], strict=False)]
                 columns = [
                     some.column("doc_id"),
-                    pa.array([None if own is None else len(own) for own in ids], pa.int64()),
-                    pa.array(marks, pa.int64()),
-                    some.column("agrees"),
-                    some.column("text_hash"),
-                    pa.array(texts, pa.string()),
+                    pa.array(np.diff(ends), pa.int64(), mask=null),
+                    pa.array(np.array(marks, np.int64), pa.int64(), mask=null),
+                    pa.array(codec.agreed(*found), mask=null),
+                    pa.array(codec.returned(texts, *found), mask=null),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    decoded = in_batches(
-        encoded, run, "doc_id long, n_tokens long, ids_hash long, agrees boolean, text_hash long, text string"
-    )
-    return decoded.select(
-        "doc_id",
-        "n_tokens",
-        "ids_hash",
-        F.when(F.col("text").isNotNull(), F.col("agrees")).alias("agrees"),
-        F.when(F.col("text").isNotNull(), F.xxhash64("text") == F.col("text_hash")).alias("round_trip"),
+    return in_batches(
+        as_bytes(docs).select("doc_id", "text"),
+        run,
+        "doc_id long, n_tokens long, ids_hash long, agrees boolean, round_trip boolean",
     )
