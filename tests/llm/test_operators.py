@@ -192,6 +192,33 @@ def test_blocks_go_from_later_documents(spark):
     assert got[1].startswith("unique one") and got[5] is None and got[6] == ""
 
 
+def brute_deleted(texts, min_words):
+    """Places that go when each document is aligned with every earlier one."""
+    held = [line_dedup.held_lines(t.encode()) for t in texts]
+    out = []
+    for d, own in enumerate(held):
+        gone = set()
+        for other in held[:d]:
+            later = [(i, x, len(x.split())) for i, x in enumerate(own) if x in other]
+            gone.update(line_dedup._blocks(later, [(i, x) for i, x in enumerate(other) if x in own], min_words))
+        out.append((d, sorted(gone)))
+    return out
+
+
+def test_blocks_of_overlapping_documents_equal_all_pairs(spark):
+    # The common block of 2 and 3 has six words; each of its lines stood first elsewhere.
+    texts = ["x y z", "u v w", "x y z\nu v w", "x y z\nu v w"]
+    rng = np.random.default_rng(4)
+    lines = [" ".join(f"l{i}w{j}" for j in range(1 + i % 4)) for i in range(60)]
+    for _ in range(60):
+        runs = [(low, low + int(rng.integers(1, 9))) for low in sorted(rng.choice(60, 5, replace=False).tolist())]
+        texts.append("\n".join(lines[i] for i in sorted({i for low, high in runs for i in range(low, min(high, 60))})))
+    texts += texts[10:14]
+    got = {r.doc_id: r.gone for r in line_dedup.deleted_lines(table(spark, list(enumerate(texts)))).collect()}
+    expected = brute_deleted(texts, line_dedup.MIN_WORDS)
+    assert expected[3] == (3, [0, 1]) and [(i, got.get(i, [])) for i, _ in expected] == expected
+
+
 def test_patience_gives_common_subsequences():
     rng = np.random.default_rng(1)
     for _ in range(200):

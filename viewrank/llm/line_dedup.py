@@ -1,12 +1,17 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later of two documents.
 
-Later means the larger doc_id. Overlapping documents are found through shared lines: a line that
-stands in several documents leads each of them to the first one that holds it, its source. So a line
-in n documents gives n - 1 pairs, not n * n, a group of copies aligns with its first member, and no
-frequency cap is needed: the rarer a line, the fewer pairs it opens, and a very common one opens one
-per document. For each pair only the shared lines travel, with their places.
-
-The shared lines of a pair are aligned with patience diff: lines that stand once on either side are
+Later means the larger doc_id. Overlapping documents are found through passages of lines that follow
+each other: from and to each line the shortest one with `min_words` words, each two neighbours with
+as many, and the whole document. A passage that stands in several documents leads each of them to the
+first one that holds it, its source. Any block that two documents share and that is large enough to
+delete consists of such passages, so each of its lines is aligned with a source that has it and its
+neighbours. A passage in n documents gives n - 1 pairs, not n * n, a group of copies aligns with its
+first member, and no frequency cap is needed. For each pair all lines of both documents are compared.
+
+A block is missed only if the source of each of its passages holds other lines in such an order that
+the chain passes it by, while a further holder would not.
+
+The common lines of a pair are aligned with patience diff: lines that stand once on either side are
 anchors, the longest increasing chain of anchors splits both sides, the rest is aligned between the
 anchors in the same way, and equal lines next to a match are taken along. A block is a run of
 aligned lines that follow each other in both documents (blank lines aside); it is deleted from the
@@ -23,12 +28,13 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewrank.llm.common import as_bytes, group_starts, in_batches, kept_table, replaced_text, same, sorted_groups
+from viewrank.llm.common import as_bytes, batch, in_batches, kept_table, replaced_text, same
 
 MIN_WORDS = 5
 
@@ -104,41 +110,74 @@ def _blocks(later: list[tuple[int, int, int]], earlier: list[tuple[int, int]], m
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """`doc_id, text_hash, line, places, words`: each different line of a document, where it stands and its size.
-
-    Places count the lines that hold a word.
-    """
+    """`doc_id, text_hash, lines, words`: the lines of a document that hold a word, as hashes, and their sizes."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("text_hash", pa.int64()),
-            ("line", pa.int64()),
-            ("places", pa.list_(pa.int32())),
-            ("words", pa.int32()),
+            ("lines", pa.list_(pa.int64())),
+            ("words", pa.list_(pa.int32())),
         ]
     )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for part in batches:
-            out: dict[str, list] = {name: [] for name in schema.names}
-            for doc_id, text_hash, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                places: dict[bytes, list[int]] = {}
-                for place, line in enumerate(held_lines(text)):
-                    places.setdefault(line, []).append(place)
-                out["doc_id"] += [doc_id] * len(places)
-                out["text_hash"] += [text_hash] * len(places)
-                out["line"] += [xxhash.xxh64_intdigest(line, 11) - 2**63 for line in places]
-                out["places"] += places.values()
-                out["words"] += [len(line.split()) for line in places]
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            held = [held_lines(text) for text in part.column("text").to_pylist()]
+            columns = [
+                part.column("doc_id"),
+                part.column("text_hash"),
+                pa.array([[_hash(line) for line in own] for own in held], schema.field("lines").type),
+                pa.array([[len(line.split()) for line in own] for own in held], schema.field("words").type),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return in_batches(
         as_bytes(docs).filter("doc_id is not null"),
         split,
-        "doc_id long, text_hash long, line long, places array<int>, words int",
+        "doc_id long, text_hash long, lines array<long>, words array<int>",
     )
 
 
+def _hash(content: bytes) -> int:
+    return xxhash.xxh64_intdigest(content, 11) - 2**63
+
+
+def passages(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """First line and end of the passages that lead a document to its sources, for the sizes of its lines."""
+    out: set[tuple[int, int]] = set()
+    low, held = 0, 0
+    for end, size in enumerate(words, 1):
+        before = low + (held >= min_words)  # the shortest from there has ended
+        held += size
+        while low < end and held - words[low] >= min_words:
+            held -= words[low]
+            low += 1
+        if held >= min_words:
+            out.add((low, end))  # the shortest that ends here
+            # The shortest from a line ends with the first line that makes it large enough.
+            out.update((start, end) for start in range(before, low))
+        if end > 1 and words[end - 2] + size >= min_words:
+            out.add((end - 2, end))
+    if sum(words) >= min_words:
+        out.add((0, len(words)))
+    return out
+
+
+def _passage_hashes(min_words: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("passage", pa.int64())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for part in batches:
+            for doc_id, text_hash, lines, words in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                packed = np.array(lines, dtype=np.int64).tobytes()
+                own = list({_hash(packed[8 * low : 8 * end]) for low, end in passages(words, min_words)})
+                if own:
+                    columns = [[doc_id] * len(own), [text_hash] * len(own), own]
+                    yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
+
+    return mark
+
+
 def held_lines(text: bytes | None) -> list[bytes]:
     """Lines with a word, without trailing white space."""
     return [line for raw in (text or b"").split(b"\n") if (line := raw.rstrip()).strip()]
@@ -146,30 +185,25 @@ def held_lines(text: bytes | None) -> list[bytes]:
 
 def _align(min_words: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("gone", pa.list_(pa.int32()))])
-    document, pair = ["doc_id", "text_hash"], ["doc_id", "text_hash", "source_id", "source_hash"]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for table in sorted_groups(batches, document, 5000):
-            gone: dict[tuple[int, int], set[int]] = {}
-            starts = group_starts(table, pair).tolist()
-            columns = {c: table.column(c).to_pylist() for c in (*pair, "line", "places", "words", "source_places")}
-            for low, high in zip(starts, [*starts[1:], table.num_rows], strict=True):
-                later, earlier = [], []
-                for i in range(low, high):
-                    line, words = columns["line"][i], columns["words"][i]
-                    later += [(place, line, words) for place in columns["places"][i]]
-                    earlier += [(place, line) for place in columns["source_places"][i]]
-                found = _blocks(sorted(later), sorted(earlier), min_words)
-                gone.setdefault((columns["doc_id"][low], columns["text_hash"][low]), set()).update(found)
-            out = [(d, t, sorted(places)) for (d, t), places in gone.items() if places]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([d for d, _, _ in out], pa.int64()),
-                    pa.array([t for _, t, _ in out], pa.int64()),
-                    pa.array([p for _, _, p in out], pa.list_(pa.int32())),
-                ],
-                schema=schema,
-            )
+        """Rows of one document follow each other, its own lines (no source) first."""
+        document, lines, words, gone = None, [], [], set()
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if gone:
+                yield batch(schema, doc_id=[document[0]], text_hash=[document[1]], gone=[sorted(gone)])
+
+        for part in batches:
+            for doc_id, text_hash, source, own, sizes in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if source is None:
+                    yield from found()
+                    document, lines, words, gone = (doc_id, text_hash), own, sizes, set()
+                    continue
+                common = set(lines).intersection(own)
+                later = [(i, x, words[i]) for i, x in enumerate(lines) if x in common]
+                gone.update(_blocks(later, [(i, x) for i, x in enumerate(own) if x in common], min_words))
+        yield from found()
 
     return align
 
@@ -177,21 +211,28 @@ def _align(min_words: int):
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`doc_id, text_hash, gone`: places of the lines to delete, for documents that lose any."""
     lines = kept_table(lines_of(docs).distinct(), "lines")
+    held = in_batches(lines, _passage_hashes(min_words), "doc_id long, text_hash long, passage long")
+    held = kept_table(held, "passages")
     holder = F.struct("doc_id", "text_hash")
     shared = (
-        lines.groupBy("line")
+        held.groupBy("passage")
         .agg(F.min(holder).alias("first"), F.max(holder).alias("last"))
         .filter("first != last")
-        .select("line", F.col("first.doc_id").alias("source_id"), F.col("first.text_hash").alias("source_hash"))
+        .select("passage", F.col("first.doc_id").alias("source_id"), F.col("first.text_hash").alias("source_hash"))
+    )
+    # Read back, so that each join is between two plain shuffles and Spark can split a frequent passage or source.
+    shared = kept_table(shared, "passage-sources")
+    pairs = held.join(shared, "passage").filter("doc_id != source_id or text_hash != source_hash")
+    pairs = kept_table(pairs.select("doc_id", "text_hash", "source_id", "source_hash").distinct(), "pairs")
+    sources = lines.select(
+        F.col("doc_id").alias("source_id"), F.col("text_hash").alias("source_hash"), "lines", F.lit(None).cast("array<int>").alias("words")
+    )
+    found = pairs.join(sources, ["source_id", "source_hash"]).select(
+        "doc_id", "text_hash", F.col("source_id").alias("source"), "lines", "words"
     )
-    # Read back, so that the join is between two plain shuffles and Spark can split a frequent line.
-    shared = kept_table(shared, "line-sources")
-    held = kept_table(lines.join(shared, "line"), "shared-lines")
-    is_source = F.expr("doc_id = source_id and text_hash = source_hash")
-    sources = held.filter(is_source).select("line", F.col("places").alias("source_places"))
-    pairs = held.filter(~is_source).join(sources, "line")
-    ordered = pairs.repartition("doc_id", "text_hash").sortWithinPartitions(
-        "doc_id", "text_hash", "source_id", "source_hash"
+    own = lines.select("doc_id", "text_hash", F.lit(None).cast("long").alias("source"), "lines", "words")
+    ordered = (
+        own.unionByName(found).repartition("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "source")
     )
     return in_batches(ordered, _align(min_words), "doc_id long, text_hash long, gone array<int>")
 
