@@ -168,6 +168,13 @@ def test_one_document_of_each_group_stays(odd):
     assert ids.count(1) == 1 and 6 not in ids and ids.count(3) == 1 and 4 not in ids and ids.count(None) == 2
 
 
+def test_each_group_keeps_a_document_where_ids_repeat(spark, odd):
+    assert collected(simhash_dedup.first_of_each_group(odd).filter("doc_id = 8"), "text") == [("a " * 90,), ("b c " * 40,)]
+    other = " ".join(f"v{i}" for i in range(80))
+    docs = table(spark, [(1, PROSE), (1, other), (1, other), (2, PROSE), (3, other)])
+    assert collected(simhash_dedup.first_of_each_group(docs), "doc_id", "text") == sorted([(1, PROSE), (1, other)])
+
+
 # Line dedup
 
 BLOCK = ["the first line of five words", "another line with some words", "a third one to end it"]

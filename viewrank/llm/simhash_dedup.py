@@ -179,6 +179,20 @@ def links(prints: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMI
     return in_batches(ordered, _search(radius), "node long, root long")
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, shard_limit: int) -> DataFrame:
+    """`doc_id, text_hash, print, component_id, root`, one row per document; `root` is one fingerprint per component."""
+    marked = kept_table(fingerprints(docs, shingle), "fingerprints")
+    nodes = marked.groupBy("print").agg(F.min("doc_id").alias("first_id"))
+    roots = components(links(nodes.select("print"), radius, shard_limit))
+    placed = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+        "print", "first_id", F.coalesce("root", "print").alias("root")
+    )
+    placed = kept_table(placed, "fingerprint-roots")
+    first = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = placed.join(first, "root").select("print", "component_id", "root")
+    return marked.join(named, "print").select("doc_id", "text_hash", "print", "component_id", "root")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT
 ) -> DataFrame:
@@ -188,16 +202,7 @@ def near_duplicates(
     where a component has no other). Null, empty and blank texts have fingerprint zero and link like any
     other. Repeated rows link to each other.
     """
-    marked = kept_table(fingerprints(docs, shingle), "fingerprints")
-    nodes = marked.groupBy("print").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(nodes.select("print"), radius, shard_limit))
-    placed = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
-        "print", "first_id", F.coalesce("root", "print").alias("root")
-    )
-    placed = kept_table(placed, "fingerprint-roots")
-    first = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(first, "root").select("print", "component_id")
-    return marked.join(named, "print").select(
+    return _grouped(docs, shingle, radius, shard_limit).select(
         "doc_id",
         "text_hash",
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
@@ -208,20 +213,21 @@ def near_duplicates(
 def first_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents without the near-duplicates of a document with a smaller id.
 
-    Of rows that share the smallest id one stays; documents without an id are kept, since no other
-    document can be told to stand for them.
+    Of rows of a group that share its smallest id one stays. Groups are told apart by their fingerprints, so
+    each keeps its own where an id repeats with other texts. Documents without an id are kept, since no
+    other document can be told to stand for them.
     """
-    found = near_duplicates(docs, shingle, radius).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "component_id"
+    found = _grouped(docs, shingle, radius, SHARD_LIMIT).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "component_id", "root"
     )
-    firsts = found.filter("__id = component_id").groupBy("__id").agg(
+    firsts = found.filter("__id = component_id").groupBy("root", "__id").agg(
         F.min("__text").alias("__text"), F.count(F.lit(1)).alias("__rows")
-    )
+    ).drop("root")
     firsts = kept_table(firsts, "first-documents")
     numbered = docs.withColumn("__hash", F.xxhash64("text"))
     kept = numbered.join(
         firsts, (numbered["doc_id"] == firsts["__id"]) & (numbered["__hash"] == firsts["__text"])
-    ).select(*[numbered[c] for c in docs.columns])
+    ).select(*[numbered[c] for c in docs.columns], "__hash")
     if not firsts.filter("__rows > 1").isEmpty():  # repeated rows: texts move once more
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+        kept = kept.dropDuplicates(["doc_id", "__hash"])
+    return kept.drop("__hash").unionByName(docs.filter("doc_id is null"))
