@@ -360,6 +360,36 @@ def test_forward_sums_over_all_segmentations():
     assert np.allclose(np.exp(found[:, 0]), [brute(t) for t in texts])
 
 
+def test_long_words_keep_their_sums_and_shares():
+    pieces = {p: i for i, p in enumerate(["▁", "a", "b", "ab", "ba"])}
+    probability = np.array([[1, 2], [1, 3], [4, 1], [2, 2], [1, 5], [1, 1]]) / 1e5
+    lengths = np.array([*map(len, pieces), 1])
+    weight = language_id._scaled(probability, lengths)
+    texts = ["▁" + "ab" * 400, "▁" + "ba" * 137 + "日" * 300, "▁ab"]
+    lattice = language_id.Lattice(language_id.with_beginnings(pieces), 2, texts)
+    assert not lattice.plain(weight)
+
+    def brute(text, own):
+        """The logarithm of the sum and the expected pieces, rescaled by hand at every place."""
+        last, here, scale = 0.0, 1.0, 0.0
+        for n in range(1, len(text) + 1):
+            one = own[pieces.get(text[n - 1], 5)] * here
+            two = own[pieces[text[n - 2 : n]]] * last if text[n - 2 : n] in pieces and n > 1 else 0.0
+            total = one + two
+            last, here, scale = here / total, 1.0, scale + math.log(total)
+        return scale
+
+    expected = [[brute(t, probability[:, k]) for k in range(2)] for t in texts]
+    assert np.allclose(lattice.log_sums(weight), expected)
+    # Every character stands in one piece, so pieces times lengths give the text back.
+    shares = lattice.expected(weight, np.ones((3, 2)))
+    assert np.allclose(lengths @ shares, sum(map(len, texts)))
+    short = language_id.Lattice(language_id.with_beginnings(pieces), 2, texts[2:])
+    assert short.plain(weight)
+    assert np.allclose(np.exp(short.log_forward(weight)), short.forward(weight))
+    assert np.allclose(np.exp(short.log_backward(weight)), short.backward(weight))
+
+
 def test_languages_are_told_apart(spark):
     english, german = "the quick brown fox jumps over the lazy dog and runs", "der schnelle braune fuchs springt über den hund"
     texts, langs = [], {}

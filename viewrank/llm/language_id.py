@@ -10,7 +10,9 @@ Words are counted first, so each different word is cut once per round. Counts pe
 are bounded by the vocabulary; they alone reach the driver and are broadcast.
 
 Words are runs without white space, lower-cased, with a mark for the word start. Characters outside
-the vocabulary count as one unknown piece each. Words beyond `LONGEST` characters are cut in stretches.
+the vocabulary count as one unknown piece each. A word of any length is
+one word: where its sums could leave the range of doubles, their logarithms are carried from place to
+place. Memory grows with the longest word.
 A text that is null or has no letter is `und` with score 0; so is every text if there is nothing to
 learn from. Null labels teach nothing; an empty label is a label. Equal posteriors go to the first label.
 """
@@ -31,10 +33,10 @@ from viewrank.llm.sentencepiece_codec import read_model
 
 UNKNOWN_LANGUAGE = "und"  # fixed value
 MARK = "▁"  # fixed value: the vocabulary's word start
-LONGEST = 200
 ROUNDS = 1
 FLOOR = 0.5  # what every piece counts before anything is seen, spread over the vocabulary's own shares
 SCALE = 64.0  # keeps sums over segmentations near one; taken back in the logarithm
+SAFE = 600.0  # what the logarithm of a sum may reach before it is carried instead of the sum
 WORDS_HELD = 300_000
 REMEMBERED = 1_000_000
 AT_ONCE = 20_000
@@ -123,16 +125,54 @@ class Lattice:
                 sums[word[first] * self.size + start] = np.add.reduceat(came, first, axis=0)
         return sums.reshape(self.count, self.size, -1)
 
+    def plain(self, weight: np.ndarray) -> bool:
+        """Whether no sum over the words' segmentations can leave the range of doubles."""
+        steepest = max(1.0, -np.log(weight.min(initial=1)), np.log(SCALE))
+        return (self.size - 1) * steepest < SAFE
+
+    def _log_pass(self, weight: np.ndarray, first: np.ndarray, onto: np.ndarray, came_from: np.ndarray, places) -> np.ndarray:
+        """Logarithms of the sums at each place; edges lead from `came_from` onto `onto`. All weights are positive."""
+        sums = np.full((self.count * self.size, weight.shape[1]), -np.inf)
+        sums[first] = 0
+        weight, groups = np.log(weight), self._by(onto)
+        for place in places:
+            edges = groups[place]
+            if len(edges):
+                word = self.word[edges]
+                came = sums[word * self.size + came_from[edges]] + weight[self.piece[edges]]
+                new = np.diff(word, prepend=-1) != 0
+                starts = np.flatnonzero(new)
+                top = np.maximum.reduceat(came, starts, axis=0)
+                came = np.exp(came - top[np.cumsum(new) - 1])
+                sums[word[starts] * self.size + place] = top + np.log(np.add.reduceat(came, starts, axis=0))
+        return sums.reshape(self.count, self.size, -1)
+
+    def log_forward(self, weight: np.ndarray) -> np.ndarray:
+        """Logarithms of the forward sums, for words of any length."""
+        return self._log_pass(weight, np.arange(self.count) * self.size, self.end, self.start, range(1, self.size))
+
+    def log_backward(self, weight: np.ndarray) -> np.ndarray:
+        """Logarithms of the backward sums, for words of any length."""
+        last = np.arange(self.count) * self.size + self.lengths
+        return self._log_pass(weight, last, self.start, self.end, range(self.size - 1, -1, -1))
+
     def log_sums(self, weight: np.ndarray) -> np.ndarray:
         """Logarithm of each word's sum over all segmentations, per language; scale taken back."""
-        sums = self.forward(weight)[np.arange(self.count), self.lengths]
-        return np.log(np.maximum(sums, 1e-300)) - self.lengths[:, None] * np.log(SCALE)
+        last = np.arange(self.count), self.lengths
+        found = np.log(self.forward(weight)[last]) if self.plain(weight) else self.log_forward(weight)[last]
+        return found - self.lengths[:, None] * np.log(SCALE)
 
     def expected(self, weight: np.ndarray, times: np.ndarray) -> np.ndarray:
         """How often each piece is expected per language, for words that occur `times` (words x languages)."""
-        ahead, behind = self.forward(weight), self.backward(weight)
-        whole = np.maximum(ahead[np.arange(self.count), self.lengths], 1e-300)
-        share = ahead[self.word, self.start] * weight[self.piece] * behind[self.word, self.end] / whole[self.word]
+        last = np.arange(self.count), self.lengths
+        if self.plain(weight):
+            ahead, behind = self.forward(weight), self.backward(weight)
+            whole = ahead[last]
+            share = ahead[self.word, self.start] * weight[self.piece] * behind[self.word, self.end] / whole[self.word]
+        else:
+            ahead, behind = self.log_forward(weight), self.log_backward(weight)
+            share = ahead[self.word, self.start] + np.log(weight)[self.piece] + behind[self.word, self.end]
+            share = np.exp(share - ahead[last][self.word])
         own = share * times[self.word]
         return np.column_stack([np.bincount(self.piece, own[:, k], len(weight)) for k in range(own.shape[1])])
 
@@ -149,14 +189,13 @@ def by_length(texts: list[str]) -> Iterator[np.ndarray]:
         low = high
 
 
-def stretches(word: bytes) -> list[str]:
-    """A word in lower case with its mark, cut where it is very long."""
-    text = MARK + word.decode("utf-8", "replace").lower()
-    return [text[i : i + LONGEST] for i in range(0, len(text), LONGEST)]
+def marked(word: bytes) -> str:
+    """A word in lower case with its mark."""
+    return MARK + word.decode("utf-8", "replace").lower()
 
 
 def _scaled(probability: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    return probability * SCALE ** np.minimum(lengths, LONGEST)[:, None]
+    return probability * SCALE ** lengths[:, None]
 
 
 def _vocabulary(model: bytes) -> tuple[Trie, np.ndarray]:
@@ -214,14 +253,9 @@ def _expect(langs: list[str], shared):
         total = np.zeros((len(lengths), len(langs)))
         for part in batches:
             times = np.array(part.column("counts").to_pylist(), dtype=np.float64).reshape(-1, len(langs))
-            texts, owner = [], []
-            for w, word in enumerate(part.column("word").to_pylist()):
-                own = stretches(word)
-                texts += own
-                owner += [w] * len(own)
-            owner = np.array(owner, dtype=np.int64)
+            texts = [marked(word) for word in part.column("word").to_pylist()]
             for some in by_length(texts):
-                total += Lattice(trie, longest, [texts[i] for i in some]).expected(weight, times[owner[some]])
+                total += Lattice(trie, longest, [texts[i] for i in some]).expected(weight, times[some])
         some = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_pydict(
             {"piece": some.astype(np.int32), "counts": list(total[some])}, schema=schema
@@ -275,16 +309,10 @@ def _predict(langs: list[str], shared):
         scores = np.zeros((REMEMBERED + AT_ONCE, weight.shape[1]))
 
         def look_up(words: list[bytes]) -> None:
-            texts, owner = [], []
-            for word in words:
-                place = known[word] = len(known)
-                scores[place] = 0
-                own = stretches(word)
-                texts += own
-                owner += [place] * len(own)
-            owner = np.array(owner, dtype=np.int64)
+            texts, low = [marked(word) for word in words], len(known)
+            known.update((word, low + n) for n, word in enumerate(words))
             for some in by_length(texts):
-                np.add.at(scores, owner[some], Lattice(trie, longest, [texts[i] for i in some]).log_sums(weight))
+                scores[low + some] = Lattice(trie, longest, [texts[i] for i in some]).log_sums(weight)
 
         for part in batches:
             counted = [Counter((text or b"").split()) for text in part.column("text").to_pylist()]
