@@ -325,7 +325,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["topk_all_time"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
     return {
         # Ingest
         "ingest_valid_views": _valid_views,
@@ -381,10 +381,13 @@ def queries() -> dict[str, Query]:
         "stream_closed_hours": _stream_closed,
         "stream_request_counts": _stream_request_counts,
         "stream_rejects": _stream_rejects,
-        **_llm_queries(),
     }
 
 
+def queries() -> dict[str, Query]:
+    return {**library_queries(), **_llm_queries()}
+
+
 # SQL
 
 _SHARD = """(((('0x' || substr(md5(video_id), 1, 16))::UBIGINT % 10) * 6
@@ -481,7 +484,7 @@ checked AS (
 """
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     all_time = _sql_counts("all time")
     per_shard = f"""SELECT * FROM (
         SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY {_BEST})::INTEGER AS rank, video_id, "count"
@@ -565,5 +568,8 @@ def oracle_sql() -> dict[str, str]:
                 <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
                 AND NOT (ts >= TIMESTAMP '{LATE_FROM}' AND ts < TIMESTAMP '{LATE_UNTIL}')""",
         ),
-        **_llm_sql(),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**library_sql(), **_llm_sql()}
