@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from viewrank.llm import (
     best_fit_packing,
     context_mixing,
+    filter_audit,
     hash_forest,
     language_id,
     license_scan,
@@ -86,6 +87,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("source", "cluster")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_sentencepiece,
             op9_language_id,
             op10_best_fit_packing,
+            op11_filter_audit,
         )
     }
 
@@ -151,5 +157,54 @@ FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC,
 """
 
 
+_FILTER_AUDIT = rf"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+named AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 10 * length(body) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 'E' ELSE '' END AS f
+    FROM docs LEFT JOIN named USING (doc_id)),
+cells AS (
+    SELECT part, f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t
+    FROM failed GROUP BY part, f),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS letter,
+        CASE WHEN step = 1 THEN '^$a' ELSE '[' || filter_order[1:step - 1] || ']' END AS before
+    FROM orders, range(1, 6) numbers(step)),
+rows AS (
+    SELECT part, filter_order, step, letter, n, g, t, contains(f, letter) AS fails,
+        regexp_matches(f, before) AS gone, f = letter AS only_here
+    FROM cells, steps),
+counted AS (
+    SELECT part, filter_order, step, letter,
+        sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed,
+        sum(n) FILTER (fails AND gone) AS redundant, sum(n) FILTER (only_here) AS unique_fails,
+        sum(g) FILTER (fails AND NOT gone) AS good_lost, sum(t) FILTER (fails AND NOT gone) AS toxic_lost
+    FROM rows GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept,
+    coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+    coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+    coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    coalesce(sum(removed) OVER (PARTITION BY part, letter), 0)::BIGINT AS shapley
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": _licenses(), "op5_substring_dedup": _SUBSTRINGS}
+    return {
+        "op4_license_scan": _licenses(),
+        "op5_substring_dedup": _SUBSTRINGS,
+        "op11_filter_audit": _FILTER_AUDIT,
+    }
