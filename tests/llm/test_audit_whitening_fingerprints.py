@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from viewrank.llm import filter_audit
+from viewrank.llm import filter_audit, weighted_fingerprints
+from viewrank.llm.weighted_fingerprints import Sampler
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, part STRING, mask INT, n LONG"
 
@@ -91,3 +95,83 @@ def test_audit_of_empty_tables(spark):
     assert filter_audit.audit(documents(spark, []), labels(spark, [])).collect() == []
     got = filter_audit.audit(documents(spark, ODD[:2]), labels(spark, []))
     assert sorted(tuple(row) for row in got.collect()) == brute_audit(ODD[:2], [])
+
+
+# Document fingerprints
+
+
+def marks_hex(text, samples=weighted_fingerprints.SAMPLES):
+    return Sampler(samples).of([text.encode()])[0].astype(">u2").tobytes().hex()
+
+
+def test_samples_agree_as_often_as_weights_overlap():
+    rng, sampler = np.random.default_rng(1), Sampler(4096)
+    for shared in (0.0, 0.3, 0.6, 0.9):
+        words = [f"w{i}" for i in range(60)]
+        own, other = rng.dirichlet(np.full(60, 0.3)), rng.dirichlet(np.full(60, 0.3))
+        left = list(rng.choice(words, 300, p=own))
+        right = list(rng.choice(words, 200, p=shared * own + (1 - shared) * other))
+        a, b = Counter(left), Counter(right)
+        jaccard = sum((a & b).values()) / sum((a | b).values())
+        marks = sampler.of([" ".join(left).encode(), " ".join(right).encode()])
+        error = (jaccard * (1 - jaccard) / 4096) ** 0.5
+        assert abs((marks[0] == marks[1]).mean() - jaccard) < 5 * error
+
+
+def test_samples_do_not_depend_on_how_texts_are_cut_up(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(list("abcdefgh"), n)).encode() for n in (0, 1, 5, 40, 300)]
+    texts += [b"", b" \n ", " é日本 a\x0bb\u00a0c ".encode(), b"\t".join(texts), b"w" * 5000]
+    whole = Sampler().of(texts)
+    monkeypatch.setattr(weighted_fingerprints, "TERMS_AT_ONCE", 3)
+    monkeypatch.setattr(weighted_fingerprints, "BYTES_AT_ONCE", 7)
+    assert (Sampler().of(texts) == whole).all()
+    assert (Sampler().of(texts[::-1]) == whole[::-1]).all() and not whole[[0, 5, 6]].any()
+    # Words are all that counts, with their number.
+    one, two, three = Sampler().of([b"a b  b", b"b\na b", b"a b"])
+    assert (one == two).all() and (one != three).any()
+
+
+def expected_neighbours(spark, rows):
+    """Distinct documents in order, each with the next one, as many rows as it has."""
+    times = Counter((i, text or "") for i, text in rows)
+    order = spark.createDataFrame(list(times), "doc_id LONG, text STRING").select("doc_id", "text", F.xxhash64("text"))
+    ordered = sorted(order.collect(), key=lambda row: (row[0] is None, row[0] or 0, row[2]))
+    out = []
+    for n, (doc_id, text, _) in enumerate(ordered):
+        following = ordered[(n + 1) % len(ordered)][1]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        marks = Sampler().of([text.encode(), edited.encode(), following.encode()])
+        near = [float((marks[0] == marks[k]).mean()) for k in (1, 2)]
+        row = (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), marks_hex(text), marks_hex(edited), *near)
+        out += [row] * times[doc_id, text]
+    return sorted(out, key=repr)
+
+
+NEIGHBOURS = [(i * 37 % 101, " ".join(f"w{i * j % 53}" for j in range(i + 1))) for i in range(60)]
+NEIGHBOURS += [(7, None), (7, ""), (7, " \n"), (None, "no id here"), (None, "no id here"), (None, None), (3, "é日本語 Zeichen")]
+NEIGHBOURS += [(50, "same row again and again")] * 1200 + [(51, "long " * 200_000), (-5, "word " * 3 + "x" * 100_000)]
+
+
+@pytest.mark.parametrize("rows", [NEIGHBOURS, NEIGHBOURS[:1], [(1, None)] * 3, NEIGHBOURS[:2], NEIGHBOURS[57:66]])
+def test_each_document_is_compared_with_its_edited_text_and_the_next(spark, rows):
+    docs = spark.createDataFrame(
+        [(i, text, "own", True, 1) for i, text in rows],
+        "doc_id LONG, text STRING, text_hash STRING, follows BOOLEAN, range INT",
+    ).repartition(5)
+    got = weighted_fingerprints.with_neighbours(docs)
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert got.columns == columns
+    assert sorted((tuple(row) for row in got.collect()), key=repr) == expected_neighbours(spark, rows)
+
+
+def test_fingerprints_of_an_empty_table_and_their_likeness(spark):
+    docs = spark.createDataFrame(NEIGHBOURS[:20], "doc_id LONG, text STRING")
+    assert weighted_fingerprints.with_neighbours(docs.limit(0)).collect() == []
+    signed = weighted_fingerprints.fingerprints(docs)
+    assert {(r.doc_id, r.fingerprint) for r in signed.collect()} == {(i, marks_hex(t)) for i, t in NEIGHBOURS[:20]}
+    both = weighted_fingerprints.with_neighbours(docs).withColumn(
+        "again", weighted_fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint"))
+    )
+    assert all(row.again == row.near_edited for row in both.collect())

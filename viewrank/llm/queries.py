@@ -20,6 +20,7 @@ from viewrank.llm import (
     sentencepiece_codec,
     simhash_dedup,
     substring_dedup,
+    weighted_fingerprints,
 )
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -91,6 +92,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -106,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_language_id,
             op10_best_fit_packing,
             op11_filter_audit,
+            op13_document_fingerprints,
         )
     }
 
