@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from viewrank.llm import filter_audit, weighted_fingerprints
+from viewrank.llm import feast_whitening, filter_audit, weighted_fingerprints
 from viewrank.llm.weighted_fingerprints import Sampler
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, part STRING, mask INT, n LONG"
@@ -175,3 +175,112 @@ def test_fingerprints_of_an_empty_table_and_their_likeness(spark):
         "again", weighted_fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint"))
     )
     assert all(row.again == row.near_edited for row in both.collect())
+
+
+# Embedding whitening
+
+
+def brute_whitened(rows, most):
+    """`{vec_id: (n, deviation, [whitened up to sign])}` and the shares, from a full decomposition."""
+    usable = [(i, v) for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)]
+    lengths = Counter(len(v) for _, v in usable)
+    length = max(lengths, key=lambda k: (lengths[k], k))
+    usable = [(i, v) for i, v in usable if len(v) == length]
+    x = [[int(np.floor(64 * np.float64(c))) + 1_000_000 for c in v] for _, v in usable]
+    n, sums = len(x), [sum(column) for column in zip(*x)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(v, sums)) for v in x]
+    centred = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for v in x])
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = values[::-1][:most], vectors[:, ::-1][:, :most]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        whitened = centred @ vectors / np.sqrt(values)
+    return usable, n, deviations, whitened, values / np.trace(covariance)
+
+
+def whitening_rows(rng):
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 40)) * np.linspace(1, 3, 40))]
+    rows += [(400, None), (401, []), (402, [1.0] * 39 + [None]), (403, [float("nan")] * 40), (404, [float("inf")] * 40)]
+    rows += [(405, [1.0, 2.0]), (0, rows[0][1]), (0, rows[0][1]), (None, [0.0] * 40), (406, [-0.0] * 40)]
+    return rows
+
+
+def test_whitened_rows_equal_a_full_decomposition(spark):
+    rows = whitening_rows(np.random.default_rng(4))
+    table = spark.createDataFrame(
+        [(i, v, 1, "own") for i, v in rows], "vec_id LONG, embedding ARRAY<FLOAT>, n INT, component STRING"
+    ).repartition(5)
+    got = feast_whitening.whiten(table)
+    assert got.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    usable, n, deviations, whitened, shares = brute_whitened(
+        [(i, v and [c if c is None else float(np.float32(c)) for c in v]) for i, v in rows], 32
+    )
+    found = sorted(((r.vec_id, r.component, r.n, r.deviation) for r in got.collect()), key=repr)
+    assert found == sorted(
+        ((i, k, n, d) for (i, _), d in zip(usable, deviations) for k in range(1, 33)), key=repr
+    )
+    assert len({r.identity_error for r in got.collect()}) == 1 and got.first().identity_error < 1e-10
+    by_component = {k: {} for k in range(1, 33)}
+    for r in got.collect():
+        by_component[r.component][r.vec_id] = r.whitened
+        assert abs(r.explained - shares[r.component - 1]) < 1e-12
+    for k, own in by_component.items():
+        expected = {i: w for (i, _), w in zip(usable, whitened[:, k - 1])}
+        sign = np.sign(own[5] * expected[5])
+        assert all(abs(own[i] - sign * expected[i]) < 1e-9 for i in expected)
+
+
+@pytest.mark.parametrize("kind", ["random", "steep", "equal", "clusters", "low rank", "single", "tiny", "powers"])
+def test_contours_find_the_largest_components_and_miss_none(kind):
+    rng = np.random.default_rng(5)
+    turn = np.linalg.qr(rng.standard_normal((30, 30)))[0]
+    matrix = {
+        "random": np.cov(rng.standard_normal((90, 64)).T),
+        "steep": np.cov((rng.standard_normal((90, 64)) * np.logspace(0, -4, 64)).T),
+        "equal": np.eye(20) * 3,
+        "clusters": turn @ np.diag([5.0] * 10 + [5 + 1e-9] * 3 + [1.0] * 17) @ turn.T,
+        "low rank": np.cov(rng.standard_normal((10, 40)).T),
+        "single": np.array([[4.0]]),
+        "tiny": np.eye(3) * 1e-30,
+        "powers": turn @ np.diag(10.0 ** -np.arange(30)) @ turn.T,
+    }[kind]
+    matrix = (matrix + matrix.T) / 2
+    parts = feast_whitening.intervals(matrix, 32)
+    found = [feast_whitening.components(matrix, *part) for part in parts]
+    assert [len(values) for values, _ in found] == [count for _, _, count in parts]
+    values, vectors = feast_whitening.refined(matrix, np.hstack([vectors for _, vectors in found]))
+    expected = np.linalg.eigvalsh(matrix)[::-1]
+    assert len(values) >= min(32, len(matrix))
+    assert np.abs(values - expected[: len(values)]).max() < 1e-13 * expected[0]
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-10
+    assert np.abs(matrix @ vectors - vectors * values).max() < 1e-12 * expected[0]
+
+
+def test_inertia_counts_eigenvalues():
+    rng = np.random.default_rng(6)
+    matrix = rng.standard_normal((25, 25))
+    matrix += matrix.T
+    values, inertia = np.linalg.eigvalsh(matrix), feast_whitening.Inertia(matrix)
+    for shift in rng.uniform(values[0] - 1, values[-1] + 1, 50):
+        assert inertia.above(shift) == (values >= shift).sum()
+
+
+def test_large_entries_are_added_up_exactly(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.uniform(-(2**45), 2**45, (50, 3)))]
+    rows += [(90, [2.0**60, 0.0, 0.0]), (91, [0.5, -0.5, 2.0**45])]
+    got = feast_whitening.whiten(spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>"))
+    usable, n, _, whitened, shares = brute_whitened([row for row in rows if row[0] != 90], 32)
+    assert got.count() == 51 * 3 and got.filter("deviation IS NOT NULL").count() == 0
+    assert all(abs(r.explained - shares[r.component - 1]) < 1e-12 and r.n == n == 51 for r in got.collect())
+
+
+def test_whitening_without_variance_or_rows(spark):
+    schema = "vec_id LONG, embedding ARRAY<FLOAT>"
+    for rows in ([], [(1, None)], [(1, []), (2, [float("nan")])]):
+        assert feast_whitening.whiten(spark.createDataFrame(rows, schema)).collect() == []
+    got = feast_whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0])] * 2, schema))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, k, 2, 0, None, 0.0, 0.0) for k in (1, 1, 2, 2)]
+    flat = feast_whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 2.0])], schema))
+    rows = {(r.vec_id, r.component): (r.whitened, r.explained) for r in flat.collect()}
+    assert sorted(rows[i, 1][0] for i in (1, 2)) == [-1, 1] and rows[1, 2] == rows[2, 2] == (None, 0.0)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from viewrank.llm import (
     best_fit_packing,
     context_mixing,
+    feast_whitening,
     filter_audit,
     hash_forest,
     language_id,
@@ -92,6 +93,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast_whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
 
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_language_id,
             op10_best_fit_packing,
             op11_filter_audit,
+            op12_embedding_whitening,
             op13_document_fingerprints,
         )
     }
