@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,3 +44,40 @@ def top_k_per_shard(counts: DataFrame, k: int = MAX_K) -> DataFrame:
 def merge_top_k(per_shard: DataFrame, k: int = MAX_K) -> DataFrame:
     """Global first k from the lists of the shards. A video lives in one shard: no merging of rows."""
     return top_k(per_shard.select("video_id", "count"), k)
+
+
+# Candidate ids are broadcast up to this size; beyond it Spark joins them as it sees fit.
+BROADCAST_BYTES = 32_000_000
+
+
+@contextmanager
+def top_k_of_runs(runs: list[DataFrame], known: DataFrame, k: int = MAX_K) -> Iterator[DataFrame]:
+    """First k rows of the sum of several relations, adding up only ids that can be among them.
+
+    Each relation has one row `video_id, count` per id and counts above zero. `known` holds rows of the
+    relations, each once: the first MAX_K of every relation at least. Sums of known rows are lower
+    bounds, so the k-th of them bounds the answer's last count from below; an id that reaches it has, in one
+    of n relations at least, an n-th part of it. Such ids are the candidates: a filter on the stored count
+    finds them without a shuffle, ties included. Their exact sums take a semi-join before the shuffle.
+    The answer is to be used inside the `with`, where candidates are kept.
+    """
+    check_length(k)
+    if not runs:
+        yield top_k(known, k)
+        return
+    sums = known.groupBy("video_id").agg(F.sum("count").alias("count"))
+    best = sums.orderBy(*best_first()).limit(k).agg(F.count(F.lit(1)), F.min("count")).first()
+    # Fewer than k known ids are all ids there are.
+    least = -(-best[1] // len(runs)) if best[0] == k else 1
+    able = [run.filter(F.col("count") >= least) for run in runs]
+    if len(runs) == 1:
+        yield top_k(able[0], k)
+        return
+    ids = reduce(DataFrame.unionByName, able).select("video_id").distinct().persist()
+    try:
+        size = ids.agg(F.coalesce(F.sum(F.octet_length("video_id") + 16), F.lit(0))).first()[0]
+        candidates = F.broadcast(ids) if size <= BROADCAST_BYTES else ids
+        rows = reduce(DataFrame.unionByName, runs).join(candidates, "video_id", "left_semi")
+        yield top_k(rows.groupBy("video_id").agg(F.sum("count").alias("count")), k)
+    finally:
+        ids.unpersist()

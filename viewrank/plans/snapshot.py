@@ -16,7 +16,7 @@ from viewrank.clock import Clock, day_text, hour_text
 from viewrank.functions.buckets import wall_clock
 from viewrank.functions.shards import shard_of
 from viewrank.operators.counting import Tiers
-from viewrank.operators.ranking import best_first
+from viewrank.operators.ranking import best_first, top_k_of_runs
 from viewrank.operators.timeframes import closed_days_of_month, hours_of_today
 from viewrank.schema import MAX_K, TIMEFRAMES, check_k, check_length, check_timeframe
 from viewrank.sources.store import TierStore
@@ -66,9 +66,10 @@ def slots_from_views(views: DataFrame, clock: Clock) -> DataFrame:
     )
 
 
-def slots_from_tiers(tiers: Tiers, clock: Clock) -> DataFrame:
+def slots_from_recent(hours: DataFrame, days: DataFrame, clock: Clock) -> DataFrame:
+    """Slots of all timeframes but all time."""
     hour, count = F.col("hour_bucket"), F.col("count")
-    recent = tiers.hour.filter(hour >= hour_text(clock.last_day_start)).select(
+    recent = hours.filter(hour >= hour_text(clock.last_day_start)).select(
         *_row(
             count,
             running_hour=hour == hour_text(clock.hour_start),
@@ -77,9 +78,13 @@ def slots_from_tiers(tiers: Tiers, clock: Clock) -> DataFrame:
             last_month=hour.startswith(day_text(clock.today_start) + "-"),
         )
     )
-    closed = closed_days_of_month(tiers.day, clock).select(*_row(count, last_month=True))
-    totals = tiers.all_time.select(*_row(count, all_time=True))
-    return recent.unionByName(closed).unionByName(totals)
+    closed = closed_days_of_month(days, clock).select(*_row(count, last_month=True))
+    return recent.unionByName(closed)
+
+
+def slots_from_tiers(tiers: Tiers, clock: Clock) -> DataFrame:
+    totals = tiers.all_time.select(*_row(F.col("count"), all_time=True))
+    return slots_from_recent(tiers.hour, tiers.day, clock).unionByName(totals)
 
 
 def rank_slots(slots: DataFrame, k: int = MAX_K) -> DataFrame:
@@ -121,9 +126,16 @@ def replay_snapshot(views: DataFrame, clock: Clock) -> DataFrame:
 
 
 def refresh_snapshot(store: TierStore, clock: Clock) -> int:
-    """Rank the stored tiers at `as_of` and publish; call it after a flush or from any timer."""
-    batch_id, tiers = store.state()
-    return store.publish(rank_slots(slots_from_tiers(tiers, clock)), clock, batch_id)
+    """Rank what is stored at `as_of` and publish; call it after a flush or from any timer.
+
+    Its cost follows the recent buckets and the pending deltas: all-time counts are scanned, but only those
+    of ids that can be among the first are shuffled and added up.
+    """
+    recent = store.recent(clock)
+    lists = rank_slots(slots_from_recent(recent.hour, recent.day, clock))
+    with top_k_of_runs(recent.all_time.runs, recent.all_time.known) as best:
+        of_all_time = best.select(F.lit("all time").alias("timeframe"), "rank", "video_id", "count")
+        return store.publish(lists.unionByName(of_all_time), clock, recent.batch_id)
 
 
 def top_videos(snapshot: DataFrame, timeframe: str, k: int) -> DataFrame:

@@ -5,7 +5,9 @@ Layout under one root, which must be a folder every executor reaches:
     checkpoint/                 the stream's own progress
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
-    base/v=N-<id>/tier=T/       all batches up to N, folded, sorted by bucket
+    runs/run=N-<id>/tier=T/span=S/   folded rows of some batches, sorted by bucket and id (see `runs`)
+    tops/run=N-<id>/            the first rows of that run's all-time counts
+    base/v=N-<id>/parts.json    the folders that together hold all batches up to N
     snapshot/v=N-b<batch>-t<as_of>-<id>/   the top-K lists; the highest batch, then moment, wins
 
 Every write goes to a directory of its own and becomes visible when the store has put its own marker
@@ -20,44 +22,57 @@ from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass, replace
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from viewrank.clock import Clock
+from viewrank.clock import Clock, day_text, hour_text
 from viewrank.functions.buckets import day_of, month_of, wall_clock
 from viewrank.operators.counting import Tiers, as_tier, fold
-from viewrank.operators.rollup import retain_days, retain_hours
+from viewrank.operators.ranking import best_first
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
+from viewrank.sources.runs import (
+    FAN_OUT,
+    LATER,
+    Part,
+    as_text,
+    from_text,
+    full_levels,
+    keeps_from,
+    retained,
+    span_of,
+    split_for_merge,
+    within,
+)
 
 _REJECT_SCHEMA = StructType([StructField("reason", StringType()), StructField("body", StringType())])
-_BASE_SCHEMA = StructType(
-    [
-        StructField("bucket", StringType()),
-        StructField("video_id", StringType()),
-        StructField("count", LongType()),
-        StructField("tier", StringType()),
-    ]
+_TEXT_COLUMNS = ("bucket", "video_id", "run", "tier", "span")
+_RUN_SCHEMA = StructType(
+    [*(StructField(name, StringType()) for name in _TEXT_COLUMNS), StructField("count", LongType())]
 )
+# Rows of a run's list of the most viewed; MAX_K at least, more make its bound sharper.
+TOP_ROWS = 1000
 
 
-def _base_form(rows: DataFrame, tier: str) -> DataFrame:
-    """Rows of any tier in the columns of the base."""
-    bucket = F.col(BUCKET_COLUMN[tier]) if tier in BUCKET_COLUMN else F.lit("")
-    return rows.select(F.lit(tier).alias("tier"), bucket.alias("bucket"), "video_id", "count")
+def _too_old(clock: Clock) -> Column:
+    tier, bucket = F.col("tier"), F.col("bucket")
+    old = [(tier == name) & (bucket < first) for name, first in keeps_from(clock).items()]
+    return reduce(Column.__or__, old)
 
 
 def _every_tier(hours: DataFrame, clock: Clock) -> DataFrame:
-    """Hour rows as rows of every tier that keeps them, in the columns of the base: one scan for all tiers."""
+    """Hour rows as rows of every tier that keeps them, with their span: one scan for all tiers."""
     hour = F.col("hour_bucket")
     buckets = {"hour": hour, "day": day_of(hour), "month": month_of(hour), "all_time": F.lit("")}
-    forms = [F.struct(F.lit(tier).alias("tier"), bucket.alias("bucket")) for tier, bucket in buckets.items()]
-    tier, bucket = F.col("tier"), F.col("bucket")
-    old = ((tier == "hour") & (bucket < clock.keep_hours_from)) | ((tier == "day") & (bucket < clock.keep_days_from))
-    return hours.select(F.inline(F.array(*forms)), "video_id", "count").filter(~old)
+    forms = [
+        F.struct(F.lit(tier).alias("tier"), span_of(tier, bucket, clock).alias("span"), bucket.alias("bucket"))
+        for tier, bucket in buckets.items()
+    ]
+    return hours.select(F.inline(F.array(*forms)), "video_id", "count").filter(~_too_old(clock))
 
 
 def _tier_form(base: DataFrame, tier: str) -> DataFrame:
@@ -68,8 +83,36 @@ def _tier_form(base: DataFrame, tier: str) -> DataFrame:
     return rows.select(*TIER_SCHEMA[tier].names)
 
 
+@dataclass(frozen=True)
+class Base:
+    """The folders of a base version, and what retention kept when they were listed."""
+
+    version: int
+    parts: list[Part]
+    keeps_from: dict[str, str]
+
+
+@dataclass(frozen=True)
+class AllTimeRuns:
+    """All-time counts as they lie: runs with one row per id, and some rows of each, its largest among them."""
+
+    runs: list[DataFrame]
+    known: DataFrame
+
+
+@dataclass(frozen=True)
+class Recent:
+    """What the answers of a moment need: the last micro-batch that counts, hours, days, all-time counts."""
+
+    batch_id: int
+    hour: DataFrame
+    day: DataFrame
+    all_time: AllTimeRuns
+
+
 # The marker of a complete directory; readers of Parquet pass over such names.
 _COMPLETE = "_COMPLETE"
+_PARTS = "parts.json"
 
 
 def _numbered(paths) -> dict[int, str]:
@@ -152,71 +195,123 @@ class TierStore:
         """Last micro-batch folded into the newest complete base, -1 before the first one."""
         return max(self._finished("base"), default=-1)
 
-    def _base_rows(self, path: str | None) -> DataFrame:
+    def _base(self, version: int, path: str | None) -> Base:
         if path is None:
-            return _empty(self.spark, _BASE_SCHEMA)
-        return self.spark.read.schema(_BASE_SCHEMA).parquet(path)
+            return Base(version, [], {})
+        return Base(version, *from_text(self._read_text(f"{path}/{_PARTS}")))
+
+    def _part_rows(self, parts: list[Part]) -> DataFrame:
+        """Rows of the named folders: `bucket, video_id, run, tier, span, count`."""
+        if not parts:
+            return _empty(self.spark, _RUN_SCHEMA)
+        folders = [f"{self.root}/runs/{part.folder}" for part in parts]
+        return self.spark.read.schema(_RUN_SCHEMA).option("basePath", f"{self.root}/runs").parquet(*folders)
+
+    def _tier_rows(self, base: Base, tier: str, low: str = "", high: str | None = None) -> DataFrame:
+        """One tier of a base, of the folders that can hold buckets from `low` up to `high`."""
+        parts = within(base.parts, tier, low, high)
+        rows = self._part_rows(parts)
+        if tier in base.keeps_from and any(part.span == LATER for part in parts):
+            rows = rows.filter(F.col("bucket") >= base.keeps_from[tier])
+        return _tier_form(rows, tier)
 
     def state(self) -> tuple[int, Tiers]:
         """The last micro-batch that counts (-1: none yet) and the tiers up to it.
 
         Base and pending deltas lie side by side: keys may repeat, readers sum them.
         """
-        version, base, batches = self._listing()
-        return max([version, *batches]), self._tiers(base, batches)
+        base, batches = self._listing()
+        return max([base.version, *batches]), self._tiers(base, batches)
 
-    def _listing(self) -> tuple[int, str | None, list[int]]:
-        """Newest base, its path and the deltas behind it, each listed once.
+    def _listing(self) -> tuple[Base, list[int]]:
+        """Newest base and the deltas behind it, each listed once.
 
         Deltas come first: what a compaction folds in between is then in the base that is seen.
         """
         deltas, bases = self._finished("deltas"), self._finished("base")
         version = max(bases, default=-1)
-        return version, bases.get(version), [b for b in deltas if b > version]
+        return self._base(version, bases.get(version)), [b for b in deltas if b > version]
 
     def tiers(self) -> Tiers:
         return self.state()[1]
 
-    def _tiers(self, base_path: str | None, batches: list[int]) -> Tiers:
-        base, deltas = self._base_rows(base_path), self._delta_rows(batches)
+    def _tiers(self, base: Base, batches: list[int]) -> Tiers:
+        deltas = self._delta_rows(batches)
         return Tiers(
-            **{tier: _tier_form(base, tier).unionByName(as_tier(deltas, tier)) for tier in TIER_KEYS}
+            **{tier: self._tier_rows(base, tier).unionByName(as_tier(deltas, tier)) for tier in TIER_KEYS}
         )
 
+    def recent(self, clock: Clock) -> Recent:
+        """Of hours and days, only the folders that a timeframe can reach are listed and read."""
+        base, batches = self._listing()
+        deltas = self._delta_rows(batches)
+        hours = self._tier_rows(base, "hour", hour_text(clock.last_day_start))
+        days = self._tier_rows(base, "day", day_text(clock.last_month_start), day_text(clock.today_start))
+        return Recent(
+            max([base.version, *batches]),
+            hours.unionByName(as_tier(deltas, "hour")),
+            days.unionByName(as_tier(deltas, "day")),
+            self._all_time_runs(base, deltas if batches else None),
+        )
+
+    def _all_time_runs(self, base: Base, deltas: DataFrame | None) -> AllTimeRuns:
+        parts = within(base.parts, "all_time")
+        schema = TIER_SCHEMA["all_time"]
+        runs = [_tier_form(self._part_rows([part]), "all_time") for part in parts]
+        tops = [f"{self.root}/tops/run={part.run}" for part in parts]
+        known = self.spark.read.schema(schema).parquet(*tops) if tops else _empty(self.spark, schema)
+        if deltas is not None:
+            pending = fold([as_tier(deltas, "all_time")], "all_time")
+            runs, known = [*runs, pending], known.unionByName(pending)
+        return AllTimeRuns(runs, known)
+
     def tier(self, name: str) -> DataFrame:
         """One tier with one row per key."""
         return fold([getattr(self.tiers(), name)], name)
 
-    def compact(self, clock: Clock, through: int | None = None) -> int:
-        """Fold pending deltas into a new base, apply retention, and return its version.
+    def compact(self, clock: Clock, through: int | None = None, fan_out: int = FAN_OUT) -> int:
+        """Fold pending deltas into a new base version, apply retention, and return its number.
 
         Each delta is folded into every tier once, so a late view reaches all of them and a
-        repeated run has nothing left to add. One job writes all tiers, so they become visible
-        together.
+        repeated run has nothing left to add. The new version becomes visible with its list of folders,
+        after all of them. Runs of a level that is not full are neither read nor written.
         """
-        old, base, pending = self._listing()
+        base, pending = self._listing()
         batches = [b for b in pending if through is None or b <= through]
         if not batches:
-            return old
-        stored = self._tiers(base, [])
-        kept = [
-            _base_form(retain_hours(stored.hour, clock), "hour"),
-            _base_form(retain_days(stored.day, clock), "day"),
-            _base_form(stored.month, "month"),
-            _base_form(stored.all_time, "all_time"),
-            _every_tier(self._delta_rows(batches), clock),
-        ]
-        rows = reduce(DataFrame.unionByName, kept)
-        folded = rows.groupBy("tier", "bucket", "video_id").agg(F.sum("count").alias("count"))
-        # Sorted files let Parquet skip to a bucket. A directory per bucket would add a shuffle,
-        # and as many directories as clients can send dates.
-        path = self._new_version("base", str(batches[-1]))
-        folded.sortWithinPartitions("tier", "bucket", "video_id").write.partitionBy("tier").parquet(path)
+            return base.version
+        last = batches[-1]
+        deltas = _every_tier(self._delta_rows(batches), clock)
+        parts = retained(base.parts, clock) + self._write_run(deltas, 1, batches[0], last, last)
+        top = full_levels(parts, fan_out)
+        if top:
+            parts, rewrite, covered = split_for_merge(parts, top)
+            if rewrite:
+                rows = self._part_rows(rewrite).filter(~_too_old(clock))
+                parts += self._write_run(rows, top + 1, *covered, last)
+        path = self._new_version("base", str(last))
+        self._write_text(f"{path}/{_PARTS}", as_text(parts, clock))
         self._complete("base", path)
-        return batches[-1]
+        return last
+
+    def _write_run(self, rows: DataFrame, level: int, first: int, last: int, number: int) -> list[Part]:
+        """Fold rows (`tier, span, bucket, video_id, count`) into a run of its own; its parts."""
+        run = f"{number}-{uuid.uuid4().hex}"
+        folder = f"{self.root}/runs/run={run}"
+        keys = ["tier", "span", "bucket", "video_id"]
+        folded = rows.groupBy(*keys).agg(F.sum("count").alias("count"))
+        # Sorted files let Parquet skip to a bucket, and within the all-time counts to an id.
+        folded.sortWithinPartitions(*keys).write.partitionBy("tier", "span").parquet(folder)
+        found = [path.rsplit("/", 2)[1:] for path in self._folders(f"{folder}/tier=*/span=*")]
+        parts = [Part(level, first, last, tier[len("tier=") :], span[len("span=") :], run) for tier, span in found]
+        totals = within(parts, "all_time")
+        if totals:
+            best = _tier_form(self._part_rows(totals), "all_time").orderBy(*best_first()).limit(TOP_ROWS)
+            best.write.parquet(f"{self.root}/tops/run={run}")
+        return parts
 
     def clean_up(self, keep_snapshots: int = 10, grace: timedelta = timedelta(0)) -> None:
-        """Drop deltas, bases and answers that were replaced at least `grace` ago.
+        """Drop deltas, bases, folders of runs and answers that were replaced at least `grace` ago.
 
         A reader that started before then must have ended.
         """
@@ -226,12 +321,30 @@ class TierStore:
         for batch_id, path in self._finished("deltas").items():
             if batch_id <= version:
                 self._delete(path)
-        for v, path in bases.items():
-            if v < version:
+        kept = [part for v, path in bases.items() if v >= version for part in self._base(v, path).parts]
+        for path in self._complete_paths("base"):
+            if int(path.rsplit("v=", 1)[1].split("-")[0]) < version:
                 self._delete(path)
+        self._drop_runs({part.folder for part in kept}, version)
         for path in self._answers()[:-keep_snapshots]:
             self._delete(path)
 
+    def _drop_runs(self, used: set[str], version: int) -> None:
+        """Delete folders that no kept version names. A run numbered `version` or above may be in the making."""
+
+        def replaced(path: str) -> bool:
+            return int(path.rsplit("run=", 1)[1].split("-")[0]) < version
+
+        runs = {folder.split("/")[0] for folder in used}
+        tops = {folder.split("/")[0] for folder in used if "/tier=all_time/" in folder}
+        for path in self._folders(f"{self.root}/runs/run=*/tier=*/span=*"):
+            if replaced(path) and path.split("/runs/")[-1] not in used:
+                self._delete(path)
+        for folder, still in (("runs", runs), ("tops", tops)):
+            for path in self._folders(f"{self.root}/{folder}/run=*"):
+                if replaced(path) and path.rsplit("/", 1)[1] not in still:
+                    self._delete(path)
+
     # Published answers
 
     def publish(self, snapshot: DataFrame, clock: Clock, batch_id: int | None = None) -> int:
@@ -291,6 +404,26 @@ class TierStore:
         if path.rsplit("/", 1)[1] not in listed:
             raise RuntimeError(f"{path} was written but cannot be listed")
 
+    def _folders(self, pattern: str) -> list[str]:
+        path, fs = self._path(pattern)
+        return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
+
+    def _write_text(self, path: str, text: str) -> None:
+        path, fs = self._path(path)
+        stream = fs.create(path, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def _read_text(self, path: str) -> str:
+        path, fs = self._path(path)
+        stream = fs.open(path)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def _age(self, path: str) -> float:
         """Seconds since a directory became visible."""
         marker, fs = self._path(f"{path}/{_COMPLETE}")
