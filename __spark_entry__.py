@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib.util
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,6 +220,39 @@ def _store_top(clock: Clock) -> Query:
     return run
 
 
+# Arrivals in the order of the store's batches; the last one is late.
+ARRIVAL_STARTS = (datetime(2024, 1, 14), datetime(2024, 1, 20, 10, 30), datetime(2024, 1, 26), datetime(2024, 1, 29, 6))
+
+
+def _levelled_store(spark: SparkSession, sf_dir: str, name: str, compactions: int) -> TierStore:
+    """Arrivals one by one; the first `compactions` are folded as they come, into runs of two or more levels."""
+    store = TierStore(spark, new_work_folder(spark, name))
+    views = _views_until()(spark, sf_dir)
+    ts, (start, until) = F.col("ts"), (wall_clock(LATE_FROM), wall_clock(LATE_UNTIL))
+    late = (ts >= start) & (ts < until)
+    bounds = [None, *map(wall_clock, ARRIVAL_STARTS), None]
+    arrivals = [
+        ~late & (F.lit(True) if low is None else ts >= low) & (F.lit(True) if high is None else ts < high)
+        for low, high in pairwise(bounds)
+    ]
+    for batch_id, arrival in enumerate([*arrivals, late]):
+        store.write_delta(batch_id, counting.count_by_hour(views.filter(arrival)))
+        if batch_id < compactions:
+            store.compact(NOW, fan_out=2)
+    return store
+
+
+def _store_levelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_tiers_of(_levelled_store(spark, sf_dir, "store-levelled", len(ARRIVAL_STARTS) + 2))
+
+
+def _store_runs_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From three runs of different levels and two pending deltas, one of them late."""
+    store = _levelled_store(spark, sf_dir, "store-runs", len(ARRIVAL_STARTS))
+    snapshot.refresh_snapshot(store, NOW)
+    return store.snapshot().select("timeframe", "rank", "video_id", "count")
+
+
 def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part of the views, a compaction, and the rest from a checkpoint that knows nothing of the first."""
     root = new_work_folder(spark, "stream-restart")
@@ -255,7 +289,11 @@ def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _late_store(spark, sf_dir, "stream-compacted", compact=True).tiers()
+    return _all_tiers_of(_late_store(spark, sf_dir, "stream-compacted", compact=True))
+
+
+def _all_tiers_of(store: TierStore) -> DataFrame:
+    stored = store.tiers()
     tiers = [
         counting.fold([getattr(stored, tier)], tier).select(
             F.lit(tier).alias("tier"),
@@ -375,6 +413,8 @@ def library_queries() -> dict[str, Query]:
         "stream_topk": _stream_top,
         "store_topk_snapshot": _store_top(NOW),
         "store_topk_snapshot_later": _store_top(HOUR_LATER),
+        "store_levelled_tiers": _store_levelled,
+        "store_runs_topk": _store_runs_top,
         "stream_restart_counts": _stream_restart,
         "stream_late_views": _stream_late,
         "stream_compacted_tiers": _stream_compacted,
@@ -551,6 +591,10 @@ def library_sql() -> dict[str, str]:
         "stream_topk": _sql_lists(NOW, lambda clock: _sql_views(None)),
         "store_topk_snapshot": _sql_snapshot(NOW),
         "store_topk_snapshot_later": _sql_lists(HOUR_LATER, lambda clock: _sql_views(NOW)),
+        "store_levelled_tiers": _sql_tiers(
+            NOW, f"{_HOUR} >= '{NOW.keep_hours_from}'", f"{_DAY} >= '{NOW.keep_days_from}'"
+        ),
+        "store_runs_topk": _sql_snapshot(NOW),
         "stream_restart_counts": f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id",
         "stream_late_views": _sql_tier(_HOUR, "hour_bucket", None),
         "stream_request_counts": f"""{_SQL_REQUESTS} SELECT video_id, {_HOUR} AS hour_bucket, {_N}

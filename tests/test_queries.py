@@ -17,8 +17,8 @@ from viewrank.session import new_work_folder
 from viewrank.sources.store import TierStore
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# What these return is read from the answers that they published, so no view is scanned.
-PUBLISHED = ("serve_top_videos", "store_topk_snapshot", "store_topk_snapshot_later")
+# What these return is read from what they stored or published, so no view is scanned.
+PUBLISHED = ("serve_top_videos", "store_topk_snapshot", "store_topk_snapshot_later", "store_runs_topk", "store_levelled_tiers")
 STREAMS = [name for name in library_queries() if name.startswith("stream_")]
 
 
