@@ -18,7 +18,7 @@ from viewrank.clock import Clock, day_text, hour_text
 from viewrank.functions.buckets import wall_clock
 from viewrank.functions.shards import shard_of
 from viewrank.operators import counting, monitor, ranking, rollup, timeframes
-from viewrank.plans import replay, snapshot
+from viewrank.plans import replay, series, snapshot
 from viewrank.session import new_work_folder
 from viewrank.sources import requests
 from viewrank.sources.store import TierStore
@@ -35,6 +35,8 @@ DELTA_START = datetime(2024, 1, 20, 10, 30)
 # The views of this day reach the stream after all others.
 LATE_FROM, LATE_UNTIL = datetime(2024, 1, 8), datetime(2024, 1, 9)
 FILES_PER_BATCH = 1000
+# Over midnight, from the first hour that the last day reaches.
+SERIES_HOURS = 24
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +113,10 @@ def _snapshot(clock: Clock) -> Query:
     return lambda spark, sf_dir: snapshot.replay_snapshot(event_views(spark, sf_dir), clock)
 
 
+def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.top_k_series(event_views(spark, sf_dir), NOW.last_day_start, SERIES_HOURS)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.snapshot_documents(_snapshot(NOW)(spark, sf_dir))
 
@@ -397,6 +403,7 @@ def library_queries() -> dict[str, Query]:
         "topk_merged": _merged,
         "topk_snapshot": _snapshot(NOW),
         "topk_snapshot_later": _snapshot(HOUR_LATER),
+        "topk_series": _series,
         "topk_json": _documents,
         "serve_top_videos": _serve,
         "bulk_topk_month": _top("last month", BULK_NOW, part_views),
@@ -563,6 +570,10 @@ def library_sql() -> dict[str, str]:
         "topk_merged": _sql_top(f'SELECT video_id, "count" FROM ({per_shard})'),
         "topk_snapshot": _sql_snapshot(NOW),
         "topk_snapshot_later": _sql_snapshot(HOUR_LATER),
+        "topk_series": " UNION ALL ".join(
+            f"SELECT '{hour_text(clock.as_of)}' AS hour_bucket, * FROM ({_sql_snapshot(clock)})"
+            for clock in series.moments(NOW.last_day_start, SERIES_HOURS)
+        ),
         "topk_json": f"""SELECT 'topk:' || replace(timeframe, ' ', '_') AS key,
             '[' || coalesce(string_agg('{{"video_id":"' || video_id || '","count":' || "count" || '}}', ','
                 ORDER BY rank), '') || ']' AS payload

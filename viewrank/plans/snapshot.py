@@ -107,17 +107,25 @@ def rank_slots(slots: DataFrame, k: int = MAX_K) -> DataFrame:
         .filter(F.col("count") > 0)
         .select("timeframe", "preference", "shard", "video_id", "count")
     )
+    return rank_candidates(rows, k)
+
+
+def rank_candidates(rows: DataFrame, k: int, *more: str) -> DataFrame:
+    """Lists per timeframe, and per value of further columns, from counts above zero.
+
+    Rows are `timeframe, preference, shard, video_id, count`; a shard gives its preferred candidates only.
+    """
     # A list per timeframe and shard, preferred candidate first; each task sends k rows of each.
-    shard = Window.partitionBy("timeframe", "shard")
+    shard = Window.partitionBy(*more, "timeframe", "shard")
     place = F.row_number().over(shard.orderBy("preference", *best_first()))
-    lists = rows.withColumn("place", place).filter(F.col("place") <= k)
+    lists = rows.withColumn("place_in_shard", place).filter(F.col("place_in_shard") <= k)
     preferred = F.min("preference").over(shard)
     kept = lists.withColumn("preferred", preferred).filter(F.col("preference") == F.col("preferred"))
-    in_timeframe = Window.partitionBy("timeframe").orderBy(*best_first())
+    in_timeframe = Window.partitionBy(*more, "timeframe").orderBy(*best_first())
     return (
         kept.withColumn("rank", F.row_number().over(in_timeframe))
         .filter(F.col("rank") <= k)
-        .select("timeframe", "rank", "video_id", "count")
+        .select(*more, "timeframe", "rank", "video_id", "count")
     )
 
 
