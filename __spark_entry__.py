@@ -18,6 +18,7 @@ from viewrank.clock import Clock, day_text, hour_text
 from viewrank.functions.buckets import wall_clock
 from viewrank.functions.shards import shard_of
 from viewrank.operators import counting, monitor, ranking, rollup, timeframes
+from viewrank.operators.summaries import TRACKED
 from viewrank.plans import replay, series, snapshot
 from viewrank.session import new_work_folder
 from viewrank.sources import requests
@@ -190,10 +191,10 @@ def _event_stream(spark: SparkSession, sf_dir: str, max_files: int | None) -> Da
     return _as_views(stream_table(spark, f"{sf_dir}/events*.parquet", schema, max_files))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, name: str, on_flush=None) -> TierStore:
+def _streamed(spark: SparkSession, sf_dir: str, name: str, on_flush=None, tracked=None) -> TierStore:
     store = TierStore(spark, new_work_folder(spark, name))
     views = _event_stream(spark, sf_dir, FILES_PER_BATCH)
-    start_view_counts(views, store, {"availableNow": True}, on_flush).awaitTermination()
+    start_view_counts(views, store, {"availableNow": True}, on_flush, tracked).awaitTermination()
     return store
 
 
@@ -209,6 +210,13 @@ def _stream_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.select("timeframe", "rank", "video_id", "count")
 
 
+def _stream_summary_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists from deltas whose summaries name the candidates of all time."""
+    store = _streamed(spark, sf_dir, "stream-summary", tracked=TRACKED)
+    snapshot.refresh_snapshot(store, NOW)
+    return store.snapshot().select("timeframe", "rank", "video_id", "count")
+
+
 def _store_top(clock: Clock) -> Query:
     """Lists from a base and pending deltas, the last of them late, of the views up to NOW."""
 
@@ -418,6 +426,7 @@ def library_queries() -> dict[str, Query]:
         "stream_hour_counts": _stream_tier("hour"),
         "stream_alltime": _stream_tier("all_time"),
         "stream_topk": _stream_top,
+        "stream_summary_topk": _stream_summary_top,
         "store_topk_snapshot": _store_top(NOW),
         "store_topk_snapshot_later": _store_top(HOUR_LATER),
         "store_levelled_tiers": _store_levelled,
@@ -600,6 +609,7 @@ def library_sql() -> dict[str, str]:
         "stream_hour_counts": _sql_tier(_HOUR, "hour_bucket", None),
         "stream_alltime": f"SELECT video_id, {_N} FROM ({_sql_views(None)}) GROUP BY video_id",
         "stream_topk": _sql_lists(NOW, lambda clock: _sql_views(None)),
+        "stream_summary_topk": _sql_lists(NOW, lambda clock: _sql_views(None)),
         "store_topk_snapshot": _sql_snapshot(NOW),
         "store_topk_snapshot_later": _sql_lists(HOUR_LATER, lambda clock: _sql_views(NOW)),
         "store_levelled_tiers": _sql_tiers(

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 
+import viewrank.__main__
 from viewrank.__main__ import main
 from viewrank.session import new_work_folder, shared_folder
+from viewrank.sources.store import TierStore
 
 BODIES = [
     '{"videoId": "film_7", "timestamp": "2023-03-09T08:15:00"}',
@@ -41,3 +44,27 @@ def test_work_folders_lie_in_the_named_shared_folder(spark):
     assert shared_folder(spark) == named
     first, second = new_work_folder(spark, "x"), new_work_folder(spark, "x")
     assert first != second and first.startswith(f"{named}/viewrank/x-")
+
+
+def test_counting_does_not_wait_for_answers(spark, monkeypatch):
+    """The first refresh lasts until all files are counted, one failing refresh changes nothing."""
+    folder = new_work_folder(spark, "beside")
+    for body in BODIES[:3]:
+        spark.createDataFrame([(body,)], "value STRING").coalesce(1).write.mode("append").text(f"{folder}/in")
+    waited, refresh = [], viewrank.__main__.refresh_snapshot
+
+    def slow(store, clock):
+        until = time.monotonic() + 120
+        while not waited and len(store.batches()) < 3 and time.monotonic() < until:
+            time.sleep(0.2)
+        waited.append(len(store.batches()))
+        if len(waited) == 1:
+            raise RuntimeError("answers failed")
+        return refresh(store, clock)
+
+    monkeypatch.setattr(viewrank.__main__, "refresh_snapshot", slow)
+    main(["count", "--store", f"{folder}/store", "--path", f"{folder}/in", "--once", "--refresh-every", "0.1",
+          "--as-of", "2023-03-09T08:20:00", "--option", "maxFilesPerTrigger=1"])
+    assert waited[0] == waited[-1] == 3 and len(waited) > 1
+    store = TierStore(spark, f"{folder}/store")
+    assert store.snapshot().filter("timeframe = 'all time' AND rank = 1 AND count = 2").count() == 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 from collections import Counter
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 
 from conftest import rows
 from viewrank.clock import Clock
-from viewrank.operators import ranking
+from viewrank.operators import ranking, summaries
 from viewrank.operators.counting import count_by_hour
 from viewrank.plans.snapshot import rank_slots, refresh_snapshot, slots_from_tiers
 from viewrank.schema import TIER_SCHEMA
@@ -183,7 +184,7 @@ def test_first_rows_of_sums_equal_brute_force(spark, counted, k, small):
     expected = sorted(total.items(), key=lambda row: (-row[1], row[0]))[:k]
     limit, ranking.BROADCAST_BYTES = ranking.BROADCAST_BYTES, ranking.BROADCAST_BYTES if small else -1
     try:
-        with ranking.top_k_of_runs(runs, lists, k) as best:
+        with ranking.top_k_of_runs(ranking.CountedRuns(runs, lists), k) as best:
             got = [tuple(row) for row in best.orderBy("rank").collect()]
     finally:
         ranking.BROADCAST_BYTES = limit
@@ -194,7 +195,7 @@ def test_all_time_counts_are_not_shuffled_whole(spark, store, views_of):
     many = [(f"vid_{i}", "2024-01-29 10:00", 1) for i in range(300)]
     compacted(store, views_of, [many + ARRIVALS[0] * 9, ARRIVALS[1] * 9, ARRIVALS[2]], fan_out=9)
     runs = store.recent(NOW).all_time
-    with ranking.top_k_of_runs(runs.runs, runs.known, 2) as best:
+    with ranking.top_k_of_runs(runs, 2) as best:
         assert rows(best) == [(1, "vid_2", 39), (2, "vid_1", 28)]
         plan = best._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
@@ -202,3 +203,42 @@ def test_all_time_counts_are_not_shuffled_whole(spark, store, views_of):
     semi, shuffle = final.index("LeftSemi"), final.index("Exchange hashpartitioning(video_id")
     assert shuffle < semi and "SortMergeJoin" not in final
     assert final.count("GreaterThanOrEqual(count,") >= 1
+
+
+@pytest.mark.parametrize(("tracked", "spread"), [(64, 5), (64, 4000), (4000, 4000)])
+def test_a_merged_summary_bounds_every_count(spark, tracked, spread):
+    """Few ids, many ids of about the same count, and many with room for all of them."""
+    rng = random.Random(8)
+    views = [(f"vid_{int(rng.paretovariate(0.6)) % spread}",) for _ in range(6000)]
+    parts = [spark.createDataFrame(views[n::3], "video_id STRING") for n in range(3)]
+    states = [summaries.summarize(part, tracked) for part in parts]
+    true = Counter(v for (v,) in views)
+    with summaries.merged(states[0].unionByName(states[1]).unionByName(states[2])) as listed:
+        estimates = {row.video_id: row.estimate for row in listed.ids.collect()}
+        assert all(estimates[v] >= true[v] for v in estimates)
+        assert all(n <= listed.unlisted for v, n in true.items() if v not in estimates)
+        assert len(estimates) <= tracked
+
+
+@pytest.mark.parametrize(("tracked", "compactions"), [(4096, 0), (4096, 2), (16, 2), (16, 0)])
+def test_summaries_of_deltas_give_the_same_answer(spark, store, views_of, tracked, compactions):
+    """With room enough the summaries prove the candidates; with 16 ids the pending rows are added up instead."""
+    rng = random.Random(9)
+    for batch_id in range(4):
+        batch = [(f"vid_{int(rng.paretovariate(0.5)) % 700}", "2024-01-29 10:00") for _ in range(3000)]
+        views = views_of(batch)
+        store.write_delta(batch_id, count_by_hour(views), summaries.summarize(views, tracked))
+        if batch_id < compactions:
+            store.compact(NOW, fan_out=9)
+    counted = store.recent(NOW).all_time
+    assert len(counted.runs) == compactions and counted.summaries is not None
+    with ranking.top_k_of_runs(counted, 20) as best:
+        got = rows(best)
+        plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert got == rows(ranking.top_k(store.tier("all_time"), 20))
+    # One sum only, that of the candidates, unless the pending rows had to be added up before.
+    sums = 2 if (tracked, compactions) == (16, 2) else 1
+    assert plan.count("Aggregate [video_id") == sums and ("LeftSemi" in plan) == ((tracked, compactions) != (16, 0))
+    store.compact(NOW)
+    store.clean_up()
+    assert store._finished("summaries") == {}

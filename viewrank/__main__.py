@@ -9,11 +9,13 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from viewrank.clock import Clock
+from viewrank.operators.summaries import TRACKED
 from viewrank.plans.maintenance import maintain
 from viewrank.plans.snapshot import refresh_snapshot, top_videos_response
 from viewrank.session import build_session
@@ -21,6 +23,7 @@ from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests
 from viewrank.streaming.view_counts import start_request_counts
 
+logger = logging.getLogger(__name__)
 
 # What one micro-batch takes at most unless --option says otherwise; the rest waits for the next one.
 BATCH_BOUNDS = {"text": {"maxFilesPerTrigger": "1000"}, "kafka": {"maxOffsetsPerTrigger": "10000000"}}
@@ -31,13 +34,21 @@ def clock_at(as_of: str | None) -> Clock:
 
 
 def count(store: TierStore, args: argparse.Namespace) -> None:
-    """Runs until stopped; `--once` stops when everything that has arrived is counted."""
+    """Runs until stopped; `--once` stops when everything that has arrived is counted.
+
+    Answers are renewed beside the counting, which never waits for them: every `--refresh-every` seconds, since
+    time alone changes them, and once more at the end.
+    """
     options = {**BATCH_BOUNDS.get(args.source, {}), **dict(o.split("=", 1) for o in args.option)}
     requests = stream_requests(store.spark, args.source, options, args.path)
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
-    start_request_counts(
-        requests, store, trigger, lambda s, batch_id: refresh_snapshot(s, clock_at(args.as_of))
-    ).awaitTermination()
+    query = start_request_counts(requests, store, trigger, tracked=args.tracked)
+    while not query.awaitTermination(args.refresh_every):
+        try:
+            refresh_snapshot(store, clock_at(args.as_of))
+        except Exception:
+            logger.exception("refresh failed, counting goes on")
+    refresh_snapshot(store, clock_at(args.as_of))
 
 
 def top(store: TierStore, args: argparse.Namespace) -> None:
@@ -57,6 +68,8 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
             job.add_argument("--path", help="folder to watch, for file sources")
             job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
             job.add_argument("--every", type=float, default=60, help="seconds between flushes")
+            job.add_argument("--refresh-every", type=float, default=30, help="seconds between answers")
+            job.add_argument("--tracked", type=int, default=TRACKED, help="ids in the summary of a batch")
             job.add_argument("--once", action="store_true")
         if name == "top":
             job.add_argument("--timeframe", required=True)

@@ -141,7 +141,7 @@ def refresh_snapshot(store: TierStore, clock: Clock) -> int:
     """
     recent = store.recent(clock)
     lists = rank_slots(slots_from_recent(recent.hour, recent.day, clock))
-    with top_k_of_runs(recent.all_time.runs, recent.all_time.known) as best:
+    with top_k_of_runs(recent.all_time) as best:
         of_all_time = best.select(F.lit("all time").alias("timeframe"), "rank", "video_id", "count")
         return store.publish(lists.unionByName(of_all_time), clock, recent.batch_id)
 

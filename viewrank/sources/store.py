@@ -4,6 +4,7 @@ Layout under one root, which must be a folder every executor reaches:
 
     checkpoint/                 the stream's own progress
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
+    summaries/batch_id=N/       its most viewed ids, as a state that merges: state, views
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
     runs/run=N-<id>/tier=T/span=S/   folded rows of some batches, sorted by bucket and id (see `runs`)
     tops/run=N-<id>/            the first rows of that run's all-time counts
@@ -33,7 +34,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from viewrank.clock import Clock, day_text, hour_text
 from viewrank.functions.buckets import day_of, month_of, wall_clock
 from viewrank.operators.counting import Tiers, as_tier, fold
-from viewrank.operators.ranking import best_first
+from viewrank.operators.ranking import CountedRuns, best_first
 from viewrank.schema import BUCKET_COLUMN, SNAPSHOT, TIER_KEYS, TIER_SCHEMA
 from viewrank.sources.runs import (
     FAN_OUT,
@@ -92,14 +93,6 @@ class Base:
     keeps_from: dict[str, str]
 
 
-@dataclass(frozen=True)
-class AllTimeRuns:
-    """All-time counts as they lie: runs with one row per id, and some rows of each, its largest among them."""
-
-    runs: list[DataFrame]
-    known: DataFrame
-
-
 @dataclass(frozen=True)
 class Recent:
     """What the answers of a moment need: the last micro-batch that counts, hours, days, all-time counts."""
@@ -107,7 +100,7 @@ class Recent:
     batch_id: int
     hour: DataFrame
     day: DataFrame
-    all_time: AllTimeRuns
+    all_time: CountedRuns
 
 
 # The marker of a complete directory; readers of Parquet pass over such names.
@@ -151,7 +144,12 @@ class TierStore:
         stream.close()
         return first
 
-    def write_delta(self, batch_id: int, delta: DataFrame) -> None:
+    def write_delta(self, batch_id: int, delta: DataFrame, summary: DataFrame | None = None) -> None:
+        """Counts of a micro-batch, and the summary of its views if there is one (see `summaries`)."""
+        if summary is not None:
+            path = f"{self.root}/summaries/batch_id={batch_id}"
+            summary.write.mode("overwrite").parquet(path)
+            self._complete("summaries", path)
         path = self._delta(batch_id)
         delta.select(*TIER_SCHEMA["hour"].names).write.mode("overwrite").parquet(path)
         self._complete("deltas", path)
@@ -251,19 +249,20 @@ class TierStore:
             max([base.version, *batches]),
             hours.unionByName(as_tier(deltas, "hour")),
             days.unionByName(as_tier(deltas, "day")),
-            self._all_time_runs(base, deltas if batches else None),
+            self._all_time_runs(base, batches),
         )
 
-    def _all_time_runs(self, base: Base, deltas: DataFrame | None) -> AllTimeRuns:
-        parts = within(base.parts, "all_time")
+    def _all_time_runs(self, base: Base, batches: list[int]) -> CountedRuns:
         schema = TIER_SCHEMA["all_time"]
+        parts = within(base.parts, "all_time")
         runs = [_tier_form(self._part_rows([part]), "all_time") for part in parts]
         tops = [f"{self.root}/tops/run={part.run}" for part in parts]
         known = self.spark.read.schema(schema).parquet(*tops) if tops else _empty(self.spark, schema)
-        if deltas is not None:
-            pending = fold([as_tier(deltas, "all_time")], "all_time")
-            runs, known = [*runs, pending], known.unionByName(pending)
-        return AllTimeRuns(runs, known)
+        pending = as_tier(self._delta_rows(batches), "all_time") if batches else None
+        summaries = self._finished("summaries")
+        paths = [summaries[b] for b in batches if b in summaries]
+        told = self.spark.read.parquet(*paths) if paths and len(paths) == len(batches) else None
+        return CountedRuns(runs, known, pending, told)
 
     def tier(self, name: str) -> DataFrame:
         """One tier with one row per key."""
@@ -318,9 +317,10 @@ class TierStore:
         bases = self._finished("base")
         settled = [v for v, path in bases.items() if self._age(path) >= grace.total_seconds()]
         version = max(settled, default=-1)
-        for batch_id, path in self._finished("deltas").items():
-            if batch_id <= version:
-                self._delete(path)
+        for folder in ("deltas", "summaries"):
+            for batch_id, path in self._finished(folder).items():
+                if batch_id <= version:
+                    self._delete(path)
         kept = [part for v, path in bases.items() if v >= version for part in self._base(v, path).parts]
         for path in self._complete_paths("base"):
             if int(path.rsplit("v=", 1)[1].split("-")[0]) < version:

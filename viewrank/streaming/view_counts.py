@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from viewrank.operators.counting import count_by_hour
+from viewrank.operators.summaries import summarize
 from viewrank.sources.requests import check_requests, rejects, valid_views
 from viewrank.sources.store import TierStore
 
@@ -23,20 +24,22 @@ def start_view_counts(
     store: TierStore,
     trigger: dict | None = None,
     on_flush: OnFlush | None = None,
+    tracked: int | None = None,
 ) -> StreamingQuery:
     """Count a stream of views into `store`.
 
     No state store: the running totals are the base and the deltas, so late views count in every
     tier however old they are. A failed delta write fails the query, and the restart from the
     checkpoint runs that batch again. `on_flush(store, batch_id)` runs after a batch that counted
-    something; if it fails, the error is logged and counting goes on.
+    something; if it fails, the error is logged and counting goes on. With `tracked`, each delta gets a
+    summary of that many ids: answers then need not add up all pending rows.
     """
 
     first = store.first_batch()
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         batch_id += first
-        store.write_delta(batch_id, count_by_hour(batch))
+        _write_counted(store, batch_id, batch, tracked)
         _after_flush(store, batch_id, on_flush)
 
     return _start(views, store, trigger, flush)
@@ -47,6 +50,7 @@ def start_request_counts(
     store: TierStore,
     trigger: dict | None = None,
     on_flush: OnFlush | None = None,
+    tracked: int | None = None,
 ) -> StreamingQuery:
     """Count a stream of request bodies (column `body`); refused ones are kept with their reason."""
 
@@ -57,7 +61,7 @@ def start_request_counts(
         checked = check_requests(batch).persist()  # one micro-batch, parsed once for both writes
         try:
             store.write_rejects(batch_id, rejects(checked))
-            store.write_delta(batch_id, count_by_hour(valid_views(checked)))
+            _write_counted(store, batch_id, valid_views(checked), tracked)
         finally:
             checked.unpersist()
         _after_flush(store, batch_id, on_flush)
@@ -65,6 +69,10 @@ def start_request_counts(
     return _start(requests, store, trigger, flush)
 
 
+def _write_counted(store: TierStore, batch_id: int, views: DataFrame, tracked: int | None) -> None:
+    store.write_delta(batch_id, count_by_hour(views), None if tracked is None else summarize(views, tracked))
+
+
 def _start(stream: DataFrame, store: TierStore, trigger: dict | None, flush) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(flush)
