@@ -339,6 +339,27 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _stream_dated_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused requests after they were merged into folders per day and their batches deleted."""
+    store = _request_store(spark, sf_dir, "stream-dated-rejects")
+    store.merge_rejects()
+    store.merge_rejects()
+    store.clean_up()
+    merged = store.dated_rejects().filter(F.col("day").isNotNull())
+    return merged.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _stream_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the write path observed in flight, before and after everything was folded."""
+    store = _request_store(spark, sf_dir, "stream-observed")
+    before = store.observed()
+    store.compact(NOW)
+    store.merge_rejects()
+    store.clean_up()
+    told = [{"stage": "batches", **before}, {"stage": "folded", **store.observed()}]
+    return spark.createDataFrame(told, "stage STRING, received LONG, valid LONG, refused LONG")
+
+
 def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three arrivals, each counted before the next: the views before the late day, those after it, and
     the late day itself, whose hours are closed by then, so that its views are dropped."""
@@ -437,6 +458,8 @@ def library_queries() -> dict[str, Query]:
         "stream_closed_hours": _stream_closed,
         "stream_request_counts": _stream_request_counts,
         "stream_rejects": _stream_rejects,
+        "stream_dated_rejects": _stream_dated_rejects,
+        "stream_observed_totals": _stream_observed,
     }
 
 
@@ -622,6 +645,11 @@ def library_sql() -> dict[str, str]:
             FROM checked WHERE reason IS NULL GROUP BY ALL""",
         "stream_rejects": f"""{_SQL_REQUESTS} SELECT reason, count(*)::BIGINT AS row_count
             FROM checked WHERE reason IS NOT NULL GROUP BY reason""",
+        "stream_dated_rejects": f"""{_SQL_REQUESTS} SELECT reason, count(*)::BIGINT AS row_count
+            FROM checked WHERE reason IS NOT NULL GROUP BY reason""",
+        "stream_observed_totals": f"""{_SQL_REQUESTS} SELECT stage, count(*)::BIGINT AS received,
+            count(*) FILTER (reason IS NULL)::BIGINT AS valid, count(*) FILTER (reason IS NOT NULL)::BIGINT AS refused
+            FROM checked, (VALUES ('batches'), ('folded')) stages(stage) GROUP BY stage""",
         "stream_compacted_tiers": _sql_tiers(
             None, f"{_HOUR} >= '{NOW.keep_hours_from}'", f"{_DAY} >= '{NOW.keep_days_from}'"
         ),

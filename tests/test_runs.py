@@ -67,7 +67,7 @@ def test_spans_of_one_run_are_taken_over():
     stay, rewrite, covered = split_for_merge(parts, 1)
     assert covered == (0, 2) and rewrite == [parts[1], parts[2]]
     assert stay == [parts[3], part(2, 0, 2, "day", "2024-01-28", "1-a")]
-    assert from_text(as_text(parts, NOW))[0] == sorted(parts)
+    assert from_text(as_text(parts, {"views": 3}, {"day": "x"})) == (sorted(parts), {"views": 3}, {"day": "x"})
 
 
 def test_folders_outside_of_what_is_asked_are_left_out():

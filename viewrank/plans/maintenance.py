@@ -17,5 +17,6 @@ def maintain(store: TierStore, clock: Clock, grace: timedelta = timedelta(hours=
     """
     store.clean_up(grace=grace)
     version = store.compact(clock)
+    store.merge_rejects()
     refresh_snapshot(store, clock)
     return version

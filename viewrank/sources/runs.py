@@ -103,11 +103,11 @@ def split_for_merge(parts: Iterable[Part], top: int) -> tuple[list[Part], list[P
     return [p for p in parts if p.level > top] + alone, rewrite, (first, last)
 
 
-def as_text(parts: Iterable[Part], clock: Clock) -> str:
-    return json.dumps({"keeps_from": keeps_from(clock), "parts": [asdict(p) for p in sorted(parts)]})
+def as_text(parts: Iterable[Part], told: dict, keeps_from: dict[str, str]) -> str:
+    """A list of parts, with what was counted while they were written and the first buckets that retention kept."""
+    return json.dumps({"parts": [asdict(p) for p in sorted(parts)], "told": told, "keeps_from": keeps_from})
 
 
-def from_text(text: str) -> tuple[list[Part], dict[str, str]]:
-    """Parts, and the first buckets that retention kept when they were listed."""
+def from_text(text: str) -> tuple[list[Part], dict, dict[str, str]]:
     listed = json.loads(text)
-    return [Part(**fields) for fields in listed["parts"]], listed["keeps_from"]
+    return [Part(**fields) for fields in listed["parts"]], listed["told"], listed["keeps_from"]

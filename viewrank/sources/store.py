@@ -6,6 +6,8 @@ Layout under one root, which must be a folder every executor reaches:
     deltas/batch_id=N/          what micro-batch N counted: video_id, hour_bucket, count
     summaries/batch_id=N/       its most viewed ids, as a state that merges: state, views
     rejects/batch_id=N/         requests that micro-batch N refused: reason, body
+    refused/v=N-<id>/parts.json the folders that hold what batches up to N refused, a folder per run and day:
+    refused_runs/run=N-<id>/tier=refused/span=D/
     runs/run=N-<id>/tier=T/span=S/   folded rows of some batches, sorted by bucket and id (see `runs`)
     tops/run=N-<id>/            the first rows of that run's all-time counts
     base/v=N-<id>/parts.json    the folders that together hold all batches up to N
@@ -21,13 +23,15 @@ different directories, each complete in itself, and readers take one of them.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -55,6 +59,9 @@ _TEXT_COLUMNS = ("bucket", "video_id", "run", "tier", "span")
 _RUN_SCHEMA = StructType(
     [*(StructField(name, StringType()) for name in _TEXT_COLUMNS), StructField("count", LongType())]
 )
+_REFUSED_SCHEMA = StructType(
+    [*_REJECT_SCHEMA, StructField("batch_id", LongType()), StructField("span", StringType())]
+)
 # Rows of a run's list of the most viewed; MAX_K at least, more make its bound sharper.
 TOP_ROWS = 1000
 
@@ -86,10 +93,11 @@ def _tier_form(base: DataFrame, tier: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Base:
-    """The folders of a base version, and what retention kept when they were listed."""
+    """The folders of a version, what was counted while they were written, and what retention kept."""
 
     version: int
     parts: list[Part]
+    told: dict
     keeps_from: dict[str, str]
 
 
@@ -150,25 +158,111 @@ class TierStore:
             path = f"{self.root}/summaries/batch_id={batch_id}"
             summary.write.mode("overwrite").parquet(path)
             self._complete("summaries", path)
-        path = self._delta(batch_id)
-        delta.select(*TIER_SCHEMA["hour"].names).write.mode("overwrite").parquet(path)
-        self._complete("deltas", path)
+        path, seen = self._delta(batch_id), Observation()
+        rows = delta.select(*TIER_SCHEMA["hour"].names)
+        rows.observe(seen, F.sum("count").alias("views")).write.mode("overwrite").parquet(path)
+        self._complete("deltas", path, {"views": seen.get["views"] or 0})
 
     def delta_is_empty(self, batch_id: int) -> bool:
-        return self.spark.read.schema(TIER_SCHEMA["hour"]).parquet(self._delta(batch_id)).isEmpty()
+        """As observed when it was written: no second read."""
+        return not self._told(self._delta(batch_id))["views"]
+
+    def write_rejects(
+        self, batch_id: int, rejects: DataFrame, received: Callable[[], int] | None = None, day: str | None = None
+    ) -> None:
+        """Refused requests of a micro-batch, the number of all it `received`, and the day of its arrival.
 
-    def write_rejects(self, batch_id: int, rejects: DataFrame) -> None:
-        """An empty batch leaves one small file, so that a replay replaces what it wrote before."""
-        path = f"{self.root}/rejects/batch_id={batch_id}"
-        rejects.write.mode("overwrite").parquet(path)
-        self._complete("rejects", path)
+        An empty batch leaves one small file, so that a replay replaces what it wrote before.
+        """
+        path, seen = f"{self.root}/rejects/batch_id={batch_id}", Observation()
+        rejects.observe(seen, F.count(F.lit(1)).alias("refused")).write.mode("overwrite").parquet(path)
+        told = {"refused": seen.get["refused"], "day": day or day_text(Clock.now().as_of)}
+        self._complete("rejects", path, {**told, "received": received() if received else None})
 
     def rejects(self) -> DataFrame:
         """All refused requests: `reason, body`."""
-        paths = self._finished("rejects").values()
-        if not paths:
-            return _empty(self.spark, _REJECT_SCHEMA)
-        return self.spark.read.schema(_REJECT_SCHEMA).parquet(*paths)
+        return self.dated_rejects().select("reason", "body")
+
+    def dated_rejects(self) -> DataFrame:
+        """`day, batch_id, reason, body`: the merged ones, of which a filter on the day reads its folders only,
+        and those of batches since."""
+        base, pending = self._refused()
+        merged = self._refused_rows(base.parts).withColumnRenamed("span", "day")
+        recent = self._pending_rejects(pending).withColumnRenamed("span", "day")
+        return merged.unionByName(recent).select("day", "batch_id", "reason", "body")
+
+    def merge_rejects(self, fan_out: int = FAN_OUT, keep_from: str | None = None) -> int:
+        """Fold the folders of finished batches into folders per day, level by level; the last batch they hold.
+
+        Rows keep the number of their batch, and batches up to the last one are no longer read, so a
+        replayed batch counts once. Days before `keep_from` are left out, if it is given.
+        """
+        base, pending = self._refused()
+        if not pending:
+            return base.version
+        first, last = min(pending), max(pending)
+        parts = [p for p in base.parts if keep_from is None or p.span >= keep_from]
+        parts += self._write_refused(self._pending_rejects(pending), 1, first, last, last)
+        top = full_levels(parts, fan_out)
+        if top:
+            parts, rewrite, covered = split_for_merge(parts, top)
+            if rewrite:
+                parts += self._write_refused(self._refused_rows(rewrite), top + 1, *covered, last)
+        told = self._sum_told([base.told, *map(self._told, pending.values())], "refused", "received")
+        self._write_version("refused", last, as_text(parts, told, {}))
+        return last
+
+    def _refused(self) -> tuple[Base, dict[int, str]]:
+        """The newest version of merged rejects, and the folders of the batches behind it."""
+        batches, versions = self._finished("rejects"), self._finished("refused")
+        version = max(versions, default=-1)
+        return self._base(version, versions.get(version)), {b: path for b, path in batches.items() if b > version}
+
+    def _pending_rejects(self, pending: dict[int, str]) -> DataFrame:
+        if not pending:
+            return _empty(self.spark, _REFUSED_SCHEMA)
+        days = F.create_map(*[F.lit(x) for b, path in pending.items() for x in (b, self._told(path).get("day", ""))])
+        schema = StructType([*_REJECT_SCHEMA, StructField("batch_id", LongType())])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/rejects")
+        return reader.parquet(*pending.values()).withColumn("span", days[F.col("batch_id").cast("int")])
+
+    def _refused_rows(self, parts: list[Part]) -> DataFrame:
+        if not parts:
+            return _empty(self.spark, _REFUSED_SCHEMA)
+        folders = [f"{self.root}/refused_runs/{part.folder}" for part in parts]
+        reader = self.spark.read.schema(_REFUSED_SCHEMA).option("basePath", f"{self.root}/refused_runs")
+        return reader.parquet(*folders).select(*_REFUSED_SCHEMA.names)
+
+    def _write_refused(self, rows: DataFrame, level: int, first: int, last: int, number: int) -> list[Part]:
+        run = f"{number}-{uuid.uuid4().hex}"
+        folder = f"{self.root}/refused_runs/run={run}"
+        dated = rows.select("reason", "body", "batch_id", F.lit("refused").alias("tier"), "span")
+        # Small days become one file, a day of many refused requests several.
+        dated.hint("rebalance", "span").write.partitionBy("tier", "span").parquet(folder)
+        return self._parts_in(folder, level, first, last, run)
+
+    # What was observed in flight
+
+    def observed(self) -> dict[str, int | None]:
+        """`received`, `valid` and `refused` requests, from what batches observed when they were written.
+
+        Reads no row: numbers lie beside deltas and rejects and are summed up when those are folded. `received` is
+        null where a batch came as views, which nothing refuses.
+        """
+        base, batches = self._listing()
+        refused, pending = self._refused()
+        valid = self._sum_told([base.told, *(self._told(self._delta(b)) for b in batches)], "views")
+        asked = self._sum_told([refused.told, *map(self._told, pending.values())], "refused", "received")
+        return {"received": asked["received"], "valid": valid["views"], "refused": asked["refused"]}
+
+    @staticmethod
+    def _sum_told(told: list[dict], *names: str) -> dict:
+        """Sums of what was told; null where any of the told numbers is."""
+        out = {}
+        for name in names:
+            values = [one[name] for one in told if name in one]
+            out[name] = None if None in values else sum(values)
+        return out
 
     def batches(self) -> list[int]:
         """Finished micro-batches, ascending."""
@@ -195,7 +289,7 @@ class TierStore:
 
     def _base(self, version: int, path: str | None) -> Base:
         if path is None:
-            return Base(version, [], {})
+            return Base(version, [], {}, {})
         return Base(version, *from_text(self._read_text(f"{path}/{_PARTS}")))
 
     def _part_rows(self, parts: list[Part]) -> DataFrame:
@@ -288,11 +382,19 @@ class TierStore:
             if rewrite:
                 rows = self._part_rows(rewrite).filter(~_too_old(clock))
                 parts += self._write_run(rows, top + 1, *covered, last)
-        path = self._new_version("base", str(last))
-        self._write_text(f"{path}/{_PARTS}", as_text(parts, clock))
-        self._complete("base", path)
+        told = self._sum_told([base.told, *(self._told(self._delta(b)) for b in batches)], "views")
+        self._write_version("base", last, as_text(parts, told, keeps_from(clock)))
         return last
 
+    def _write_version(self, folder: str, last: int, text: str) -> None:
+        path = self._new_version(folder, str(last))
+        self._write_text(f"{path}/{_PARTS}", text)
+        self._complete(folder, path)
+
+    def _parts_in(self, folder: str, level: int, first: int, last: int, run: str) -> list[Part]:
+        found = [path.rsplit("/", 2)[1:] for path in self._folders(f"{folder}/tier=*/span=*")]
+        return [Part(level, first, last, tier[len("tier=") :], span[len("span=") :], run) for tier, span in found]
+
     def _write_run(self, rows: DataFrame, level: int, first: int, last: int, number: int) -> list[Part]:
         """Fold rows (`tier, span, bucket, video_id, count`) into a run of its own; its parts."""
         run = f"{number}-{uuid.uuid4().hex}"
@@ -301,8 +403,7 @@ class TierStore:
         folded = rows.groupBy(*keys).agg(F.sum("count").alias("count"))
         # Sorted files let Parquet skip to a bucket, and within the all-time counts to an id.
         folded.sortWithinPartitions(*keys).write.partitionBy("tier", "span").parquet(folder)
-        found = [path.rsplit("/", 2)[1:] for path in self._folders(f"{folder}/tier=*/span=*")]
-        parts = [Part(level, first, last, tier[len("tier=") :], span[len("span=") :], run) for tier, span in found]
+        parts = self._parts_in(folder, level, first, last, run)
         totals = within(parts, "all_time")
         if totals:
             best = _tier_form(self._part_rows(totals), "all_time").orderBy(*best_first()).limit(TOP_ROWS)
@@ -314,35 +415,39 @@ class TierStore:
 
         A reader that started before then must have ended.
         """
-        bases = self._finished("base")
-        settled = [v for v, path in bases.items() if self._age(path) >= grace.total_seconds()]
-        version = max(settled, default=-1)
-        for folder in ("deltas", "summaries"):
-            for batch_id, path in self._finished(folder).items():
-                if batch_id <= version:
-                    self._delete(path)
-        kept = [part for v, path in bases.items() if v >= version for part in self._base(v, path).parts]
-        for path in self._complete_paths("base"):
-            if int(path.rsplit("v=", 1)[1].split("-")[0]) < version:
-                self._delete(path)
-        self._drop_runs({part.folder for part in kept}, version)
+        self._drop_replaced("base", ("deltas", "summaries"), "runs", grace)
+        self._drop_replaced("refused", ("rejects",), "refused_runs", grace)
         for path in self._answers()[:-keep_snapshots]:
             self._delete(path)
 
-    def _drop_runs(self, used: set[str], version: int) -> None:
-        """Delete folders that no kept version names. A run numbered `version` or above may be in the making."""
+    def _drop_replaced(self, versions: str, batches: tuple[str, ...], runs: str, grace: timedelta) -> None:
+        """Delete what the newest version that is at least `grace` old has replaced.
 
-        def replaced(path: str) -> bool:
-            return int(path.rsplit("run=", 1)[1].split("-")[0]) < version
+        A run numbered as that version or above may be in the making, so it stays.
+        """
+        found = self._finished(versions)
+        settled = [v for v, path in found.items() if self._age(path) >= grace.total_seconds()]
+        version = max(settled, default=-1)
+        kept = {part for v, path in found.items() if v >= version for part in self._base(v, path).parts}
+        used = {part.folder for part in kept}
+        still = {runs: {part.run for part in kept}, "tops": {part.run for part in kept if part.tier == "all_time"}}
 
-        runs = {folder.split("/")[0] for folder in used}
-        tops = {folder.split("/")[0] for folder in used if "/tier=all_time/" in folder}
-        for path in self._folders(f"{self.root}/runs/run=*/tier=*/span=*"):
-            if replaced(path) and path.split("/runs/")[-1] not in used:
+        def number(path: str, key: str) -> int:
+            return int(path.rsplit(f"{key}=", 1)[1].split("-")[0])
+
+        for folder in batches:
+            for batch_id, path in self._finished(folder).items():
+                if batch_id <= version:
+                    self._delete(path)
+        for path in self._complete_paths(versions):
+            if number(path, "v") < version:
+                self._delete(path)
+        for path in self._folders(f"{self.root}/{runs}/run=*/tier=*/span=*"):
+            if number(path, "run") < version and path.split(f"/{runs}/")[-1] not in used:
                 self._delete(path)
-        for folder, still in (("runs", runs), ("tops", tops)):
+        for folder in (runs, "tops") if runs == "runs" else (runs,):
             for path in self._folders(f"{self.root}/{folder}/run=*"):
-                if replaced(path) and path.rsplit("/", 1)[1] not in still:
+                if number(path, "run") < version and path.rsplit("run=", 1)[1] not in still[folder]:
                     self._delete(path)
 
     # Published answers
@@ -396,14 +501,19 @@ class TierStore:
         path, fs = self._path(path)
         fs.delete(path, True)
 
-    def _complete(self, folder: str, path: str) -> None:
-        """Make a written directory visible, and make sure that it is."""
+    def _complete(self, folder: str, path: str, told: dict | None = None) -> None:
+        """Make a written directory visible, and make sure that it is. The marker holds what was observed."""
         marker, fs = self._path(f"{path}/{_COMPLETE}")
-        fs.create(marker, True).close()
+        stream = fs.create(marker, True)
+        stream.write(bytearray(json.dumps(told or {}).encode()))
+        stream.close()
         listed = {p.rsplit("/", 1)[1] for p in self._complete_paths(folder)}
         if path.rsplit("/", 1)[1] not in listed:
             raise RuntimeError(f"{path} was written but cannot be listed")
 
+    def _told(self, path: str) -> dict:
+        return json.loads(self._read_text(f"{path}/{_COMPLETE}"))
+
     def _folders(self, pattern: str) -> list[str]:
         path, fs = self._path(pattern)
         return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])

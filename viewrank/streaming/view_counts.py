@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from viewrank.operators.counting import count_by_hour
@@ -58,9 +59,11 @@ def start_request_counts(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         batch_id += first
-        checked = check_requests(batch).persist()  # one micro-batch, parsed once for both writes
+        seen = Observation()
+        observed = check_requests(batch).observe(seen, F.count(F.lit(1)).alias("received"))
+        checked = observed.persist()  # one micro-batch, parsed once for both writes
         try:
-            store.write_rejects(batch_id, rejects(checked))
+            store.write_rejects(batch_id, rejects(checked), lambda: seen.get["received"])
             _write_counted(store, batch_id, valid_views(checked), tracked)
         finally:
             checked.unpersist()
