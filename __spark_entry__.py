@@ -24,7 +24,7 @@ from viewrank.session import new_work_folder
 from viewrank.sources import requests
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests, stream_table, views_between, views_from
-from viewrank.streaming.closed_hours import start_closed_hours
+from viewrank.streaming.closed_hours import open_hours, start_closed_hours
 from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 NOW = Clock(datetime(2024, 1, 30, 12, 45))
@@ -360,10 +360,10 @@ def _stream_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(told, "stage STRING, received LONG, valid LONG, refused LONG")
 
 
-def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _closed_store(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Three arrivals, each counted before the next: the views before the late day, those after it, and
     the late day itself, whose hours are closed by then, so that its views are dropped."""
-    root = new_work_folder(spark, "stream-closed")
+    root = new_work_folder(spark, name)
     views = event_views(spark, sf_dir)
     ts, (start, until) = F.col("ts"), (wall_clock(LATE_FROM), wall_clock(LATE_UNTIL))
     for arrival in (ts < start, ts >= until, (ts >= start) & (ts < until)):
@@ -372,7 +372,15 @@ def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_closed_hours(
             arrived, f"{root}/hours", f"{root}/checkpoint", {"availableNow": True}
         ).awaitTermination()
-    return spark.read.parquet(f"{root}/hours")
+    return root
+
+
+def _stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_closed_store(spark, sf_dir, 'stream-closed')}/hours")
+
+
+def _stream_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return open_hours(spark, f"{_closed_store(spark, sf_dir, 'stream-open')}/checkpoint")
 
 
 # The operators of training-data pipelines; the library works without them.
@@ -456,6 +464,7 @@ def library_queries() -> dict[str, Query]:
         "stream_late_views": _stream_late,
         "stream_compacted_tiers": _stream_compacted,
         "stream_closed_hours": _stream_closed,
+        "stream_open_hours": _stream_open,
         "stream_request_counts": _stream_request_counts,
         "stream_rejects": _stream_rejects,
         "stream_dated_rejects": _stream_dated_rejects,
@@ -478,6 +487,9 @@ _N = 'count(*)::BIGINT AS "count"'
 _BEST = '"count" DESC, video_id'
 _RANK = f"row_number() OVER (ORDER BY {_BEST})::INTEGER AS rank"
 
+_CLOSED = "(date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE)"
+_LATE = f"(ts >= TIMESTAMP '{LATE_FROM}' AND ts < TIMESTAMP '{LATE_UNTIL}')"
+
 
 def _sql_views(clock: Clock | None = NOW) -> str:
     where = f" WHERE ts <= TIMESTAMP '{clock.as_of}'" if clock else ""
@@ -653,14 +665,8 @@ def library_sql() -> dict[str, str]:
         "stream_compacted_tiers": _sql_tiers(
             None, f"{_HOUR} >= '{NOW.keep_hours_from}'", f"{_DAY} >= '{NOW.keep_days_from}'"
         ),
-        "stream_closed_hours": _sql_tier(
-            _HOUR,
-            "hour_bucket",
-            None,
-            f"""date_trunc('hour', ts) + INTERVAL 1 HOUR
-                <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
-                AND NOT (ts >= TIMESTAMP '{LATE_FROM}' AND ts < TIMESTAMP '{LATE_UNTIL}')""",
-        ),
+        "stream_closed_hours": _sql_tier(_HOUR, "hour_bucket", None, f"{_CLOSED} AND NOT {_LATE}"),
+        "stream_open_hours": _sql_tier(_HOUR, "hour_bucket", None, f"NOT {_CLOSED} AND NOT {_LATE}"),
     }
 
 

@@ -15,7 +15,7 @@ from viewrank.session import new_work_folder
 from viewrank.sources.requests import parse_requests
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests, stream_table
-from viewrank.streaming.closed_hours import start_closed_hours
+from viewrank.streaming.closed_hours import open_hours, start_closed_hours
 from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 ONCE = {"availableNow": True}
@@ -257,3 +257,19 @@ def test_closed_hours_are_final(spark, folder, views_of, zone):
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_closed_and_open_hours_hold_every_view_on_time(spark, folder, views_of):
+    on_time = []
+    for arrival, late in (
+        ([("vid_1", "2024-01-30 10:05", 2), ("vid_1", "2024-01-30 12:00:30")], []),
+        ([("vid_2", "2024-01-30 11:30", 4), ("vid_1", "2024-01-30 12:10")], [("vid_2", "2024-01-30 10:59")]),
+        ([("vid_3", "2024-01-30 13:20"), ("vid_2", "2024-01-30 12:59", 3)], [("vid_9", "2023-01-30 13:20")]),
+    ):
+        arrive(views_of(arrival + late), folder)
+        on_time += arrival
+        stream = stream_table(spark, f"{folder}/in", views_of([]).schema)
+        start_closed_hours(stream, f"{folder}/out", f"{folder}/cp", ONCE).awaitTermination()
+        both = spark.read.parquet(f"{folder}/out").unionByName(open_hours(spark, f"{folder}/cp"))
+        assert rows(both) == rows(count_by_hour(views_of(on_time)))
+    assert {row.hour_bucket for row in open_hours(spark, f"{folder}/cp").collect()} == {"2024-01-30-13"}

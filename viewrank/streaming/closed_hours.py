@@ -1,4 +1,7 @@
-"""Hours that are final: emitted once, one minute after they end; later views are dropped."""
+"""Hours that are final: emitted once, one minute after they end; later views are dropped.
+
+Hours that are still open are counted in the state of the stream and can be read from its checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -75,3 +78,14 @@ def start_closed_hours(
             .trigger(**trigger)
             .start()
         )
+
+
+def open_hours(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """`video_id, hour_bucket, count` of the hours that `start_closed_hours` has not closed yet.
+
+    Reads the state of the last finished micro-batch: with the closed hours, every view that was on time is in
+    exactly one of the two. No rows before a micro-batch has finished.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    hour = _to_wall_clock(F.col("key.window.start"))
+    return state.select(F.col("key.video_id").alias("video_id"), hour_text_of(hour).alias("hour_bucket"), "value.count")
