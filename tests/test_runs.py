@@ -148,6 +148,18 @@ def test_buckets_that_no_delta_names_keep_their_files(store, views_of):
     assert all(row.day_bucket >= later.keep_days_from for row in store.tier("day").collect())
 
 
+def test_a_folder_holds_few_files_whatever_the_number_of_tasks(spark, store, views_of):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        many = [(f"vid_{i}", f"2024-01-{29 + i % 2} {i % 12:02d}:00") for i in range(400)]
+        compacted(store, views_of, [many])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(parts_of(store)) == 10
+    assert all(len(data_files(store, f"runs/{part.folder}/*")) == 1 for part in parts_of(store))
+
+
 def test_odd_dates_share_a_folder(store, views_of):
     compacted(store, views_of, ARRIVALS[:2])
     spans = {(p.tier, p.span) for p in parts_of(store)}

@@ -401,8 +401,11 @@ class TierStore:
         folder = f"{self.root}/runs/run={run}"
         keys = ["tier", "span", "bucket", "video_id"]
         folded = rows.groupBy(*keys).agg(F.sum("count").alias("count"))
+        # Without dealing by folder, every task would leave a file in every folder. Adaptive execution merges small
+        # folders into a task and gives a large one several.
+        dealt = folded.hint("rebalance", "tier", "span")
         # Sorted files let Parquet skip to a bucket, and within the all-time counts to an id.
-        folded.sortWithinPartitions(*keys).write.partitionBy("tier", "span").parquet(folder)
+        dealt.sortWithinPartitions(*keys).write.partitionBy("tier", "span").parquet(folder)
         parts = self._parts_in(folder, level, first, last, run)
         totals = within(parts, "all_time")
         if totals:
