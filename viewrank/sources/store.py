@@ -152,12 +152,13 @@ class TierStore:
         stream.close()
         return first
 
-    def write_delta(self, batch_id: int, delta: DataFrame, summary: DataFrame | None = None) -> None:
-        """Counts of a micro-batch, and the summary of its views if there is one (see `summaries`)."""
-        if summary is not None:
-            path = f"{self.root}/summaries/batch_id={batch_id}"
-            summary.write.mode("overwrite").parquet(path)
-            self._complete("summaries", path)
+    def write_summary(self, batch_id: int, summary: DataFrame) -> None:
+        """The summary of a micro-batch's views (see `summaries`); to be written before its delta."""
+        path = f"{self.root}/summaries/batch_id={batch_id}"
+        summary.write.mode("overwrite").parquet(path)
+        self._complete("summaries", path)
+
+    def write_delta(self, batch_id: int, delta: DataFrame) -> None:
         path, seen = self._delta(batch_id), Observation()
         rows = delta.select(*TIER_SCHEMA["hour"].names)
         rows.observe(seen, F.sum("count").alias("views")).write.mode("overwrite").parquet(path)

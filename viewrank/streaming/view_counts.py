@@ -73,7 +73,9 @@ def start_request_counts(
 
 
 def _write_counted(store: TierStore, batch_id: int, views: DataFrame, tracked: int | None) -> None:
-    store.write_delta(batch_id, count_by_hour(views), None if tracked is None else summarize(views, tracked))
+    if tracked is not None:
+        store.write_summary(batch_id, summarize(views, tracked))
+    store.write_delta(batch_id, count_by_hour(views))
 
 
 def _start(stream: DataFrame, store: TierStore, trigger: dict | None, flush) -> StreamingQuery:
