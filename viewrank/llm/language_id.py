@@ -245,7 +245,8 @@ def _expect(langs: list[str], shared):
     schema = pa.schema([("piece", pa.int32()), ("counts", pa.list_(pa.float64()))])
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        trie, lengths, probability = shared.value
+        arrays, lengths, probability = shared.value
+        trie = Trie(*arrays)
         longest = int(lengths.max())
         weight = _scaled(probability, lengths)
         if (weight == weight[:, :1]).all():  # before anything is learned, one column stands for all languages
@@ -282,7 +283,7 @@ def learn(
     each = [F.sum(F.when(F.col("lang") == lang, F.col("times")).otherwise(0)) for lang in langs]
     words = kept_table(counted.groupBy("word").agg(F.array(*each).alias("counts")), "language-words")
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((trie, lengths, probability))
+        shared = spark.sparkContext.broadcast((tuple(trie), lengths, probability))
         expected = in_batches(words, _expect(langs, shared), "piece int, counts array<double>")
         sums = [F.sum(F.get("counts", F.lit(i))).alias(f"c{i}") for i in range(len(langs))]
         table = expected.groupBy("piece").agg(*sums).toArrow()  # a row per piece of the vocabulary at most
@@ -302,7 +303,8 @@ def _predict(langs: list[str], shared):
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        trie, lengths, probability = shared.value
+        arrays, lengths, probability = shared.value
+        trie = Trie(*arrays)
         longest = int(lengths.max())
         weight = _scaled(probability, lengths)
         known: dict[bytes, int] = {}
@@ -375,6 +377,6 @@ def predict_languages(docs: DataFrame, model: bytes, held_out: Column, rounds: i
         return texts.select(
             "doc_id", "text_hash", "held_out", F.lit(UNKNOWN_LANGUAGE).alias("lang_pred"), F.lit(0.0).alias("score")
         )
-    shared = docs.sparkSession.sparkContext.broadcast((*vocabulary, probability))
+    shared = docs.sparkSession.sparkContext.broadcast((tuple(vocabulary[0]), vocabulary[1], probability))
     schema = "doc_id long, text_hash long, held_out boolean, lang_pred string, score double"
     return in_batches(texts, _predict(langs, shared), schema)

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -291,12 +290,6 @@ def _all_within(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return unset[1:] == unset[:-1]
 
 
-@lru_cache(maxsize=1)
-def _codec(data: bytes, verify: bool) -> Codec:
-    """One for all tasks that a worker runs one after the other."""
-    return Codec(data, verify)
-
-
 def _some_at_once(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """A batch in slices of bounded length (a longer text comes alone), and their texts."""
     texts = part.column("text").cast(pa.string())
@@ -316,7 +309,7 @@ def encode(docs: DataFrame, model: bytes, verify: bool = True) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        codec = _codec(model, verify)
+        codec = Codec(model, verify)
         for part in batches:
             for some, texts in _some_at_once(part):
                 found = codec.look_up(texts)
@@ -366,7 +359,7 @@ def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         import xxhash
 
-        codec = _codec(model, True)
+        codec = Codec(model, True)
         for part in batches:
             for some, texts in _some_at_once(part):
                 found = codec.look_up(texts)
