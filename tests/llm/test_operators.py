@@ -162,10 +162,35 @@ def test_links_over_planted_chains_equal_brute_force(spark, shard_limit):
     assert {p: roots.get(p, p) for p in prints} == {p: groups[t] for p, t in zip(prints, tops, strict=True)}
 
 
-def test_one_document_of_each_group_stays(odd):
+def test_one_document_of_each_group_stays(spark, odd):
     kept = collected(simhash_dedup.first_of_each_group(odd), "doc_id")
     ids = [i for (i,) in kept]
-    assert ids.count(1) == 1 and 6 not in ids and ids.count(3) == 1 and 4 not in ids and ids.count(None) == 2
+    # Rows without an id are in groups of documents that have one.
+    assert ids.count(1) == 1 and 6 not in ids and ids.count(3) == 1 and 4 not in ids and ids.count(None) == 0
+    other = " ".join(f"v{i}" for i in range(80))
+    docs = table(spark, [(None, other), (None, other), (None, other), (None, PROSE), (5, PROSE)])
+    assert collected(simhash_dedup.first_of_each_group(docs), "doc_id", "text") == sorted([(5, PROSE), (None, other)], key=repr)
+
+
+def test_columns_of_any_name_travel_along(spark):
+    lines = "\n".join(BLOCK)
+    texts = [(1, f"start {PROSE} end"), (2, f"other {PROSE} tail"), (3, lines), (4, f"own line\n{lines}"), (5, "a b"), (6, "a b")]
+    docs = table(spark, texts)
+    names = ["__hash", "__id", "__text", "__cut", "__kept", "row", "kept", "cut", "text_hash", "found_id", "kept_id",
+             "first_id", "repeated", "a.b", "ro`w"]
+    odd_names = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names))
+    labels = spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT")
+    for stage in (
+        lambda d: quality_rules.keep_good(d, labels),
+        line_dedup.remove_lines,
+        simhash_dedup.first_of_each_group,
+        substring_dedup.remove_repeats,
+    ):
+        plain, got = stage(docs).select("doc_id", "text").collect(), stage(odd_names)
+        assert got.columns == odd_names.columns
+        found = got.collect()
+        assert sorted((r.doc_id, r.text) for r in plain) == sorted((r.doc_id, r.text) for r in found)
+        assert all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)
 
 
 def test_each_group_keeps_a_document_where_ids_repeat(spark, odd):

@@ -2,7 +2,8 @@
 
 A document is identified by `doc_id` and the hash of its text, so rows with a null or a repeated
 id keep apart; identical repeated rows are one identity and get the same result. Only the columns
-an operator needs are selected first, so further columns of any name cannot clash.
+an operator needs are selected first; where all columns are kept, they travel as one struct (`packed`),
+so further columns of any name cannot clash.
 """
 
 from __future__ import annotations
@@ -57,6 +58,12 @@ def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
     return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """`doc_id, text_hash, row`: documents with all their columns in one, whatever these are called."""
+    every = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), every.alias("row"))
+
+
 def batch(schema: str | pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch from arrays or lists."""
     return pa.RecordBatch.from_pydict(columns, schema=schema)
@@ -69,11 +76,11 @@ def replaced_text(
 
     `n_chars` follows where there is such a column. Rows that `found` does not name stay as they are.
     """
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
+    marked = packed(docs)
     named = found.select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), F.col(column).alias("__cut")
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), F.col(column).alias("cut")
     )
-    own = marked["doc_id"].eqNullSafe(named["__id"]) & (marked["__hash"] == named["__text"])
+    own = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
 
     @F.arrow_udf("string")
     def cut_text(texts: pa.Array, cuts: pa.Array) -> pa.Array:
@@ -84,15 +91,13 @@ def replaced_text(
         return pa.array(out, pa.string())
 
     _bound_batches(docs)
-    joined = marked.join(named, own, "left").withColumn(
-        "__kept", cut_text(F.col("text").cast("binary"), F.col("__cut"))
-    )
-    changed = {"text": F.col("__kept")}
+    text = F.col("row").getField("text").cast("binary")
+    joined = marked.join(named, own, "left").withColumn("kept", cut_text(text, F.col("cut")))
+    changed = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.length("__kept").cast(kind)
-        changed["n_chars"] = F.when(F.col("__cut").isNull(), F.col("n_chars")).otherwise(length)
-    return joined.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+        length = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("cut").isNull(), F.col("row").getField("n_chars")).otherwise(length)
+    return joined.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def sorted_groups(

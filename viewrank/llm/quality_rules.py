@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewrank.llm.common import kept_table
+from viewrank.llm.common import kept_table, packed
 
 MIN_WORDS = 20  # fixed value
 MAX_REPEAT_PERCENT = 30  # fixed value
@@ -240,11 +240,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, columns unchanged."""
-    kept = judge(docs, labels).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
+    kept = judge(docs, labels).filter("kept").select(
+        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")
+    )
     kept = kept.distinct()  # repeated rows of one document
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
-    return marked.join(
-        kept,
-        marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__hash"] == kept["__text"]),
-        "left_semi",
-    ).drop("__hash")
+    own = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    return packed(docs).join(kept, own, "left_semi").select("row.*")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewrank.llm.common import as_bytes, group_starts, in_batches, kept_table, same, sorted_groups
+from viewrank.llm.common import as_bytes, group_starts, in_batches, kept_table, packed, same, sorted_groups
 from viewrank.llm.components import components
 
 SHINGLE = 3
@@ -211,23 +211,22 @@ def near_duplicates(
 
 
 def first_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents without the near-duplicates of a document with a smaller id.
+    """One document of each group of near-duplicates: that with the smallest id, ids that are null last.
 
-    Of rows of a group that share its smallest id one stays. Groups are told apart by their fingerprints, so
-    each keeps its own where an id repeats with other texts. Documents without an id are kept, since no
-    other document can be told to stand for them.
+    Of several texts with that id the one with the smallest hash stays, of repeated rows any one. Groups are
+    told apart by their fingerprints, so each keeps its own where an id repeats with other texts.
     """
-    found = _grouped(docs, shingle, radius, SHARD_LIMIT).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), "component_id", "root"
+    found = _grouped(docs, shingle, radius, SHARD_LIMIT)
+    counted = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "rows")).alias("best")
+    firsts = counted.groupBy("root").agg(best).select(
+        F.col("best.doc_id").alias("first_id"),
+        F.col("best.text_hash").alias("first_hash"),
+        (F.col("best.rows") > 1).alias("repeated"),
     )
-    firsts = found.filter("__id = component_id").groupBy("root", "__id").agg(
-        F.min("__text").alias("__text"), F.count(F.lit(1)).alias("__rows")
-    ).drop("root")
     firsts = kept_table(firsts, "first-documents")
-    numbered = docs.withColumn("__hash", F.xxhash64("text"))
-    kept = numbered.join(
-        firsts, (numbered["doc_id"] == firsts["__id"]) & (numbered["__hash"] == firsts["__text"])
-    ).select(*[numbered[c] for c in docs.columns], "__hash")
-    if not firsts.filter("__rows > 1").isEmpty():  # repeated rows: texts move once more
-        kept = kept.dropDuplicates(["doc_id", "__hash"])
-    return kept.drop("__hash").unionByName(docs.filter("doc_id is null"))
+    own = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    kept = packed(docs).join(firsts, own)
+    if not firsts.filter("repeated").isEmpty():  # texts move once more
+        kept = kept.dropDuplicates(["doc_id", "text_hash"])
+    return kept.select("row.*")
