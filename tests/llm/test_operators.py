@@ -317,6 +317,67 @@ def test_base_scores_equal_their_formula(odd):
     assert all(math.isfinite(r.score) and r.score < 0 for r in scored)
 
 
+def test_scores_equal_a_plain_mean_over_kinds_and_any_partitioning(spark):
+    """Twenty kinds; the bits of single words come from the operator, what is made of them is done here again."""
+    rng = np.random.default_rng(8)
+    texts, langs = [], {}
+    for i in range(200):
+        texts.append((i, " ".join(f"w{k}" for k in rng.zipf(1.6, size=rng.integers(0, 30)) % 300) + f" l{i % 20}"))
+        langs[i] = f"kind{i % 20}" if i % 9 else None
+    docs, held = table(spark, texts, langs), F.col("doc_id") % 7 == 2
+
+    def run(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        try:
+            found = context_mixing.score_texts(docs.repartition(partitions), held, F.col("lang")).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        return {r.doc_id: r.score for r in found}
+
+    few, many = run(2), run(9)
+    assert few.keys() == many.keys() and np.allclose([few[i] for i in few], [many[i] for i in few], rtol=1e-9)
+
+    tokens = {i: [*words_of(t.lower()), b""] for i, t in texts}
+    learned = [i for i, _ in texts if i % 7 != 2]
+    every = Counter(t for i in learned for t in tokens[i])
+    own = {k: Counter(t for i in learned if langs[i] == k for t in tokens[i]) for k in set(langs.values()) - {None}}
+    seen = spark.createDataFrame([(w, n) for w, n in every.items()], "word BINARY, learned LONG")
+    tables = spark.sparkContext.broadcast(context_mixing._tables(seen))
+    state = spark.sparkContext.broadcast(context_mixing._mixer(seen, len(every), tables).state())
+    words = pa.RecordBatch.from_pydict({"word": pa.array(sorted({t for o in tokens.values() for t in o}), pa.binary())})
+    bits = {}
+    for part in context_mixing._score_words(tables, state)(iter([words])):
+        bits.update(zip(part.column("word").to_pylist(), part.column("bits_score").to_pylist(), strict=True))
+
+    def shared(counts, word, rest):
+        total = sum(counts.values())
+        return max(counts[word] - 0.75, 0) / total + 0.75 * len(counts) / total * rest
+
+    of_all = sum(sum(c.values()) for c in own.values())
+    for i, text in tokens.items():
+        overall = [shared(every, w, 10 ** bits[w]) for w in text]
+        sums = []
+        for counts in own.values():
+            logs = sum(math.log10(shared(counts, w, p)) for w, p in zip(text, overall, strict=True))
+            sums.append(logs + math.log10(sum(counts.values()) / of_all))
+        sums.append(sum(map(math.log10, overall)) + math.log10(1 / of_all))
+        best = max(sums)
+        assert math.isclose(few[i], best + math.log10(sum(10 ** (x - best) for x in sums)), rel_tol=1e-9)
+
+
+def test_parts_of_words_are_added_up_in_their_order(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "WORDS_A_PART", 7)
+    monkeypatch.setattr(context_mixing, "PARTS_AT_ONCE", 3)
+    words = {f"w{i * i}".encode(): i % 5 + 1 for i in range(120)}
+    seen = spark.createDataFrame(list(words.items()), "word BINARY, learned LONG")
+    tables = spark.sparkContext.broadcast(context_mixing._tables(seen))
+    one, other = (context_mixing._mixer(rows, len(words), tables) for rows in (seen, seen.repartition(5)))
+    assert all(np.array_equal(a, b) for a, b in zip(one.state(), other.state(), strict=True))
+    spelled = sum(8 * (len(w) + 1) * n for w, n in words.items())
+    assert math.isclose(one.map.sum(), spelled)  # every bit is in the map once
+
+
 def test_the_mixer_predicts_better_than_chance_and_sums_to_one():
     words = [b"the", b"then", b"than", b"that", b""]
     tables = np.zeros((2, context_mixing.OFFSETS[-1]), dtype=np.float32)
