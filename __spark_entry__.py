@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib.util
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import partial
 from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from viewrank.sources import requests
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests, stream_table, views_between, views_from
 from viewrank.streaming.closed_hours import open_hours, start_closed_hours
+from viewrank.streaming.settled_hours import hours_by_fate, start_settled_hours
 from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 NOW = Clock(datetime(2024, 1, 30, 12, 45))
@@ -360,18 +362,16 @@ def _stream_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(told, "stage STRING, received LONG, valid LONG, refused LONG")
 
 
-def _closed_store(spark: SparkSession, sf_dir: str, name: str) -> str:
+def _closed_store(spark: SparkSession, sf_dir: str, name: str, start_hours=start_closed_hours) -> str:
     """Three arrivals, each counted before the next: the views before the late day, those after it, and
-    the late day itself, whose hours are closed by then, so that its views are dropped."""
+    the late day itself, whose hours are closed by then, so that its views are late."""
     root = new_work_folder(spark, name)
     views = event_views(spark, sf_dir)
     ts, (start, until) = F.col("ts"), (wall_clock(LATE_FROM), wall_clock(LATE_UNTIL))
     for arrival in (ts < start, ts >= until, (ts >= start) & (ts < until)):
         views.filter(arrival).write.mode("append").parquet(f"{root}/in")
         arrived = stream_table(spark, f"{root}/in", views.schema, FILES_PER_BATCH)
-        start_closed_hours(
-            arrived, f"{root}/hours", f"{root}/checkpoint", {"availableNow": True}
-        ).awaitTermination()
+        start_hours(arrived, f"{root}/hours", f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
     return root
 
 
@@ -383,6 +383,13 @@ def _stream_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_hours(spark, f"{_closed_store(spark, sf_dir, 'stream-open')}/checkpoint")
 
 
+def _stream_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed, late and open hours, every view in one of them."""
+    # Hundreds of hours of few views each, so few slots.
+    root = _closed_store(spark, sf_dir, "stream-settled", partial(start_settled_hours, slots=2))
+    return hours_by_fate(spark, f"{root}/hours", f"{root}/checkpoint")
+
+
 # The operators of training-data pipelines; the library works without them.
 _LLM = importlib.util.find_spec("viewrank.llm") and importlib.util.find_spec("corpus_pipeline")
 if _LLM:
@@ -465,6 +472,7 @@ def library_queries() -> dict[str, Query]:
         "stream_compacted_tiers": _stream_compacted,
         "stream_closed_hours": _stream_closed,
         "stream_open_hours": _stream_open,
+        "stream_settled_hours": _stream_settled,
         "stream_request_counts": _stream_request_counts,
         "stream_rejects": _stream_rejects,
         "stream_dated_rejects": _stream_dated_rejects,
@@ -667,6 +675,8 @@ def library_sql() -> dict[str, str]:
         ),
         "stream_closed_hours": _sql_tier(_HOUR, "hour_bucket", None, f"{_CLOSED} AND NOT {_LATE}"),
         "stream_open_hours": _sql_tier(_HOUR, "hour_bucket", None, f"NOT {_CLOSED} AND NOT {_LATE}"),
+        "stream_settled_hours": f"""SELECT CASE WHEN {_LATE} THEN 'late' WHEN {_CLOSED} THEN 'closed' ELSE 'open' END
+            AS fate, video_id, {_HOUR} AS hour_bucket, {_N} FROM ({_sql_views(None)}) GROUP BY ALL""",
     }
 
 

@@ -16,6 +16,7 @@ from viewrank.sources.requests import parse_requests
 from viewrank.sources.store import TierStore
 from viewrank.sources.views import stream_requests, stream_table
 from viewrank.streaming.closed_hours import open_hours, start_closed_hours
+from viewrank.streaming.settled_hours import hours_by_fate, start_settled_hours
 from viewrank.streaming.view_counts import start_request_counts, start_view_counts
 
 ONCE = {"availableNow": True}
@@ -273,3 +274,42 @@ def test_closed_and_open_hours_hold_every_view_on_time(spark, folder, views_of):
         both = spark.read.parquet(f"{folder}/out").unionByName(open_hours(spark, f"{folder}/cp"))
         assert rows(both) == rows(count_by_hour(views_of(on_time)))
     assert {row.hour_bucket for row in open_hours(spark, f"{folder}/cp").collect()} == {"2024-01-30-13"}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_settled_hours_hold_every_view_once(spark, folder, views_of, zone):
+    """Closed, late and open hours after each arrival, with times before 1970 and to the second of a border."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    everything, late = [], []
+    try:
+        for arrival, too_late in (
+            ([("vid_1", "2024-01-30 10:05", 2), ("vid_1", "2024-01-30 12:00:30")], []),
+            ([("vid_2", "2024-01-30 11:30", 4), ("vid_1", "2024-01-30 12:10")], [("vid_2", "2024-01-30 10:59", 2)]),
+            ([("vid_3", "2024-01-30 13:01"), ("vid_2", "2024-01-30 12:59:59", 3)], [("vid_9", "1960-05-01 13:20")]),
+            ([("vid_3", "2024-01-30 13:00")], [("vid_2", "2024-01-30 10:58"), ("vid_1", "2024-01-30 12:59:59.999999")]),
+        ):
+            arrive(views_of(arrival + too_late), folder)
+            everything, late = everything + arrival + too_late, late + too_late
+            stream = stream_table(spark, f"{folder}/in", views_of([]).schema)
+            start_settled_hours(stream, f"{folder}/out", f"{folder}/cp", ONCE).awaitTermination()
+            found = hours_by_fate(spark, f"{folder}/out", f"{folder}/cp")
+            by_fate = {fate: rows(found.filter(found.fate == fate).drop("fate")) for fate in ("closed", "late", "open")}
+            assert by_fate["late"] == rows(count_by_hour(views_of(late)))
+            on_time = views_of([view for view in everything if view not in late])
+            assert sorted(by_fate["closed"] + by_fate["open"]) == rows(count_by_hour(on_time))
+        assert {row[1] for row in by_fate["open"]} == {"2024-01-30-13"}
+        assert len(by_fate["closed"]) == len(set(row[:2] for row in by_fate["closed"]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_settled_and_closed_hours_agree(spark, folder, views_of):
+    for arrival in ARRIVALS:
+        arrive(views_of(arrival), folder)
+        for name, start in (("a", start_closed_hours), ("b", start_settled_hours)):
+            stream = stream_table(spark, f"{folder}/in", views_of([]).schema)
+            start(stream, f"{folder}/{name}", f"{folder}/cp-{name}", ONCE).awaitTermination()
+    closed = spark.read.parquet(f"{folder}/b").filter("fate = 'closed'").drop("fate")
+    assert rows(closed) == rows(spark.read.parquet(f"{folder}/a"))
+    held = hours_by_fate(spark, f"{folder}/b", f"{folder}/cp-b").filter("fate = 'open'").drop("fate")
+    assert rows(held) == rows(open_hours(spark, f"{folder}/cp-a"))

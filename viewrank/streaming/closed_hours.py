@@ -25,12 +25,12 @@ def _epochs() -> tuple[Column, Column]:
     return F.timestamp_seconds(F.lit(0)), wall_clock(datetime(1970, 1, 1))
 
 
-def _to_instant(wall_clock: Column) -> Column:
+def to_instant(wall_clock: Column) -> Column:
     instant_epoch, wall_epoch = _epochs()
     return instant_epoch + (wall_clock - wall_epoch)
 
 
-def _to_wall_clock(instant: Column) -> Column:
+def to_wall_clock(instant: Column) -> Column:
     instant_epoch, wall_epoch = _epochs()
     return wall_epoch + (instant - instant_epoch)
 
@@ -38,20 +38,20 @@ def _to_wall_clock(instant: Column) -> Column:
 def closed_hours(views: DataFrame, delay: str = "1 minute") -> DataFrame:
     """`video_id, hour_bucket, count` of a stream in append mode."""
     return (
-        views.select("video_id", _to_instant(F.col("ts")).alias("instant"))
+        views.select("video_id", to_instant(F.col("ts")).alias("instant"))
         .withWatermark("instant", delay)
         .groupBy(F.window("instant", "1 hour").alias("hour"), "video_id")
         .agg(F.count(F.lit(1)).alias("count"))
         .select(
             "video_id",
-            hour_text_of(_to_wall_clock(F.col("hour.start"))).alias("hour_bucket"),
+            hour_text_of(to_wall_clock(F.col("hour.start"))).alias("hour_bucket"),
             "count",
         )
     )
 
 
 @contextmanager
-def _state_on_disk(spark: SparkSession):
+def state_on_disk(spark: SparkSession):
     """Open hours live in RocksDB, not on the heap; a query takes the setting when it starts."""
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKSDB)
@@ -68,7 +68,7 @@ def start_closed_hours(
 
     The first start fixes the number of state partitions to spark.sql.shuffle.partitions.
     """
-    with _state_on_disk(views.sparkSession):
+    with state_on_disk(views.sparkSession):
         return (
             closed_hours(views, delay)
             .writeStream.format("parquet")
@@ -87,5 +87,5 @@ def open_hours(spark: SparkSession, checkpoint: str) -> DataFrame:
     exactly one of the two. No rows before a micro-batch has finished.
     """
     state = spark.read.format("statestore").load(checkpoint)
-    hour = _to_wall_clock(F.col("key.window.start"))
+    hour = to_wall_clock(F.col("key.window.start"))
     return state.select(F.col("key.video_id").alias("video_id"), hour_text_of(hour).alias("hour_bucket"), "value.count")
