@@ -389,6 +389,65 @@ def test_the_mixer_predicts_better_than_chance_and_sums_to_one():
         assert ((one > 0) & (one < 1)).all()
 
 
+def test_contexts_reach_over_the_border_of_words(spark):
+    """Each byte behind the five before it and the word so far, spelled out here for whole texts."""
+    rng = np.random.default_rng(5)
+    vocabulary = [b"a", b"of", b"the", b"word", b"words", b"wording", b"\xc3\xa9t\xc3\xa9", b"x" * 30, *(b"w%d" % i for i in range(40))]
+    texts = [(i, " ".join(vocabulary[k].decode() for k in rng.integers(0, 48, size=i % 30))) for i in range(80)]
+    texts += [(100, "Words of the\nword"), (101, "the word of words"), (102, None), (103, "never seen here"), (103, "never seen here")]
+    docs, held = table(spark, texts), F.col("doc_id") % 7 == 2
+
+    def run(partitions):
+        found = context_mixing.score_texts(docs.repartition(partitions), held, borders=True).collect()
+        return sorted((r.doc_id, r.score) for r in found)
+
+    few, many = run(1), run(7)
+    assert [i for i, _ in few] == [i for i, _ in many] and np.allclose([x for _, x in few], [x for _, x in many], rtol=1e-9)
+    scores = dict(few)
+    assert abs(scores[100] - scores[101]) > 1e-3  # the same words in another order
+
+    def behind(text):
+        """Every word with its closing blank behind the five bytes before it."""
+        before = b" " * 5
+        for word in [*words_of((text or "").lower()), b""]:
+            spelled = word + b" " if word else b"\n"
+            yield word, before + spelled
+            before = (before + spelled)[-5:]
+
+    learned = [t for i, t in texts if i % 7 != 2]
+    words, pieces = Counter(), Counter()
+    for text in learned:
+        for word, spelled in behind(text):
+            words[word] += 1
+            pieces.update(spelled[i : i + 6] for i in range(min(4, len(spelled) - 5)))
+            if len(word) >= 4:
+                pieces[b" " + word + b" "] += 1
+    seen = spark.createDataFrame(list(pieces.items()), "word BINARY, learned LONG")
+    tables = context_mixing._tables(seen, 5)
+    bytes_learned = sum(len(s) - 5 for t in learned for _, s in behind(t))
+    assert tables.sum() == bytes_learned * 8 * len(context_mixing.CONTEXTS)  # every bit is in each table once
+    shared = spark.sparkContext.broadcast(tables)
+    mixer, odds = context_mixing._mixer(seen, len(pieces), shared, 5), context_mixing._Odds(tables)
+    total = sum(words.values())
+    for i, text in dict(texts).items():
+        spelled = context_mixing._Bytes([s for _, s in behind(text)], 5)
+        bits = context_mixing._logs(spelled, odds, mixer, len(list(behind(text))))
+        expected = sum(
+            math.log10((max(words[word] - 0.75, 0) + 0.75 * len(words) * 10**x) / total)
+            for (word, _), x in zip(behind(text), bits, strict=True)
+        )
+        assert math.isclose(scores[i], expected, rel_tol=1e-9)
+
+
+def test_bits_looked_up_equal_those_of_the_counts():
+    tables = np.random.default_rng(3).integers(0, 9, (2, context_mixing.OFFSETS[-1])).astype(np.float64)
+    mixer, seen = context_mixing.Mixer(), context_mixing._Odds(tables)
+    for k, before, _, places in context_mixing._Bytes([b"some", b"words", b""]).bits():
+        odds, gate = mixer.inputs(tables, k, before, places)
+        looked_up, own_gate = mixer.looked_up(seen, k, places)
+        assert np.array_equal(odds, looked_up) and np.array_equal(gate, own_gate)
+
+
 # SentencePiece
 
 

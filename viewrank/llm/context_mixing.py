@@ -1,27 +1,34 @@
 """Language-model scores by logistic context mixing over the bytes of words.
 
 A text is its words in order, each with a closing blank, and one end mark. The bits of every byte are
-predicted, highest first, by several predictors. Each looks at another context inside the word (the
-last byte, the last two, three, five, all so far), hashed into a table of zeros and ones seen there.
+predicted, highest first, by several predictors. Each looks at another context (the last byte, the last
+two, three, five, all of the word so far), hashed into a table of zeros and ones seen there. With
+`borders`, the last bytes are those of the text, over blanks into the words before; the text begins after
+blanks. Without, contexts end at the start of the word and a text is scored as a bag of words.
 A mixer adds their log odds with weights that are chosen by two gates: how often the longer contexts
 were seen, and the bits of this byte so far. A last map refines the mixed probability from what
-followed such probabilities before. Bits add up to the text's log10 probability.
+followed such probabilities before. Bits add up to the log10 probability of a word where it stands.
 
 Words that were seen are also predicted as wholes: from the words of one kind of document (by default
 one language; kind 0 is all documents), with what a discount takes from their counts left to all
 documents, and then to the bits. A text's probability is the mean over kinds, weighted by how many
 learning words each has; its own kind is no input.
 
-Since contexts stay inside a word, everything is learned and computed once per different word:
+A byte's contexts are the five bytes before it and the word so far. So a byte with a blank among the four before it
+depends on those five bytes only (a border: the six bytes are a gram), and all further bytes of a word on the word
+only (its body: a blank, the word and the closing blank, of which the first five are given):
 
-1. Words of all documents are counted, those of learning documents apart. This also gives the base.
-2. Each partition of the words adds up its tables; sums over partitions are the tables of the corpus.
-3. Words are dealt by their hash into parts of about `WORDS_A_PART`. Each part goes through its words once in
+1. Words of all documents are counted, those of learning documents apart, and the grams of learning documents with
+   them. This also gives the base.
+2. Each partition of grams and bodies (of words without `borders`) adds up its tables; sums over partitions are the
+   tables of the corpus.
+3. Grams and bodies are dealt by their hash into parts of about `WORDS_A_PART`. Each part goes through them once in
    their order, online: predict, compare, correct weights and map. An occurrence is predicted from the others,
    its own count left out. The weights of all parts are averaged by the bits they saw, the counts of the map
    are added, in the order of parts: neither depends on how Spark partitions the work.
-4. Every word is scored once. Frequent words are broadcast to the texts; the rest of each text joins the scored
-   words by a shuffle. Texts of frequent words only pass it under keys of their own.
+4. Every body is scored once. Borders are scored where the texts are, each different gram once as long as a task
+   remembers it. Frequent words are broadcast to the texts; the others join the scored words by a shuffle, each
+   occurrence with the score of its border. Sums of frequent words pass it under keys of their own.
 
 What is broadcast is bounded: tables of `2**SIZES[k]` entries, and frequent words of `FREQUENT_BYTES` at most
 with `FREQUENT_NUMBERS` numbers in all. Every kind has its own counts; the names of the kinds and two totals of
@@ -35,6 +42,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -60,48 +68,154 @@ WORDS_A_PART = 50_000
 PARTS_AT_ONCE = 64  # states of parts that one task adds up
 FREQUENT_NUMBERS, FREQUENT_BYTES = 1_400_000, 64
 END = b""  # the end mark as a word; no word is empty
+GIVEN = max(CONTEXTS)  # bytes before a predicted one that its contexts reach
+BLANK, NEWLINE = 32, 10
+GRAMS_HELD = 2_000_000
+GRAM_SLOTS = 21  # grams that a task remembers at most, as a power of two
+TEXT_BYTES_AT_ONCE = 1_000_000
+LOWEST = -280.0  # beneath this power of ten, probabilities are left to the bits alone
 
 DISCOUNT = 0.75
 
 
-def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """Words of the texts with their numbers, by kind of learning document (-1: not learned from)."""
-    schema = pa.schema([("word", pa.binary()), ("kind", pa.int32()), ("times", pa.int64())])
-    counts: dict[int, Counter] = defaultdict(Counter)
+def _tokens(text: bytes | None) -> list[bytes]:
+    return [*(text or b"").lower().split(), END]
+
+
+def _some_texts(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """A batch in slices of bounded length (a longer text comes alone), and the words of their texts."""
+    sizes = [len(text.as_py() or b"") for text in part.column("text")]
+    for low, high in _cuts(sizes, TEXT_BYTES_AT_ONCE):
+        some = part.slice(low, high - low)
+        yield some, [_tokens(text) for text in some.column("text").to_pylist()]
+
+
+def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Neighbours that have `most` together, or one that has more."""
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(sizes):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield low, high
+        low = high
+
+
+def _grams(tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte at a border behind the five before it, as one number; and where those of each word begin."""
+    start = b" " * GIVEN
+    stream = b"".join(start + b" ".join(words[:-1] + [b"\n"]) for words in tokens)
+    spelled = np.frombuffer(stream, dtype=np.uint8)
+    blank = spelled == BLANK
+
+    def back(k: int) -> np.ndarray:
+        return blank[GIVEN - k : len(blank) - k]
+
+    here = back(0)
+    between = here & (back(1) | (spelled[GIVEN - 1 : -1] == NEWLINE))  # blanks before a text
+    near = back(1)
+    for k in range(2, GIVEN):
+        near = near | back(k)
+    places = np.flatnonzero(near & ~between)
+    grams = np.zeros(len(places), dtype=np.uint64)
+    for k in range(GIVEN + 1):
+        grams = (grams << np.uint64(8)) | spelled[places + k]
+    return grams, np.flatnonzero((back(1) & ~here)[places])
+
+
+def _gram_bytes(grams: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(grams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 7 - GIVEN :]).reshape(-1)
+
+
+def _sum_words(borders: bool):
+    def sum_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """Words of the texts with their numbers, by kind of learning document (-1: not learned from).
+
+        With `borders` also the grams of learning documents, which unlike words hold a blank.
+        """
+        schema = pa.schema([("word", pa.binary()), ("kind", pa.int32()), ("times", pa.int64())])
+        counts: dict[int, Counter] = defaultdict(Counter)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            for kind, own in counts.items():
+                words = list(own)
+                for at in range(0, len(words), 50_000):
+                    some = words[at : at + 50_000]
+                    columns = [some, [kind] * len(some), [own[w] for w in some]]
+                    yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
+            counts.clear()
+
+        def merge():
+            grams, inverse = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+            times = np.bincount(inverse, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+            held[:] = [(grams, times)]
+
+        def flush_grams():
+            merge()
+            grams, times = held.pop()
+            for at in range(0, len(grams), 50_000):
+                some = grams[at : at + 50_000]
+                ends = np.arange(len(some) + 1, dtype=np.int32) * (GIVEN + 1)
+                buffers = [None, pa.py_buffer(ends), pa.py_buffer(_gram_bytes(some))]
+                spelled = pa.Array.from_buffers(pa.binary(), len(some), buffers)
+                columns = [spelled, pa.array(np.zeros(len(some), np.int32)), pa.array(times[at : at + 50_000])]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    def flush():
-        for kind, own in counts.items():
-            words = list(own)
-            for at in range(0, len(words), 50_000):
-                some = words[at : at + 50_000]
-                columns = [some, [kind] * len(some), [own[w] for w in some]]
-                yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
-        counts.clear()
-
-    for part in batches:
-        for text, kind in zip(part.column("text").to_pylist(), part.column("kind").to_pylist(), strict=True):
-            words = (text or b"").lower().split()
-            words.append(END)
-            counts[kind].update(words)
-            if sum(map(len, counts.values())) > WORDS_HELD:
-                yield from flush()
-    yield from flush()
+        for part in batches:
+            for some, tokens in _some_texts(part):
+                kinds = some.column("kind").to_pylist()
+                for words, kind in zip(tokens, kinds, strict=True):
+                    counts[kind].update(words)
+                    if sum(map(len, counts.values())) > WORDS_HELD:
+                        yield from flush()
+                learned = [words for words, kind in zip(tokens, kinds, strict=True) if kind >= 0]
+                if borders and learned:
+                    held.append(np.unique(_grams(learned)[0], return_counts=True))
+                    if sum(len(grams) for grams, _ in held) > GRAMS_HELD:
+                        merge()
+                        if len(held[0][0]) > GRAMS_HELD // 2:
+                            yield from flush_grams()
+        yield from flush()
+        if held:
+            yield from flush_grams()
+
+    return sum_words
 
 
 class _Bytes:
-    """The bytes of some words, one array entry each, with the hashes of their contexts."""
-
-    def __init__(self, words: list[bytes]):
-        spelled = [w + b" " if w else b"\n" for w in words]
-        lengths = np.array([len(s) for s in spelled])
-        self.byte = np.frombuffer(b"".join(spelled), dtype=np.uint8)
-        self.word = np.repeat(np.arange(len(words)), lengths)
-        starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        places = np.arange(len(self.byte))
-        ranges = RangeHashes(mixed(self.byte.astype(np.uint64) + np.uint64(1)))
+    """The bytes of some words, one array entry each, with the hashes of their contexts.
+
+    `given`: how many bytes come before the first that is predicted. Words are then spelled out already,
+    and the word so far begins after the last blank among the given bytes.
+    """
+
+    def __init__(self, words: list[bytes], given: int = 0):
+        spelled = words if given else [w + b" " if w else b"\n" for w in words]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self._lay_out(np.frombuffer(b"".join(spelled), dtype=np.uint8), lengths, given)
+
+    @classmethod
+    def of_grams(cls, grams: np.ndarray) -> _Bytes:
+        spelled = cls.__new__(cls)
+        spelled._lay_out(_gram_bytes(grams), np.full(len(grams), GIVEN + 1), GIVEN)
+        return spelled
+
+    def _lay_out(self, spelled: np.ndarray, lengths: np.ndarray, given: int) -> None:
+        first = np.cumsum(lengths) - lengths
+        predicted = lengths - given
+        self.word = np.repeat(np.arange(len(lengths)), predicted)
+        places = np.arange(len(self.word)) + (self.word + 1) * given
+        self.byte = spelled[places]
+        of_word = first
+        if given:
+            blanks = spelled[first[:, None] + np.arange(given - 1, -1, -1)] == BLANK
+            of_word = first + given - np.argmax(blanks, axis=1)
+        starts, of_word = first[self.word], of_word[self.word]
+        ranges = RangeHashes(mixed(spelled.astype(np.uint64) + np.uint64(1)))
         self.contexts = []
         for k, back in enumerate(CONTEXTS):
-            low = starts if back == 0 else np.maximum(starts, places - back)
+            low = of_word if back == 0 else np.maximum(starts, places - back)
             reach = (places - low).astype(np.uint64)
             self.contexts.append(mixed(ranges.of(low, places) + reach * np.uint64(0x9E3779B1) + np.uint64(k)))
 
@@ -139,21 +253,24 @@ def _pieces(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[
         yield held, numbers
 
 
-def _add_tables(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """This partition's tables, in blocks that hold anything."""
-    tables = np.zeros((2, OFFSETS[-1]))
-    for words, (learned,) in _pieces(batches, "learned"):
-        spelled = _Bytes(words)
-        times = learned[spelled.word].astype(np.float64)
-        for _, _, bit, places in spelled.bits():
-            side = bit.astype(np.int64) * OFFSETS[-1]
-            for place in places:
-                np.add.at(tables.reshape(-1), place + side, times)
-    schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
-    for block in range(OFFSETS[-1] // BLOCK):
-        own = tables[:, block * BLOCK : (block + 1) * BLOCK]
-        if own.any():
-            yield pa.RecordBatch.from_pydict({"block": [block], "counts": [own.tobytes()]}, schema=schema)
+def _add_tables(given: int):
+    def add_tables(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """This partition's tables, in blocks that hold anything."""
+        tables = np.zeros((2, OFFSETS[-1]))
+        for words, (learned,) in _pieces(batches, "learned"):
+            spelled = _Bytes(words, given)
+            times = learned[spelled.word].astype(np.float64)
+            for _, _, bit, places in spelled.bits():
+                side = bit.astype(np.int64) * OFFSETS[-1]
+                for place in places:
+                    np.add.at(tables.reshape(-1), place + side, times)
+        schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+        for block in range(OFFSETS[-1] // BLOCK):
+            own = tables[:, block * BLOCK : (block + 1) * BLOCK]
+            if own.any():
+                yield pa.RecordBatch.from_pydict({"block": [block], "counts": [own.tobytes()]}, schema=schema)
+
+    return add_tables
 
 
 def _add_blocks(rows: pd.DataFrame) -> pd.DataFrame:
@@ -161,9 +278,9 @@ def _add_blocks(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": rows["block"].iloc[:1], "counts": [total.tobytes()]})
 
 
-def _tables(words: DataFrame) -> np.ndarray:
+def _tables(words: DataFrame, given: int = 0) -> np.ndarray:
     """Zeros and ones seen per context, over all partitions: a fixed number of entries."""
-    parts = in_batches(words, _add_tables, "block int, counts binary")
+    parts = in_batches(words, _add_tables(given), "block int, counts binary")
     summed = parts.groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").toArrow()
     out = np.zeros((2, OFFSETS[-1]))
     for block, counts in zip(summed.column("block").to_pylist(), summed.column("counts").to_pylist(), strict=True):
@@ -171,6 +288,16 @@ def _tables(words: DataFrame) -> np.ndarray:
     return out
 
 
+class _Odds:
+    """Log odds of all entries of the tables, and how often those of the two longest contexts were seen."""
+
+    def __init__(self, tables: np.ndarray):
+        zeros, ones = tables.astype(np.float32)
+        self.odds = np.log((ones + np.float32(LITTLE)) / (zeros + np.float32(LITTLE)))
+        zeros, ones = zeros[OFFSETS[-3] :], ones[OFFSETS[-3] :]
+        self.levels = np.minimum(np.log2(zeros + ones + 1).astype(np.uint8), 5)
+
+
 class Mixer:
     """Weights by gate, and the map that refines what they give."""
 
@@ -210,6 +337,15 @@ class Mixer:
         odds[-1] = 0.3
         return odds, (levels[1] * 5 + levels[0]) * 8 + bit_number
 
+    def looked_up(self, seen: _Odds, bit_number, places):
+        """The same for unknown bits, from logarithms taken before."""
+        odds = np.empty((len(CONTEXTS) + 1, len(places[0])), dtype=np.float64)
+        for j, place in enumerate(places):
+            odds[j] = seen.odds[place]
+        odds[-1] = 0.3
+        shorter, longer = (seen.levels[place - OFFSETS[-3]].astype(np.int64) for place in places[-2:])
+        return odds, (longer * 5 + np.minimum(shorter, 4)) * 8 + bit_number
+
     def mix(self, odds, gate, before):
         return np.einsum("ij,ji->j", odds, self.first[gate] + self.second[before])
 
@@ -243,11 +379,11 @@ class Mixer:
         self.bits += float(times.sum())
 
 
-def _train(tables):
+def _train(tables, given: int):
     def train(words: pa.Table) -> pa.Table:
         mixer = Mixer()
         for some, (learned,) in _pieces(words.sort_by("word").to_batches(), "learned"):
-            spelled = _Bytes(some)
+            spelled = _Bytes(some, given)
             times = learned[spelled.word].astype(np.float64)
             for k, before, bit, places in spelled.bits():
                 odds, gate = mixer.inputs(tables.value, k, before, places, bit)
@@ -268,11 +404,11 @@ def _add_states(rows: pa.Table) -> pa.Table:
 _STATE = pa.schema([("part", pa.int64()), ("state", pa.binary())])
 
 
-def _mixer(words: DataFrame, different: int, tables) -> Mixer:
+def _mixer(words: DataFrame, different: int, tables, given: int = 0) -> Mixer:
     """Weights averaged over parts of the words; some 150 KB each, added in a tree of tasks."""
     parts = max(1, -(-different // WORDS_A_PART))
     dealt = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
-    states = dealt.groupBy("part").applyInArrow(_train(tables), "part long, state binary")
+    states = dealt.groupBy("part").applyInArrow(_train(tables, given), "part long, state binary")
     while parts > 1:
         above = states.withColumn("above", F.expr(f"part div {PARTS_AT_ONCE}"))
         states = above.groupBy("above").applyInArrow(_add_states, "part long, state binary")
@@ -287,31 +423,79 @@ def _mixer(words: DataFrame, different: int, tables) -> Mixer:
     return mixer
 
 
-def _score_words(tables, state):
-    schema = pa.schema([("word", pa.binary()), ("bits_score", pa.float64())])
+def _logs(spelled: _Bytes, seen: _Odds, mixer: Mixer, words: int) -> np.ndarray:
+    """Log10 probability of the predicted bytes of each word."""
+    logs = np.zeros(len(spelled.byte))
+    for k, before, bit, places in spelled.bits():
+        odds, gate = mixer.looked_up(seen, k, places)
+        one = mixer.refine(mixer.mix(odds, gate, before), before)
+        logs += np.log10(np.where(bit == 1, one, 1 - one))
+    return np.bincount(spelled.word, weights=logs, minlength=words)
+
+
+def _body(word: bytes) -> bytes:
+    return b" " + word + b" "
+
+
+def _score_words(tables, state, given: int = 0):
+    """The batches with a column more, of words or of their bodies; a word that is all border has none."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        mixer = Mixer.of(state.value)
-        for words, _ in _pieces(batches):
-            spelled = _Bytes(words)
-            logs = np.zeros(len(spelled.byte))
-            for k, before, bit, places in spelled.bits():
-                odds, gate = mixer.inputs(tables.value, k, before, places)
-                one = mixer.refine(mixer.mix(odds, gate, before), before)
-                logs += np.log10(np.where(bit == 1, one, 1 - one))
-            scores = np.bincount(spelled.word, weights=logs, minlength=len(words))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(scores)], schema=schema)
+        mixer, seen = Mixer.of(state.value), _Odds(tables.value)
+        for part in batches:
+            words = part.column("word").to_pylist()
+            scores = np.zeros(len(words))
+            own = np.arange(len(words))
+            if given:
+                own = np.array([i for i, word in enumerate(words) if len(word) + 1 >= given], dtype=np.int64)
+                words = [_body(words[i]) for i in own]
+            for low, high in _cuts([len(w) + 1 for w in words], BYTES_AT_ONCE):
+                scores[own[low:high]] = _logs(_Bytes(words[low:high], given), seen, mixer, high - low)
+            names = [*part.schema.names, "bits_score"]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=names)
 
     return score
 
 
+class _Borders:
+    """Log10 probabilities of grams, remembered in a table of bounded size where a later gram may replace another."""
+
+    def __init__(self, tables, state):
+        self.mixer, self.seen = Mixer.of(state.value), _Odds(tables.value)
+        self.grams = np.zeros(2**GRAM_SLOTS, dtype=np.uint64)  # none is zero: each holds a blank
+        self.logs = np.zeros(2**GRAM_SLOTS)
+
+    def _slots(self, grams: np.ndarray) -> np.ndarray:
+        return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - GRAM_SLOTS)).astype(np.int64)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        slots = self._slots(grams)
+        out = self.logs[slots]
+        new = np.flatnonzero(self.grams[slots] != grams)
+        if len(new):
+            own, inverse = np.unique(grams[new], return_inverse=True)
+            logs = np.empty(len(own))
+            for at in range(0, len(own), BYTES_AT_ONCE):
+                some = own[at : at + BYTES_AT_ONCE]
+                logs[at : at + len(some)] = _logs(_Bytes.of_grams(some), self.seen, self.mixer, len(some))
+            out[new] = logs[inverse]
+            slots = self._slots(own)
+            self.grams[slots], self.logs[slots] = own, logs
+        return out
+
+    def of_words(self, tokens: list[list[bytes]]) -> np.ndarray:
+        """The sum over the border of each word."""
+        grams, starts = _grams(tokens)
+        return np.add.reduceat(self.of(grams), starts)
+
+
 _PARTS = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("text_hash", pa.int64()),
         ("held_out", pa.bool_()),
         ("word", pa.binary()),
-        ("times", pa.int64()),
+        ("border", pa.float64()),
         ("rows", pa.int64()),
         ("n_tokens", pa.int64()),
         ("n_bytes", pa.int64()),
@@ -319,53 +503,62 @@ _PARTS = pa.schema(
     ]
 )
 _PARTS_SCHEMA = (
-    "doc_id long, text_hash long, held_out boolean, word binary, times long, rows long, n_tokens long, "
+    "doc_id long, text_hash long, held_out boolean, word binary, border double, rows long, n_tokens long, "
     "n_bytes long, sums array<double>"
 )
 
 
-def _split_texts(frequent):
-    """A row for each of a text's words that are not frequent; the first carries the sums over those that are."""
+def _split_texts(frequent, left: list[float], tables=None, state=None):
+    """A row for each occurrence of a word that is not frequent, and one for each text with the sums over those that are.
+
+    With `tables`, words are scored behind the words before them. `left`: what each kind leaves to the bits.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         places: dict[bytes, int]
         numbers: np.ndarray
         places, numbers = frequent.value
+        borders = None if tables is None else _Borders(tables, state)
         for part in batches:
-            rows: dict[str, list] = defaultdict(list)
-            names = [part.column(c).to_pylist() for c in ("doc_id", "text_hash", "held_out", "text")]
-            for doc_id, text_hash, held_out, text in zip(*names, strict=True):
-                words = (text or b"").lower().split()
-                size = sum(map(len, words)) + len(words) + 1
-                words.append(END)
-                at, often, rest, rest_times = [], [], [], []
-                for word, times in Counter(words).items():
-                    if (place := places.get(word)) is not None:
-                        at.append(place), often.append(times)
-                    else:
-                        rest.append(word), rest_times.append(times)
-                if not rest:  # a key that no word has, since it begins with a blank
-                    rest, rest_times = [b" %d %d" % (doc_id or 0, text_hash)], [0]
-                more = len(rest) - 1
-                rows["doc_id"] += [doc_id] * len(rest)
-                rows["text_hash"] += [text_hash] * len(rest)
-                rows["held_out"] += [held_out] * len(rest)
-                rows["word"] += rest
-                rows["times"] += rest_times
-                rows["rows"] += [1] + [0] * more
-                rows["n_tokens"] += [len(words)] + [0] * more
-                rows["n_bytes"] += [size] + [0] * more
-                rows["sums"] += [np.array(often, dtype=np.float64) @ numbers[at] if at else None] + [None] * more
-            yield pa.RecordBatch.from_pydict({n: rows[n] for n in _PARTS.names}, schema=_PARTS)
+            for some, tokens in _some_texts(part):
+                words = list(chain.from_iterable(tokens))
+                scores = np.zeros(len(words)) if borders is None else borders.of_words(tokens)
+                n_tokens = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                text = np.repeat(np.arange(len(tokens)), n_tokens)
+                sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+                at = np.fromiter(map(places.get, words, repeat(-1)), np.int64, len(words))
+                own = numbers[at[at >= 0]]
+                bits = own[:, 1] + scores[at >= 0]
+                whole = own[:, 2:] + np.array(left) * 10 ** np.maximum(bits, LOWEST)[:, None]
+                logs = np.where((bits < LOWEST)[:, None], bits[:, None] + math.log10(DISCOUNT), np.log10(whole))
+                columns = [own[:, 2] > 0, own[:, 0], *logs.T]
+                sums = [np.bincount(text[at >= 0], weights=x, minlength=len(tokens)) for x in columns]
+
+                rest = np.flatnonzero(at < 0)
+                named = [some.column(c) for c in ("doc_id", "text_hash", "held_out")]
+                own_text, none = pa.array(text[rest]), pa.array(np.zeros(len(rest), np.int64))
+                rows = [pa.array([words[i] for i in rest], pa.binary()), pa.array(scores[rest]), none, none, none]
+                rows.append(pa.nulls(len(rest), pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays([*(c.take(own_text) for c in named), *rows], schema=_PARTS)
+                # Keys that no word has, since they begin with a blank.
+                ids = zip(named[0].to_pylist(), named[1].to_pylist(), strict=True)
+                keys = pa.array([b" %d %d" % (doc_id or 0, text_hash) for doc_id, text_hash in ids], pa.binary())
+                one, zero = pa.array(np.ones(len(tokens), np.int64)), pa.array(np.zeros(len(tokens)))
+                n_bytes = pa.array(np.bincount(text, weights=sizes).astype(np.int64))
+                rows = [keys, zero, one, pa.array(n_tokens), n_bytes, pa.array(list(np.array(sums).T), _PARTS.field("sums").type)]
+                yield pa.RecordBatch.from_arrays([*named, *rows], schema=_PARTS)
 
     return split
 
 
-def score_texts(docs: DataFrame, held_out: Column, kind: Column | None = None) -> DataFrame:
+def score_texts(
+    docs: DataFrame, held_out: Column, kind: Column | None = None, borders: bool = False
+) -> DataFrame:
     """`doc_id, text_hash, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`, a row per document.
 
     Learns from documents where `held_out` is not true. `kind` names the kind of a learning document.
-    Scores are log10 probabilities.
+    With `borders`, contexts reach over the blank before a word, so the order of words matters. Scores are log10
+    probabilities.
     """
     spark = docs.sparkSession
     kind = F.lit(None) if kind is None else kind
@@ -381,7 +574,7 @@ def score_texts(docs: DataFrame, held_out: Column, kind: Column | None = None) -
     texts = as_bytes(docs, held_out.alias("held_out"), number.cast("int").alias("kind"))
 
     times = F.col("times")
-    counted = in_batches(texts, _sum_words, "word binary, kind int, times long").groupBy("word", "kind").agg(
+    counted = in_batches(texts, _sum_words(borders), "word binary, kind int, times long").groupBy("word", "kind").agg(
         F.sum("times").alias("times")
     )
     own_kind = F.collect_list(F.when(F.col("kind") > 0, F.struct("kind", "times")))  # one for each kind at most
@@ -390,7 +583,9 @@ def score_texts(docs: DataFrame, held_out: Column, kind: Column | None = None) -
         F.sum(F.when(F.col("kind") >= 0, times).otherwise(0)).alias("learned"),
         F.map_from_entries(own_kind).alias("by_kind"),
     )
-    words = kept_table(summed_words, "words")
+    counts = kept_table(summed_words, "words")
+    is_gram = F.contains("word", F.lit(b" "))
+    words = counts.filter(~is_gram)
     overall_totals = words.agg(
         F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"),
         F.coalesce(F.sum("learned"), F.lit(0)).alias("tokens"),
@@ -402,40 +597,43 @@ def score_texts(docs: DataFrame, held_out: Column, kind: Column | None = None) -
     for row in by_kind.agg(F.sum("times").alias("tokens"), F.count(F.lit(1)).alias("different")).collect():
         tokens[row["kind"]], different[row["kind"]] = row["tokens"], row["different"]
 
-    learned = words.filter("learned > 0").select("word", "learned")
-    tables = spark.sparkContext.broadcast(_tables(learned))
-    state = spark.sparkContext.broadcast(_mixer(learned, different[0], tables).state())
-    by_bits = in_batches(words.select("word"), _score_words(tables, state), "word binary, bits_score double")
-    scored = kept_table(words.join(by_bits, "word"), "scored-words")
+    given, learned, learned_pieces = 0, words.filter("learned > 0").select("word", "learned"), different[0]
+    if borders:
+        given = GIVEN
+        bodies = learned.filter(F.octet_length("word") + 1 >= given)
+        bodies = bodies.select(F.concat(F.lit(b" "), "word", F.lit(b" ")).alias("word"), "learned")
+        learned = bodies.union(counts.filter(is_gram).select("word", "learned"))
+        learned_pieces = learned.count()
+    tables = spark.sparkContext.broadcast(_tables(learned, given))
+    state = spark.sparkContext.broadcast(_mixer(learned, learned_pieces, tables, given).state())
+    schema = "word binary, seen long, learned long, by_kind map<int, long>, bits_score double"
+    scored = kept_table(in_batches(words, _score_words(tables, state, given), schema), "scored-words")
+
+    # A word's probability in one kind is its discounted share there and what the discount leaves for all documents; in
+    # these again its share and what is left for the bits: with the bits' probability p, `share + left * p`.
+    left = [DISCOUNT * d / t if t else 1.0 for d, t in zip(different, tokens, strict=True)]
+
+    def own_share(times: Column, tokens: Column) -> Column:
+        return F.when(tokens > 0, F.greatest(times - F.lit(DISCOUNT), F.lit(0.0)) / tokens).otherwise(0.0)
 
-    def of_kind(times: Column, tokens: Column, different: Column, rest: Column) -> Column:
-        """Probability of a word in one kind: its discounted share, and what the discount leaves for `rest`."""
-        own = F.greatest(times - F.lit(DISCOUNT), F.lit(0.0)) / tokens
-        return F.when(tokens > 0, own + F.lit(DISCOUNT) * different / tokens * rest).otherwise(rest)
-
-    def exact(p: Column) -> Column:
-        # Very long words of no count lie beneath what a double holds; the bits alone score them.
-        return F.when(F.col("bits_score") < -280, F.col("bits_score") + math.log10(DISCOUNT)).otherwise(F.log10(p))
-
-    plain = F.pow(F.lit(10.0), F.greatest("bits_score", F.lit(-280.0)))
-    totals = [F.lit(float(n)) for n in (tokens[0], different[0])]
-    scored = scored.withColumn("overall", of_kind(F.col("learned"), *totals, plain))
     numbers = [
-        (F.col("learned") > 0).cast("double"),
         F.log10((F.col("learned") + 1) / F.lit(float(tokens[0] + different[0] + 1))),
-        exact(F.col("overall")),
+        F.col("bits_score"),
+        F.col("share"),
     ]
     by_word = F.array(*numbers)
     if kinds:
-        each = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(tokens[k])).alias("t"), F.lit(float(different[k])).alias("d"))
+        each = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(tokens[k])).alias("t"), F.lit(left[k]).alias("left"))
                          for k in range(1, len(kinds) + 1)))
         in_kind = F.transform(
             each,
-            lambda x: exact(of_kind(F.coalesce(F.try_element_at("by_kind", x["k"]), F.lit(0)), x["t"], x["d"], F.col("overall"))),
+            lambda x: own_share(F.coalesce(F.try_element_at("by_kind", x["k"]), F.lit(0)), x["t"]) + x["left"] * F.col("share"),
         )
         by_word = F.concat(by_word, in_kind)
     width = len(numbers) + len(kinds)
+    scored = scored.withColumn("share", own_share(F.col("learned"), F.lit(float(tokens[0]))))
     scored = scored.select("word", "seen", by_word.alias("numbers"))
+    left = [left[0], *(x * left[0] for x in left[1:])]
 
     share = FREQUENT_NUMBERS // width  # at most this many words are seen so often
     often = scored.filter((F.col("seen") * share >= overall_totals["seen"]) & (F.octet_length("word") <= FREQUENT_BYTES))
@@ -443,21 +641,27 @@ def score_texts(docs: DataFrame, held_out: Column, kind: Column | None = None) -
     places = {word: place for place, word in enumerate(table.column("word").to_pylist())}
     matrix = np.array(table.column("numbers").to_pylist(), dtype=np.float64).reshape(len(places), width)
     frequent = spark.sparkContext.broadcast((places, matrix))
-    parts = in_batches(texts, _split_texts(frequent), _PARTS_SCHEMA)
-
-    def total(i: int) -> Column:
-        rest = F.coalesce(times * F.get("numbers", F.lit(i)), F.lit(0.0))
-        return F.sum(F.coalesce(F.get("sums", F.lit(i)), F.lit(0.0)) + rest)
+    of_borders = (tables, state) if borders else ()
+    parts = in_batches(texts, _split_texts(frequent, left, *of_borders), _PARTS_SCHEMA)
 
     # A hash table of the words of a partition: each word is there once, and the far more rows of texts need no sort.
     numbered = scored.select("word", "numbers").hint("shuffle_hash")
-    summed = (
-        parts.join(numbered, "word", "left")
-        .groupBy("doc_id", "text_hash", "held_out")
-        .agg(
-            *(F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_bytes")),
-            F.array(*(total(i) for i in range(width))).alias("sums"),
-        )
+    joined = parts.join(numbered, "word", "left").withColumn("bits", F.col("border") + F.get("numbers", F.lit(1)))
+    joined = joined.withColumn("p", F.pow(F.lit(10.0), F.greatest("bits", F.lit(LOWEST))))
+
+    def log(k: int) -> Column:
+        # Very long words of no count lie beneath what a double holds; the bits alone score them.
+        whole = F.log10(F.get("numbers", F.lit(k + 2)) + F.lit(left[k]) * F.col("p"))
+        return F.when(F.col("bits") < LOWEST, F.col("bits") + math.log10(DISCOUNT)).otherwise(whole)
+
+    def total(i: int, of_rest: Column) -> Column:
+        of_frequent = F.coalesce(F.get("sums", F.lit(i)), F.lit(0.0))
+        return F.sum(of_frequent + F.when(F.col("numbers").isNull(), 0.0).otherwise(of_rest))
+
+    rest = [(F.get("numbers", F.lit(2)) > 0).cast("double"), F.get("numbers", F.lit(0)), *map(log, range(len(left)))]
+    summed = joined.groupBy("doc_id", "text_hash", "held_out").agg(
+        *(F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_bytes")),
+        F.array(*(total(i, x) for i, x in enumerate(rest))).alias("sums"),
     )
     # Repeated rows were added up together: each gets its share.
     each = summed.select(

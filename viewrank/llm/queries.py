@@ -51,7 +51,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return context_mixing.score_texts(docs, remainder(7), F.col("lang")).drop("text_hash")
+    return context_mixing.score_texts(docs, remainder(7), F.col("lang"), borders=True).drop("text_hash")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
