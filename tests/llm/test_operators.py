@@ -485,6 +485,37 @@ def test_stretches_decode_like_whole_texts(spark, odd):
     assert encoded.filter("ids is null").count() == docs.filter("text is null").count()
 
 
+def test_stretches_in_a_row_and_forgotten_ones_keep_their_ids(monkeypatch):
+    import sentencepiece
+
+    model = vocabulary()
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 100)
+    codec, asked = sentencepiece_codec.Codec(model, True), Counter()
+    learn = codec._learn
+
+    def counted(stretches, joined):
+        asked.update(stretches)
+        learn(stretches, joined)
+
+    codec._learn = counted
+    odd = ["\u2581", "a\u2581b", "<s>", "<0x41>", "\x00", "é🎉", "\ufffd", "日本", "x" * 300, "\n", "1,000.00", "<unk>"]
+    for i in range(40):
+        own = [f"often{k}" for k in range(9)] + [f"w{i}x{k}" for k in range(25)] + odd
+        texts = [" ".join(own), " ".join(reversed(own)), f"  {own[i % 9]}  {odd[i % 12]} ", "", " "]
+        ids, agrees = codec.encode([*texts, None])
+        assert ids == [*(library.encode(t) for t in texts), None] and all(agrees)
+        assert len(codec.known) <= 100
+    assert max(asked[f"often{k}"] for k in range(9)) <= 3  # all were forgotten together before
+    column = pa.array(texts, pa.string())
+    told = codec.returned(column, *codec.look_up(column)).tolist()
+    assert told == [t == b for t, b in zip(texts, codec.decode(ids), strict=False)]
+    one = library.encode("one")
+    alike = sentencepiece_codec._alike(*sentencepiece_codec._in_a_row([[1], [2, 3], one]),
+                                       *sentencepiece_codec._in_a_row([[1], [2], one]))
+    assert alike.tolist() == [True, False, True]
+
+
 # Language identification
 
 

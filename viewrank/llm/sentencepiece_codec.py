@@ -8,9 +8,10 @@ threads.
 
 In vocabularies where no piece holds a mark after another character, segmentation never reaches over
 the start of a word, so each different word of a batch is encoded once and texts are put together from
-words; decoding goes the same way. Others are taken whole. Either way `verify` holds the tokenizer against the SentencePiece
-library, on each different stretch that is encoded; where they differ, that library's ids are taken and
-the row says so.
+words; decoding goes the same way. With BPE, words without mark or blank are encoded and decoded `JOINED`
+at a time, as the text that they make in a row. Others are taken whole. Either way `verify` holds the
+tokenizer against the SentencePiece library, on each different stretch by itself; where they differ, that
+library's ids are taken and the row says so.
 
 Null texts give null ids, empty ones no ids. The ids depend on the text only, so repeated rows agree.
 """
@@ -19,7 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,9 @@ from viewrank.llm.common import as_bytes, in_batches
 MARK = "▁"  # fixed value
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # fixed values: kinds of pieces
 UNIGRAM, BPE = 1, 2  # fixed values: kinds of models
-# Stretches, and their characters, that a task remembers; the memory is emptied when full.
+JOINED = 256
+# Stretches, and their characters, that a task remembers; when it is full, those that were looked up only once are
+# forgotten, and if that is not enough, all.
 REMEMBERED = 200_000
 REMEMBERED_CHARACTERS = 8_000_000
 BYTES_AT_ONCE = 2_000_000
@@ -192,6 +196,9 @@ class Codec:
         import sentencepiece
 
         self.tokenizer, self.alone = build(data)
+        model = read_model(data)
+        self.begins = np.array([p.text.startswith(MARK) for p in model.pieces])
+        self.joins = self.alone and model.kind == BPE
         self.check = sentencepiece.SentencePieceProcessor(model_proto=data) if verify else None
         self._forget()
 
@@ -200,37 +207,92 @@ class Codec:
         self.characters = 0
         self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.same, self.returns, self.back = np.ones(1, bool), np.ones(1, bool), [""]
+        self.used = np.zeros(1, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keeps what was looked up again, all the less often the longer ago."""
+        places = np.flatnonzero(self.used > 1)
+        places = np.concatenate([[0], places[places > 0]])
+        names = list(self.known)  # in the order of their places
+        kept = [names[p] for p in places]
+        self.flat, _ = self.ids_of(places, np.zeros(1, np.int64))
+        self.known, self.characters = dict(zip(kept, range(len(kept)), strict=True)), sum(map(len, kept))
+        self.sizes, self.same, self.returns = self.sizes[places], self.same[places], self.returns[places]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.back = [self.back[p] for p in places]
+        self.used = self.used[places] // 2
 
     def _places(self, stretches: list[str]) -> np.ndarray:
-        """The place of each stretch in the tables."""
-        new = [s for s in stretches if s not in self.known]
-        self.characters += sum(map(len, new))
-        if len(self.known) + len(new) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+        """The place of each of different stretches in the tables."""
+        places, new = self._look(stretches)
+        self.used[places[places >= 0]] += 1
+        if self._full(new):
+            self._forget_rare()
+            places, new = self._look(stretches)
+        if self._full(new):
             self._forget()
-            new = [s for s in stretches if s]
-            self.characters = sum(map(len, new))
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
-
-    def _learn(self, stretches: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
-        agreed = [True] * len(ids)
-        if self.check is not None:
-            theirs = self.check.encode(stretches, num_threads=-1)
-            agreed = [own == other for own, other in zip(ids, theirs, strict=True)]
-            ids = theirs
-        back = self.decode(ids)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            places, new = self._look(stretches)
+        self.characters += sum(map(len, new))
+        joined = [s for s in new if " " not in s and MARK not in s] if self.joins else []
+        if joined:
+            self._learn(joined, True)
+        if len(joined) < len(new):
+            self._learn([s for s in new if s not in self.known], False)
+        places[places < 0] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        return places
+
+    def _look(self, stretches: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The places of known stretches, -1 for the others, and these."""
+        places = np.fromiter(map(self.known.get, stretches, repeat(-1)), np.int64, len(stretches))
+        return places, [stretches[i] for i in np.flatnonzero(places < 0)]
+
+    def _full(self, new: list[str]) -> bool:
+        characters = self.characters + sum(map(len, new))
+        return len(self.known) + len(new) > REMEMBERED or characters > REMEMBERED_CHARACTERS
+
+    def _encode_each(self, stretches: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stretches in a row, and how many each has."""
+        if joined:
+            texts = [" ".join(stretches[at : at + JOINED]) for at in range(0, len(stretches), JOINED)]
+            ids, _ = _in_a_row([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            starts = np.flatnonzero(self.begins[ids])  # a mark begins each stretch, and is nowhere else
+            if len(starts) == len(stretches) and starts[0] == 0:
+                return ids, np.diff(starts, append=len(ids))
+        return _in_a_row([e.ids for e in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)])
+
+    def _decode_each(self, ids: np.ndarray, sizes: np.ndarray, joined: bool) -> list[str]:
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+
+        def single(low: int, high: int) -> list[str]:
+            return self.decode([ids[a:b].tolist() for a, b in zip(bounds[low:high], bounds[low + 1 : high + 1], strict=True)])
+
+        if not joined:
+            return single(0, len(sizes))
+        cuts = [(low, min(low + JOINED, len(sizes))) for low in range(0, len(sizes), JOINED)]
+        out = []
+        for (low, high), text in zip(cuts, self.decode([ids[bounds[a] : bounds[b]].tolist() for a, b in cuts]), strict=True):
+            parts = text.split(" ")
+            out += parts if len(parts) == high - low else single(low, high)
+        return out
+
+    def _learn(self, stretches: list[str], joined: bool) -> None:
+        ids, sizes = self._encode_each(stretches, joined)
+        agreed = np.ones(len(sizes), bool)
+        if self.check is not None:  # each stretch by itself
+            theirs, their_sizes = _in_a_row(self.check.encode(stretches, num_threads=-1))
+            agreed = _alike(ids, sizes, theirs, their_sizes)
+            ids, sizes = theirs, their_sizes
+        back = self._decode_each(ids, sizes, joined)
         first = len(self.flat)
-        self.known.update(zip(stretches, range(len(self.back), len(self.back) + len(ids)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+        self.known.update(zip(stretches, range(len(self.back), len(self.back) + len(sizes)), strict=True))
+        self.flat = np.concatenate([self.flat, ids])
         self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.same = np.concatenate([self.same, np.array(agreed, bool)])
-        returns = [own == other for own, other in zip(stretches, back, strict=True)]
-        self.returns = np.concatenate([self.returns, np.array(returns, bool)])
-        self.back += back
+        self.same = np.concatenate([self.same, agreed])
+        returns = np.fromiter(map(eq, stretches, back), bool, len(back))
+        self.returns = np.concatenate([self.returns, returns])
+        self.back += [own if same else other for own, other, same in zip(stretches, back, returns.tolist(), strict=True)]
+        self.used = np.concatenate([self.used, np.ones(len(sizes), np.int64)])
 
     def _cut(self, texts: pa.Array) -> pa.ListArray:
         """The stretches of each text."""
@@ -284,6 +346,20 @@ class Codec:
         return [None if own is None else next(found) for own in ids]
 
 
+def _in_a_row(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+
+def _alike(ids: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    """Whether two libraries gave each stretch the same ids."""
+    ends, other_ends = np.cumsum(sizes), np.cumsum(other_sizes)
+    if np.array_equal(sizes, other_sizes):
+        return _all_within(ids == others, np.concatenate([[0], ends]))
+    bounds = zip(ends - sizes, ends, other_ends - other_sizes, other_ends, strict=True)
+    return np.array([np.array_equal(ids[a:b], others[c:d]) for a, b, c, d in bounds], bool)
+
+
 def _all_within(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Whether all flags between each two neighbouring bounds are set."""
     unset = np.concatenate([[0], np.cumsum(~flags)])[bounds]
