@@ -439,6 +439,66 @@ def test_contexts_reach_over_the_border_of_words(spark):
         assert math.isclose(scores[i], expected, rel_tol=1e-9)
 
 
+def test_tokens_and_borders_equal_those_of_plain_words():
+    """Texts are split as arrays; each border becomes one number, from which its grams come back."""
+    texts = [None, b"", b" \t", b"One", b"  two\t\nWORDS \x0b", b"a b\x0cc", b"\0\0\0\0\0 \0", "\u00c9t\u00e9 longer".encode(), b"two words"]
+    tokens = context_mixing._Tokens(texts)
+    words = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or b"").lower()), b""] for t in texts]
+    assert tokens.words.to_pylist() == [w for own in words for w in own]
+    assert tokens.n_tokens.tolist() == [len(own) for own in words]
+    assert tokens.text.tolist() == [i for i, own in enumerate(words) for _ in own]
+    assert tokens.sizes.tolist() == [len(w) + 1 for own in words for w in own]
+    expected, sizes = [], []
+    for own in words:
+        before = b" " * 5
+        for word in own:
+            spelled = before + (word + b" " if word else b"\n")
+            sizes.append(min(4, len(spelled) - 5))
+            expected += [spelled[i : i + 6] for i in range(sizes[-1])]
+            before = spelled[-5:]
+    grams, found = context_mixing._grams(tokens.borders())
+    assert found.tolist() == sizes and context_mixing._gram_bytes(grams).tobytes() == b"".join(expected)
+
+
+def test_a_border_is_computed_once_however_often_it_occurs():
+    computed = []
+
+    def compute(numbers):
+        computed.extend(numbers.tolist())
+        return numbers.astype(np.float64)
+
+    remembered = context_mixing._Remembered(compute)
+    for _ in range(3):
+        numbers = context_mixing._Tokens([b"the same words and the same words again"] * 50).borders()
+        assert np.array_equal(remembered.of(numbers), numbers.astype(np.float64))
+    assert sorted(computed) == sorted(set(numbers.tolist())) and len(computed) < len(numbers) / 40
+    zero = np.zeros(2, dtype=np.uint64)  # four zero bytes before a blank, four behind it
+    assert np.array_equal(remembered.of(zero), [0.0, 0.0]) and computed[-1] == 0
+
+
+def test_words_are_counted_by_kind_over_merges(monkeypatch):
+    monkeypatch.setattr(context_mixing, "WORDS_HELD", 5)
+    monkeypatch.setattr(context_mixing, "GRAMS_HELD", 8)
+    monkeypatch.setattr(context_mixing, "TEXT_BYTES_AT_ONCE", 20)
+    texts = [f"w{i % 9} w{i % 4} W1" for i in range(40)] + [None]
+    kinds = [i % 4 - 1 for i in range(41)]
+    part = pa.RecordBatch.from_pydict({"text": pa.array([t and t.encode() for t in texts], pa.binary()), "kind": pa.array(kinds, pa.int32())})
+    found, grams = Counter(), Counter()
+    for out in context_mixing._sum_words(True)(iter([part, part.slice(0, 0), part])):
+        for word, kind, times in zip(*(out.column(c).to_pylist() for c in ("word", "kind", "times")), strict=True):
+            (grams if b" " in word else found)[(word, kind)] += times
+    expected, spelled = Counter(), Counter()
+    for text, kind in zip(texts, kinds, strict=True):
+        before = b" " * 5
+        for word in [*(text or "").lower().encode().split(), b""]:
+            expected[(word, kind)] += 2
+            stream = before + (word + b" " if word else b"\n")
+            if kind >= 0:
+                spelled.update({(stream[i : i + 6], 0): 2 for i in range(min(4, len(stream) - 5))})
+            before = stream[-5:]
+    assert found == expected and grams == spelled
+
+
 def test_bits_looked_up_equal_those_of_the_counts():
     tables = np.random.default_rng(3).integers(0, 9, (2, context_mixing.OFFSETS[-1])).astype(np.float64)
     mixer, seen = context_mixing.Mixer(), context_mixing._Odds(tables)

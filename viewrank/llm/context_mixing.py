@@ -40,13 +40,13 @@ Repeated rows count each. Without documents to learn from, the base is zero and
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
-from itertools import chain, repeat
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,23 +71,63 @@ END = b""  # the end mark as a word; no word is empty
 GIVEN = max(CONTEXTS)  # bytes before a predicted one that its contexts reach
 BLANK, NEWLINE = 32, 10
 GRAMS_HELD = 2_000_000
-GRAM_SLOTS = 21  # grams that a task remembers at most, as a power of two
+BORDER = GIVEN - 1  # bytes of a token at its border at most
+SLOTS = 21  # grams, and borders, that a task remembers at most, as a power of two
+NO_NUMBER = 0x2020202020202020  # no gram, being of six bytes, and no border, whose token would begin with a blank
+LEAD = 11  # stands for a blank before a text; no other byte is this once all blanks are plain ones
+PLAIN = bytes(BLANK if x in b"\t\n\v\f\r" else x for x in bytes(range(256)).lower())
 TEXT_BYTES_AT_ONCE = 1_000_000
 LOWEST = -280.0  # beneath this power of ten, probabilities are left to the bits alone
 
 DISCOUNT = 0.75
 
 
-def _tokens(text: bytes | None) -> list[bytes]:
-    return [*(text or b"").lower().split(), END]
+class _Tokens:
+    """The tokens of some texts: words in order, and an end mark after those of each text.
 
+    `stream` has each text behind as many blanks as are given, with one blank behind a word and a newline for
+    the end mark. A token begins there at `first` and has `sizes` bytes, its closing blank with it.
+    """
+
+    def __init__(self, texts: list[bytes | None]):
+        start = bytes([LEAD]) * GIVEN
+        spelled = (b" \n" + start).join([(text or b"").translate(PLAIN) for text in texts])
+        spelled = np.frombuffer(start + spelled + b" \n", dtype=np.uint8)
+        kept = spelled != BLANK
+        kept[1:] |= kept[:-1] & (spelled[:-1] != LEAD)  # of blanks in a row the first; none before a text
+        self.stream = spelled[kept]
+        self.stream[self.stream == LEAD] = BLANK
+
+        blank = self.stream == BLANK
+        edges = np.flatnonzero(np.diff(blank, append=True)) + 1
+        self.first = edges[0::2]
+        is_end = self.stream[self.first] == NEWLINE
+        lengths = np.where(is_end, 0, edges[1::2] - self.first)
+        self.sizes = lengths + 1
+        ends = np.zeros(len(lengths) + 1, dtype=np.int32)
+        np.cumsum(lengths, out=ends[1:])
+        letters = self.stream[~(blank | (self.stream == NEWLINE))]
+        self.words = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(letters)])
+        self.n_tokens = np.diff(np.flatnonzero(is_end), prepend=-1)
+        self.text = np.repeat(np.arange(len(texts)), self.n_tokens)
+
+    def borders(self) -> np.ndarray:
+        """The border of each token as one number: the four bytes before the blank before it, and its first four.
+
+        Of a shorter token with its closing blank, the last bytes are zero.
+        """
+        spelled = np.concatenate([self.stream, np.zeros(BORDER, dtype=np.uint8)])
+        four = np.ndarray(len(self.stream), ">u4", spelled, 0, (1,))  # any four bytes in a row
+        own = four[self.first].astype(np.uint64)
+        cut = (BORDER - np.minimum(self.sizes, BORDER)).astype(np.uint64) * np.uint64(8)
+        return four[self.first - GIVEN].astype(np.uint64) << np.uint64(32) | own >> cut << cut
 
-def _some_texts(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """A batch in slices of bounded length (a longer text comes alone), and the words of their texts."""
-    sizes = [len(text.as_py() or b"") for text in part.column("text")]
-    for low, high in _cuts(sizes, TEXT_BYTES_AT_ONCE):
-        some = part.slice(low, high - low)
-        yield some, [_tokens(text) for text in some.column("text").to_pylist()]
+
+def _some_texts(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, _Tokens]]:
+    """A batch in slices of bounded length (a longer text comes alone), and the tokens of their texts."""
+    texts = part.column("text").to_pylist()
+    for low, high in _cuts([len(text or b"") for text in texts], TEXT_BYTES_AT_ONCE):
+        yield part.slice(low, high - low), _Tokens(texts[low:high])
 
 
 def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -101,32 +141,58 @@ def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def _grams(tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Every byte at a border behind the five before it, as one number; and where those of each word begin."""
-    start = b" " * GIVEN
-    stream = b"".join(start + b" ".join(words[:-1] + [b"\n"]) for words in tokens)
-    spelled = np.frombuffer(stream, dtype=np.uint8)
-    blank = spelled == BLANK
-
-    def back(k: int) -> np.ndarray:
-        return blank[GIVEN - k : len(blank) - k]
-
-    here = back(0)
-    between = here & (back(1) | (spelled[GIVEN - 1 : -1] == NEWLINE))  # blanks before a text
-    near = back(1)
-    for k in range(2, GIVEN):
-        near = near | back(k)
-    places = np.flatnonzero(near & ~between)
-    grams = np.zeros(len(places), dtype=np.uint64)
-    for k in range(GIVEN + 1):
-        grams = (grams << np.uint64(8)) | spelled[places + k]
-    return grams, np.flatnonzero((back(1) & ~here)[places])
+def _grams(borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every predicted byte of borders behind the five before it, as one number; and how many a border has."""
+    before, own = borders >> np.uint64(32), borders & np.uint64(0xFFFFFFFF)
+    spelled = own.astype(">u4").view(np.uint8).reshape(-1, BORDER)
+    closing = (spelled == BLANK) | (spelled == NEWLINE)
+    sizes = np.where(closing.any(axis=1), np.argmax(closing, axis=1) + 1, BORDER)
+    grams = np.empty((len(borders), BORDER), dtype=np.uint64)
+    for k in range(BORDER):
+        up = np.uint64(8 * k)
+        grams[:, k] = before << up + np.uint64(16) | np.uint64(BLANK) << up + np.uint64(8) | own >> np.uint64(24) - up
+    grams &= np.uint64(2 ** (8 * GIVEN + 8) - 1)
+    return grams[np.arange(BORDER) < sizes[:, None]], sizes
 
 
 def _gram_bytes(grams: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(grams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 7 - GIVEN :]).reshape(-1)
 
 
+def _added(numbers: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers, and the sum of their times."""
+    different, inverse = np.unique(numbers, return_inverse=True)
+    return different, np.bincount(inverse, weights=times, minlength=len(different)).astype(np.int64)
+
+
+class _Held:
+    """Counts of words by kind."""
+
+    def __init__(self):
+        self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+
+    def __len__(self) -> int:
+        return sum(len(words) for words, _, _ in self.parts)
+
+    def add(self, words: pa.Array, kinds: np.ndarray, times: np.ndarray | None = None) -> None:
+        encoded = words.dictionary_encode()
+        different = np.int64(max(len(encoded.dictionary), 1))
+        both = (kinds + np.int64(1)) * different + encoded.indices.to_numpy()  # kinds begin at -1
+        both, times = np.unique(both, return_counts=True) if times is None else _added(both, times)
+        self.parts.append((encoded.dictionary.take(pa.array(both % different)), both // different - 1, times))
+
+    def merge(self) -> None:
+        words, kinds, times = zip(*self.parts, strict=True)
+        self.parts.clear()
+        self.add(pa.concat_arrays(words), np.concatenate(kinds), np.concatenate(times))
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for words, kinds, times in self.parts:
+            whole = pa.RecordBatch.from_arrays([words, pa.array(kinds.astype(np.int32)), pa.array(times)], schema=schema)
+            yield from (whole.slice(at, 50_000) for at in range(0, len(words), 50_000))
+        self.parts.clear()
+
+
 def _sum_words(borders: bool):
     def sum_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         """Words of the texts with their numbers, by kind of learning document (-1: not learned from).
@@ -134,26 +200,26 @@ def _sum_words(borders: bool):
         With `borders` also the grams of learning documents, which unlike words hold a blank.
         """
         schema = pa.schema([("word", pa.binary()), ("kind", pa.int32()), ("times", pa.int64())])
-        counts: dict[int, Counter] = defaultdict(Counter)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        counts = _Held()
+        held: list[np.ndarray] = []  # borders
+        grams, times = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
 
         def flush():
-            for kind, own in counts.items():
-                words = list(own)
-                for at in range(0, len(words), 50_000):
-                    some = words[at : at + 50_000]
-                    columns = [some, [kind] * len(some), [own[w] for w in some]]
-                    yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
-            counts.clear()
-
-        def merge():
-            grams, inverse = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-            times = np.bincount(inverse, weights=np.concatenate([n for _, n in held])).astype(np.int64)
-            held[:] = [(grams, times)]
+            counts.merge()
+            yield from counts.batches(schema)
+
+        def spell_out():
+            """Adds the held borders to the grams."""
+            nonlocal grams, times
+            every, each = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            for at in range(0, len(every), GRAMS_HELD // BORDER):
+                some, sizes = _grams(every[at : at + GRAMS_HELD // BORDER])
+                some, n = _added(some, np.repeat(each[at : at + GRAMS_HELD // BORDER], sizes))
+                grams, times = _added(np.concatenate([grams, some]), np.concatenate([times, n]))
 
         def flush_grams():
-            merge()
-            grams, times = held.pop()
+            nonlocal grams, times
             for at in range(0, len(grams), 50_000):
                 some = grams[at : at + 50_000]
                 ends = np.arange(len(some) + 1, dtype=np.int32) * (GIVEN + 1)
@@ -161,24 +227,27 @@ def _sum_words(borders: bool):
                 spelled = pa.Array.from_buffers(pa.binary(), len(some), buffers)
                 columns = [spelled, pa.array(np.zeros(len(some), np.int32)), pa.array(times[at : at + 50_000])]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            grams, times = grams[:0], times[:0]
 
         for part in batches:
             for some, tokens in _some_texts(part):
-                kinds = some.column("kind").to_pylist()
-                for words, kind in zip(tokens, kinds, strict=True):
-                    counts[kind].update(words)
-                    if sum(map(len, counts.values())) > WORDS_HELD:
-                        yield from flush()
-                learned = [words for words, kind in zip(tokens, kinds, strict=True) if kind >= 0]
-                if borders and learned:
-                    held.append(np.unique(_grams(learned)[0], return_counts=True))
-                    if sum(len(grams) for grams, _ in held) > GRAMS_HELD:
-                        merge()
-                        if len(held[0][0]) > GRAMS_HELD // 2:
+                kinds = some.column("kind").to_numpy()[tokens.text]
+                counts.add(tokens.words, kinds)
+                if len(counts) > 4 * WORDS_HELD:
+                    counts.merge()
+                    if len(counts) > 2 * WORDS_HELD:
+                        yield from counts.batches(schema)
+                if borders:
+                    held.append(tokens.borders()[kinds >= 0])
+                    if sum(map(len, held)) > GRAMS_HELD:
+                        spell_out()
+                        if len(grams) > GRAMS_HELD // 2:
                             yield from flush_grams()
-        yield from flush()
+        if counts.parts:
+            yield from flush()
         if held:
-            yield from flush_grams()
+            spell_out()
+        yield from flush_grams()
 
     return sum_words
 
@@ -190,10 +259,13 @@ class _Bytes:
     and the word so far begins after the last blank among the given bytes.
     """
 
-    def __init__(self, words: list[bytes], given: int = 0):
-        spelled = words if given else [w + b" " if w else b"\n" for w in words]
-        lengths = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        self._lay_out(np.frombuffer(b"".join(spelled), dtype=np.uint8), lengths, given)
+    def __init__(self, words: list[bytes] | pa.Array, given: int = 0):
+        spelled = pa.array(words, pa.binary())
+        if not given:
+            spelled = pc.if_else(pc.equal(spelled, END), b"\n", pc.binary_join_element_wise(spelled, b" ", b""))
+        ends = np.frombuffer(spelled.buffers()[1], dtype=np.int32)[spelled.offset : spelled.offset + len(spelled) + 1]
+        letters = np.frombuffer(spelled.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]]
+        self._lay_out(letters, np.diff(ends).astype(np.int64), given)
 
     @classmethod
     def of_grams(cls, grams: np.ndarray) -> _Bytes:
@@ -224,46 +296,40 @@ class _Bytes:
         before = np.ones(len(self.byte), dtype=np.uint64)
         for k in range(8):
             bit = (self.byte >> (7 - k)) & 1
+            own = before * np.uint64(0x9E3779B97F4A7C15)
             places = []
             for j, context in enumerate(self.contexts):
-                mark = (context ^ (before * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-                places.append((mark >> np.uint64(64 - SIZES[j])).astype(np.int64) + OFFSETS[j])
-            yield k, before.astype(np.int64), bit, places
+                mark = (context ^ own) * np.uint64(0xD6E8FEB86659FD93)
+                mark >>= np.uint64(64 - SIZES[j])
+                mark += np.uint64(OFFSETS[j])
+                places.append(mark.view(np.int64))
+            yield k, before.view(np.int64), bit, places
             before = before * np.uint64(2) + bit
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list[bytes], list[np.ndarray]]]:
-    """Words and number columns, some ten thousand bytes at a time, however they were cut into batches."""
-    held: list[bytes] = []
-    numbers = [np.empty(0, dtype=np.int64) for _ in columns]
-    size = 0
-    for part in batches:
-        words = part.column("word").to_pylist()
-        own = [part.column(c).to_numpy() for c in columns]
-        low = 0
-        for i, word in enumerate(words):
-            size += len(word) + 1
-            if size >= BYTES_AT_ONCE:
-                cut = [np.concatenate([n, o[low : i + 1]]) for n, o in zip(numbers, own, strict=True)]
-                yield held + words[low : i + 1], cut
-                held, numbers, low, size = [], [n[:0] for n in numbers], i + 1, 0
-        held = held + words[low:]
-        numbers = [np.concatenate([n, o[low:]]) for n, o in zip(numbers, own, strict=True)]
-    if held:
-        yield held, numbers
+def _pieces(words: pa.Array, *numbers: np.ndarray) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Words and numbers of them, some ten thousand bytes at a time."""
+    ends = np.cumsum(pc.binary_length(words).to_numpy() + np.int64(1))
+    low = 0
+    while low < len(words):
+        before = ends[low - 1] if low else 0
+        high = min(int(np.searchsorted(ends, before + BYTES_AT_ONCE)) + 1, len(words))
+        yield words.slice(low, high - low), [n[low:high] for n in numbers]
+        low = high
 
 
 def _add_tables(given: int):
     def add_tables(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         """This partition's tables, in blocks that hold anything."""
         tables = np.zeros((2, OFFSETS[-1]))
-        for words, (learned,) in _pieces(batches, "learned"):
-            spelled = _Bytes(words, given)
-            times = learned[spelled.word].astype(np.float64)
-            for _, _, bit, places in spelled.bits():
-                side = bit.astype(np.int64) * OFFSETS[-1]
-                for place in places:
-                    np.add.at(tables.reshape(-1), place + side, times)
+        for part in batches:
+            for words, (learned,) in _pieces(part.column("word"), part.column("learned").to_numpy()):
+                spelled = _Bytes(words, given)
+                times = learned[spelled.word].astype(np.float64)
+                for _, _, bit, places in spelled.bits():
+                    side = bit.astype(np.int64) * OFFSETS[-1]
+                    for place in places:
+                        np.add.at(tables.reshape(-1), place + side, times)
         schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
         for block in range(OFFSETS[-1] // BLOCK):
             own = tables[:, block * BLOCK : (block + 1) * BLOCK]
@@ -282,7 +348,7 @@ def _tables(words: DataFrame, given: int = 0) -> np.ndarray:
     """Zeros and ones seen per context, over all partitions: a fixed number of entries."""
     parts = in_batches(words, _add_tables(given), "block int, counts binary")
     summed = parts.groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").toArrow()
-    out = np.zeros((2, OFFSETS[-1]))
+    out = np.zeros((2, OFFSETS[-1]), order="F")  # zeros and ones of an entry lie side by side
     for block, counts in zip(summed.column("block").to_pylist(), summed.column("counts").to_pylist(), strict=True):
         out[:, block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(counts).reshape(2, BLOCK)
     return out
@@ -310,6 +376,7 @@ class Mixer:
         self.start = MAP_WEIGHT * np.stack([1 - start, start])  # zeros and ones, alike for all contexts
         self.map = np.zeros((2, SECOND_GATES * MAP_STEPS))
         self.bits = 0.0
+        self.settled: tuple[np.ndarray, np.ndarray] | None = None
 
     def state(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.first, self.second, self.map
@@ -323,9 +390,11 @@ class Mixer:
     def inputs(self, tables, bit_number, before, places, known=None):
         """Log odds of each predictor, and the first gate. `known`: the bits, to leave an occurrence out."""
         odds = np.empty((len(CONTEXTS) + 1, len(before)), dtype=np.float64)
+        pairs = np.ascontiguousarray(tables.T).view(np.complex128)[:, 0]  # both counts in one read
         levels = []
         for j, place in enumerate(places):
-            zeros, ones = tables[0, place], tables[1, place]
+            found = pairs.take(place)
+            zeros, ones = found.real, found.imag
             if known is not None:
                 zeros = np.maximum(zeros - (known == 0), 0)
                 ones = np.maximum(ones - (known == 1), 0)
@@ -341,7 +410,7 @@ class Mixer:
         """The same for unknown bits, from logarithms taken before."""
         odds = np.empty((len(CONTEXTS) + 1, len(places[0])), dtype=np.float64)
         for j, place in enumerate(places):
-            odds[j] = seen.odds[place]
+            odds[j] = seen.odds.take(place)
         odds[-1] = 0.3
         shorter, longer = (seen.levels[place - OFFSETS[-3]].astype(np.int64) for place in places[-2:])
         return odds, (longer * 5 + np.minimum(shorter, 4)) * 8 + bit_number
@@ -349,6 +418,19 @@ class Mixer:
     def mix(self, odds, gate, before):
         return np.einsum("ij,ji->j", odds, self.first[gate] + self.second[before])
 
+    def predict(self, odds, gate, before):
+        """`refine` of `mix`, with sums of weights and quotients of the map that are taken once."""
+        if self.settled is None:
+            zeros, ones = self.map.reshape(2, SECOND_GATES, MAP_STEPS) + self.start[:, None, :]
+            weights = (self.first[:, None] + self.second).reshape(FIRST_GATES * SECOND_GATES, -1)
+            self.settled = weights, (ones / (zeros + ones)).reshape(-1)
+        weights, mapped = self.settled
+        mixed_odds = np.einsum("ij,ji->j", odds, weights.take(gate * SECOND_GATES + before, axis=0))
+        place, _, share = self._map_places(mixed_odds, before)
+        low = mapped.take(place)
+        plain = 1 / (1 + np.exp(-np.clip(mixed_odds, -30, 30)))
+        return np.clip((plain + low + share * (mapped.take(place + 1) - low)) / 2, 1e-7, 1 - 1e-7)
+
     def _map_places(self, mixed_odds, before):
         at = (np.clip(mixed_odds, -MAP_REACH, MAP_REACH) + MAP_REACH) * (MAP_STEPS - 1) / (2 * MAP_REACH)
         low = np.minimum(at.astype(np.int64), MAP_STEPS - 2)
@@ -366,6 +448,7 @@ class Mixer:
         return np.clip((plain + mapped) / 2, 1e-7, 1 - 1e-7)
 
     def learn(self, odds, gate, before, mixed_odds, bit, times):
+        self.settled = None
         place, _, share = self._map_places(mixed_odds, before)
         place = place + bit.astype(np.int64) * self.map.shape[1]
         np.add.at(self.map.reshape(-1), place, (1 - share) * times)
@@ -382,7 +465,8 @@ class Mixer:
 def _train(tables, given: int):
     def train(words: pa.Table) -> pa.Table:
         mixer = Mixer()
-        for some, (learned,) in _pieces(words.sort_by("word").to_batches(), "learned"):
+        rows = words.sort_by("word").combine_chunks()
+        for some, (learned,) in _pieces(rows.column("word").chunk(0), rows.column("learned").to_numpy()):
             spelled = _Bytes(some, given)
             times = learned[spelled.word].astype(np.float64)
             for k, before, bit, places in spelled.bits():
@@ -425,16 +509,12 @@ def _mixer(words: DataFrame, different: int, tables, given: int = 0) -> Mixer:
 
 def _logs(spelled: _Bytes, seen: _Odds, mixer: Mixer, words: int) -> np.ndarray:
     """Log10 probability of the predicted bytes of each word."""
-    logs = np.zeros(len(spelled.byte))
+    of_bytes = np.ones(len(spelled.byte))
     for k, before, bit, places in spelled.bits():
         odds, gate = mixer.looked_up(seen, k, places)
-        one = mixer.refine(mixer.mix(odds, gate, before), before)
-        logs += np.log10(np.where(bit == 1, one, 1 - one))
-    return np.bincount(spelled.word, weights=logs, minlength=words)
-
-
-def _body(word: bytes) -> bytes:
-    return b" " + word + b" "
+        one = mixer.predict(odds, gate, before)
+        of_bytes *= np.where(bit == 1, one, 1 - one)
+    return np.bincount(spelled.word, weights=np.log10(of_bytes), minlength=words)
 
 
 def _score_words(tables, state, given: int = 0):
@@ -443,50 +523,65 @@ def _score_words(tables, state, given: int = 0):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         mixer, seen = Mixer.of(state.value), _Odds(tables.value)
         for part in batches:
-            words = part.column("word").to_pylist()
+            words = part.column("word")
             scores = np.zeros(len(words))
             own = np.arange(len(words))
             if given:
-                own = np.array([i for i, word in enumerate(words) if len(word) + 1 >= given], dtype=np.int64)
-                words = [_body(words[i]) for i in own]
-            for low, high in _cuts([len(w) + 1 for w in words], BYTES_AT_ONCE):
-                scores[own[low:high]] = _logs(_Bytes(words[low:high], given), seen, mixer, high - low)
+                own = np.flatnonzero(pc.binary_length(words).to_numpy() + 1 >= given)
+                words = pc.binary_join_element_wise(b" ", words.take(pa.array(own)), b" ", b"")
+            for some, (places,) in _pieces(words, own):
+                scores[places] = _logs(_Bytes(some, given), seen, mixer, len(some))
             names = [*part.schema.names, "bits_score"]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=names)
 
     return score
 
 
-class _Borders:
-    """Log10 probabilities of grams, remembered in a table of bounded size where a later gram may replace another."""
+class _Remembered:
+    """What was computed for numbers, in a table of bounded size where a later number may replace another."""
 
-    def __init__(self, tables, state):
-        self.mixer, self.seen = Mixer.of(state.value), _Odds(tables.value)
-        self.grams = np.zeros(2**GRAM_SLOTS, dtype=np.uint64)  # none is zero: each holds a blank
-        self.logs = np.zeros(2**GRAM_SLOTS)
+    def __init__(self, compute: Callable[[np.ndarray], np.ndarray]):
+        self.compute = compute
+        self.numbers = np.full(2**SLOTS, NO_NUMBER, dtype=np.uint64)
+        self.logs = np.zeros(2**SLOTS)
 
-    def _slots(self, grams: np.ndarray) -> np.ndarray:
-        return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - GRAM_SLOTS)).astype(np.int64)
+    def _slots(self, numbers: np.ndarray) -> np.ndarray:
+        return (numbers * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        slots = self._slots(grams)
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        slots = self._slots(numbers)
         out = self.logs[slots]
-        new = np.flatnonzero(self.grams[slots] != grams)
+        new = np.flatnonzero(self.numbers[slots] != numbers)
         if len(new):
-            own, inverse = np.unique(grams[new], return_inverse=True)
-            logs = np.empty(len(own))
-            for at in range(0, len(own), BYTES_AT_ONCE):
-                some = own[at : at + BYTES_AT_ONCE]
-                logs[at : at + len(some)] = _logs(_Bytes.of_grams(some), self.seen, self.mixer, len(some))
+            own, inverse = np.unique(numbers[new], return_inverse=True)
+            logs = self.compute(own)
             out[new] = logs[inverse]
             slots = self._slots(own)
-            self.grams[slots], self.logs[slots] = own, logs
+            self.numbers[slots], self.logs[slots] = own, logs
         return out
 
-    def of_words(self, tokens: list[list[bytes]]) -> np.ndarray:
-        """The sum over the border of each word."""
-        grams, starts = _grams(tokens)
-        return np.add.reduceat(self.of(grams), starts)
+
+class _Borders:
+    """Log10 probabilities of borders, the sums over their grams; both are remembered."""
+
+    def __init__(self, tables, state):
+        self.mixer, self.seen = Mixer.of(state.value), _Odds(tables.value)
+        self.grams = _Remembered(self._of_grams)
+        self.borders = _Remembered(self._of_borders)
+
+    def _of_grams(self, grams: np.ndarray) -> np.ndarray:
+        logs = np.empty(len(grams))
+        for at in range(0, len(grams), BYTES_AT_ONCE):
+            some = grams[at : at + BYTES_AT_ONCE]
+            logs[at : at + len(some)] = _logs(_Bytes.of_grams(some), self.seen, self.mixer, len(some))
+        return logs
+
+    def _of_borders(self, borders: np.ndarray) -> np.ndarray:
+        grams, sizes = _grams(borders)
+        return np.add.reduceat(self.grams.of(grams), np.cumsum(sizes) - sizes)
+
+    def of_tokens(self, tokens: _Tokens) -> np.ndarray:
+        return self.borders.of(tokens.borders())
 
 
 _PARTS = pa.schema(
@@ -496,16 +591,11 @@ _PARTS = pa.schema(
         ("held_out", pa.bool_()),
         ("word", pa.binary()),
         ("border", pa.float64()),
-        ("rows", pa.int64()),
-        ("n_tokens", pa.int64()),
-        ("n_bytes", pa.int64()),
-        ("sums", pa.list_(pa.float64())),
+        ("sums", pa.list_(pa.float64())),  # of a text: rows, tokens and bytes as well
     ]
 )
-_PARTS_SCHEMA = (
-    "doc_id long, text_hash long, held_out boolean, word binary, border double, rows long, n_tokens long, "
-    "n_bytes long, sums array<double>"
-)
+_PARTS_SCHEMA = "doc_id long, text_hash long, held_out boolean, word binary, border double, sums array<double>"
+OF_ROWS = 3  # sums of a text before those of its words
 
 
 def _split_texts(frequent, left: list[float], tables=None, state=None):
@@ -521,36 +611,53 @@ def _split_texts(frequent, left: list[float], tables=None, state=None):
         borders = None if tables is None else _Borders(tables, state)
         for part in batches:
             for some, tokens in _some_texts(part):
-                words = list(chain.from_iterable(tokens))
-                scores = np.zeros(len(words)) if borders is None else borders.of_words(tokens)
-                n_tokens = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                text = np.repeat(np.arange(len(tokens)), n_tokens)
-                sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-                at = np.fromiter(map(places.get, words, repeat(-1)), np.int64, len(words))
-                own = numbers[at[at >= 0]]
-                bits = own[:, 1] + scores[at >= 0]
-                whole = own[:, 2:] + np.array(left) * 10 ** np.maximum(bits, LOWEST)[:, None]
-                logs = np.where((bits < LOWEST)[:, None], bits[:, None] + math.log10(DISCOUNT), np.log10(whole))
-                columns = [own[:, 2] > 0, own[:, 0], *logs.T]
-                sums = [np.bincount(text[at >= 0], weights=x, minlength=len(tokens)) for x in columns]
-
-                rest = np.flatnonzero(at < 0)
+                scores = np.zeros(len(tokens.words)) if borders is None else borders.of_tokens(tokens)
+                words = tokens.words.dictionary_encode()
+                spelled = words.dictionary.to_numpy(zero_copy_only=False)  # far faster than to_pylist
+                at = np.fromiter(map(places.get, spelled, repeat(-1)), np.int64, len(spelled))
+                at = at[words.indices.to_numpy()]
+                often, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+                own = numbers.take(at[often], axis=0)
+                bits = own[:, 1] + scores[often]
+                power = 10 ** np.maximum(bits, LOWEST)
+                columns = [own[:, 2] > 0, own[:, 0], *(np.log10(own[:, k + 2] + rate * power) for k, rate in enumerate(left))]
+                if len(low := np.flatnonzero(bits < LOWEST)):
+                    for logs in columns[2:]:
+                        logs[low] = bits[low] + math.log10(DISCOUNT)
+                n_texts = len(tokens.n_tokens)
+                text = tokens.text[often]
+                sums = [np.bincount(text, weights=x, minlength=n_texts) for x in columns]
+                n_bytes = np.bincount(tokens.text, weights=tokens.sizes)
+
                 named = [some.column(c) for c in ("doc_id", "text_hash", "held_out")]
-                own_text, none = pa.array(text[rest]), pa.array(np.zeros(len(rest), np.int64))
-                rows = [pa.array([words[i] for i in rest], pa.binary()), pa.array(scores[rest]), none, none, none]
-                rows.append(pa.nulls(len(rest), pa.list_(pa.float64())))
-                yield pa.RecordBatch.from_arrays([*(c.take(own_text) for c in named), *rows], schema=_PARTS)
+                of_text = pa.array(tokens.text[rest])
+                rows = [tokens.words.take(pa.array(rest)), pa.array(scores[rest]), pa.nulls(len(rest), _PARTS.field("sums").type)]
+                yield pa.RecordBatch.from_arrays([*(c.take(of_text) for c in named), *rows], schema=_PARTS)
                 # Keys that no word has, since they begin with a blank.
                 ids = zip(named[0].to_pylist(), named[1].to_pylist(), strict=True)
                 keys = pa.array([b" %d %d" % (doc_id or 0, text_hash) for doc_id, text_hash in ids], pa.binary())
-                one, zero = pa.array(np.ones(len(tokens), np.int64)), pa.array(np.zeros(len(tokens)))
-                n_bytes = pa.array(np.bincount(text, weights=sizes).astype(np.int64))
-                rows = [keys, zero, one, pa.array(n_tokens), n_bytes, pa.array(list(np.array(sums).T), _PARTS.field("sums").type)]
+                each = np.stack([np.ones(n_texts), tokens.n_tokens, n_bytes, *sums], axis=1)
+                ends = pa.array(np.arange(n_texts + 1, dtype=np.int32) * each.shape[1])
+                rows = [keys, pa.array(np.zeros(n_texts)), pa.ListArray.from_arrays(ends, pa.array(each.reshape(-1)))]
                 yield pa.RecordBatch.from_arrays([*named, *rows], schema=_PARTS)
 
     return split
 
 
+def _kept_alone(df: DataFrame, name: str) -> DataFrame:
+    """`kept_table`, and the shuffles behind it leave the disk at once, not when the driver collects its garbage."""
+    key, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return kept_table(df, name)
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 def score_texts(
     docs: DataFrame, held_out: Column, kind: Column | None = None, borders: bool = False
 ) -> DataFrame:
@@ -574,16 +681,16 @@ def score_texts(
     texts = as_bytes(docs, held_out.alias("held_out"), number.cast("int").alias("kind"))
 
     times = F.col("times")
-    counted = in_batches(texts, _sum_words(borders), "word binary, kind int, times long").groupBy("word", "kind").agg(
-        F.sum("times").alias("times")
-    )
+    # Tasks have added up their words, so rows are dealt by word as they are: one shuffle for the sums by kind and over kinds.
+    counted = in_batches(texts, _sum_words(borders), "word binary, kind int, times long").repartition("word")
+    counted = counted.groupBy("word", "kind").agg(F.sum("times").alias("times"))
     own_kind = F.collect_list(F.when(F.col("kind") > 0, F.struct("kind", "times")))  # one for each kind at most
     summed_words = counted.groupBy("word").agg(
         F.sum("times").alias("seen"),
         F.sum(F.when(F.col("kind") >= 0, times).otherwise(0)).alias("learned"),
         F.map_from_entries(own_kind).alias("by_kind"),
     )
-    counts = kept_table(summed_words, "words")
+    counts = _kept_alone(summed_words, "words")
     is_gram = F.contains("word", F.lit(b" "))
     words = counts.filter(~is_gram)
     overall_totals = words.agg(
@@ -655,12 +762,12 @@ def score_texts(
         return F.when(F.col("bits") < LOWEST, F.col("bits") + math.log10(DISCOUNT)).otherwise(whole)
 
     def total(i: int, of_rest: Column) -> Column:
-        of_frequent = F.coalesce(F.get("sums", F.lit(i)), F.lit(0.0))
+        of_frequent = F.coalesce(F.get("sums", F.lit(OF_ROWS + i)), F.lit(0.0))
         return F.sum(of_frequent + F.when(F.col("numbers").isNull(), 0.0).otherwise(of_rest))
 
     rest = [(F.get("numbers", F.lit(2)) > 0).cast("double"), F.get("numbers", F.lit(0)), *map(log, range(len(left)))]
     summed = joined.groupBy("doc_id", "text_hash", "held_out").agg(
-        *(F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_bytes")),
+        *(F.sum(F.get("sums", F.lit(i))).cast("long").alias(c) for i, c in enumerate(("rows", "n_tokens", "n_bytes"))),
         F.array(*(total(i, x) for i, x in enumerate(rest))).alias("sums"),
     )
     # Repeated rows were added up together: each gets its share.
